@@ -173,12 +173,128 @@ def r6(expr: str, name: str) -> str:
     return f"round({expr}, 6) AS {name}"
 
 
+def _counts(view: str, col: str) -> str:
+    return q(f"SELECT {col}, count(*) AS count FROM {view} GROUP BY {col}")
+
+
+_DQ_TABLES = [("fact_immigrations", "fact", "immigration_id"),
+              ("dim_temperatures", "dim_temperatures", "city"),
+              ("dim_ports", "dim_ports", "port_id"),
+              ("dim_cities", "dim_cities", "city"),
+              ("dim_time", "dim_time", "sas_timestamp")]
+
+
+def _dq(check: str, observed: str, passed: str) -> str:
+    parts = [f"SELECT '{name}' AS table_name, '{check}' AS check_name, "
+             + ("CAST(NULL AS VARCHAR)" if check == "row_count" else f"'{key}'")
+             + f" AS key_column, CAST({observed.format(k=key)} AS BIGINT) AS observed, "
+             f"{observed.format(k=key)} {passed} AS passed FROM {view}"
+             for name, view, key in _DQ_TABLES]
+    return q("\nUNION ALL\n".join(parts))
+
+
+_MONTH = "strftime(DATE '1960-01-01' + CAST(floor({c}) AS INTEGER), '%Y-%m')"
+
 # key -> SQL. Keys match ``portolan.plans.registry.QUERIES``.
 ORACLE: dict[str, str] = {
-    "fact_arrivals": q("SELECT * FROM fact"),
+    "sas_date": q("""
+SELECT sas_value,
+  strftime(DATE '1960-01-01' + CAST(floor(sas_value) AS INTEGER), '%Y-%m-%d') AS sas_date
+FROM (SELECT DISTINCT arrdate + i94bir / 100 - 0.25 AS sas_value FROM arrivals_raw) v"""),
+    "region_suffix": q("""
+SELECT ident, iso_region,
+  CASE WHEN len(string_split(iso_region, '-')) >= 2 THEN string_split(iso_region, '-')[2] END
+    AS region
+FROM ports_raw"""),
+    "arrivals_typed": q("SELECT * FROM arrivals_clean"),
+    "cities_clean": q("SELECT * FROM cities_clean"),
+    "ports_clean": q("SELECT * FROM ports_clean"),
+    "temps_clean": q("SELECT * FROM temps_clean"),
+    "drop_any_null": q("SELECT * FROM arrivals_kept WHERE " + " AND ".join(
+        [_NOT_MISSING.format(c=c) for c in ("cicid", "i94cit", "arrdate", "i94mode", "depdate",
+                                           "i94bir", "i94visa")]
+        + [f"{c} IS NOT NULL" for c in ("i94port", "i94addr", "visatype", "gender")])),
+    "null_profile": q("SELECT " + ", ".join(
+        [f"count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS {c}"
+         for c in ("cicid", "i94cit", "arrdate", "i94mode", "depdate", "i94bir", "i94visa")]
+        + [f"count(*) FILTER (WHERE {c} IS NULL) AS {c}"
+           for c in ("i94port", "i94addr", "visatype", "gender")]) + " FROM arrivals_kept"),
+    "dedup_full_row": q("""
+SELECT DISTINCT * FROM (SELECT * FROM arrivals_raw UNION ALL SELECT * FROM arrivals_raw) u"""),
+    "cities_ports_combined": q("""
+SELECT DISTINCT * FROM cities_clean c JOIN ports_clean p ON c."City" = p.municipality"""),
+    "dim_ports": q("SELECT * FROM dim_ports"),
+    "dim_cities": q("SELECT * FROM dim_cities"),
     "dim_time": q("SELECT * FROM dim_time"),
+    "union_distinct_dates": q("""
+SELECT sas_timestamp FROM (
+  SELECT arrival_date AS sas_timestamp FROM arrivals_clean
+  UNION SELECT departure_date FROM arrivals_clean) u
+WHERE sas_timestamp IS NOT NULL AND NOT isnan(sas_timestamp)"""),
+    "dim_temperatures": q("""
+SELECT city, """ + r6("avg_temp", "avg_temp") + ", " + r6("avg_temp_uncertainty", "avg_temp_uncertainty")
+        + " FROM dim_temperatures"),
+    "using_join_aggregates": q("""
+SELECT a.city, round(a.t, 6) AS avg_temp, round(u.u, 6) AS avg_temp_uncertainty
+FROM (SELECT city, avg(avg_temp) AS t FROM temps_clean GROUP BY city) a
+JOIN (SELECT city, avg(avg_temp_uncertainty) AS u FROM temps_clean GROUP BY city) u
+  USING (city)"""),
+    "fact_arrivals": q("SELECT * FROM fact"),
+    "decode_labels": q("""
+SELECT a.immigration_id, a.arrival_mode,
+  CASE a.arrival_mode WHEN 1 THEN 'Air' WHEN 2 THEN 'Sea' WHEN 3 THEN 'Land'
+       WHEN 9 THEN 'Not reported' ELSE 'Other' END AS mode_label,
+  a.visa,
+  CASE a.visa WHEN 1 THEN 'Business' WHEN 2 THEN 'Pleasure' WHEN 3 THEN 'Student'
+       ELSE 'Other' END AS visa_label,
+  a.state, coalesce(n.n_name, 'Other') AS state_label
+FROM arrivals_clean a LEFT JOIN nation n ON a.state = CAST(n.n_nationkey AS VARCHAR)"""),
+    "young_arrivals": q("""
+SELECT f.immigration_id, f.age, t.day
+FROM fact f JOIN dim_time t ON f.arrival_date = t.sas_timestamp
+WHERE f.age < 5 AND f.landing_port = '6'"""),
+    "oldest": q("SELECT age FROM fact ORDER BY age DESC NULLS LAST LIMIT 1"),
+    "port_types": q("""
+SELECT p.type AS port_type, count(*) AS total
+FROM fact f JOIN dim_ports p ON f.city = p.city AND f.landing_port = p.iata_code
+GROUP BY p.type"""),
+    "top_cities": q("""
+SELECT city, count(*) AS count FROM fact GROUP BY city ORDER BY count DESC, city LIMIT 5"""),
     "weekday_counts": q("""
 SELECT t.weekday AS arrival_day, count(*) AS count
 FROM fact f JOIN dim_time t ON f.arrival_date = t.sas_timestamp
 GROUP BY t.weekday"""),
+    **{f"profile_counts_{c}": _counts("arrivals_clean", c)
+       for c in ("visa", "visatype", "arrival_mode", "state", "age", "origin")},
+    **{f"profile_counts_{c}": _counts("dim_time", c) for c in ("year", "month", "day")},
+    "profile_counts_city": _counts("fact", "city"),
+    "profile_long": q("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS count "
+        f"FROM fact GROUP BY {c}" for c in ("visa", "visatype", "arrival_mode", "age"))),
+    "dq_row_counts": _dq("row_count", "count(*)", "> 0"),
+    "dq_null_keys": _dq("null_key", "count(*) FILTER (WHERE {k} IS NULL)", "= 0"),
+    "dq_unique_keys": _dq("unique_key", "(count(*) - count(DISTINCT {k}))", "= 0"),
+    "match_rate_by_month": q(f"""
+SELECT i.month, i.rows_in, coalesce(m.rows_matched, 0) AS rows_matched
+FROM (SELECT {_MONTH.format(c='arrival_date')} AS month, count(*) AS rows_in
+      FROM arrivals_clean GROUP BY 1) i
+LEFT JOIN (SELECT {_MONTH.format(c='arrival_date')} AS month, count(*) AS rows_matched
+           FROM fact GROUP BY 1) m ON i.month = m.month"""),
+    "union_months_distinct": q("""
+SELECT count(*) AS n_rows FROM (SELECT DISTINCT * FROM fact) d
+WHERE immigration_id IS NOT NULL AND origin IS NOT NULL AND landing_port IS NOT NULL
+  AND arrival_date IS NOT NULL AND NOT isnan(arrival_date)
+  AND departure_date IS NOT NULL AND NOT isnan(departure_date)
+  AND arrival_mode IS NOT NULL AND city IS NOT NULL AND age IS NOT NULL
+  AND visa IS NOT NULL AND visatype IS NOT NULL AND gender IS NOT NULL"""),
+    "ports_csv": q("SELECT * FROM ports_clean"),
+    "cities_csv": q("SELECT * FROM cities_clean"),
+    "code_lists": q("""
+SELECT 'i94cntyl' AS list_name, CAST(n_nationkey AS VARCHAR) AS code, n_name AS label FROM nation
+UNION ALL
+SELECT 'i94prtl', 'S' || CAST(s_suppkey AS VARCHAR), s_name || ', ' || CAST(s_nationkey AS VARCHAR)
+FROM supplier
+UNION ALL
+SELECT 'i94addrl', 'S' || CAST(r_regionkey AS VARCHAR), r_name FROM region"""),
+    "star_load": _dq("row_count", "count(*)", "> 0"),
 }

@@ -3,20 +3,37 @@
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame. Column names
 equal those of the SQL in ``portolan.plans.oracle``. Averages are rounded
 to 6 places in both so that summation order cannot change a digit.
+Queries that exercise sinks write below the shared scratch folder
+(``spark.checkpoint.dir``) and read their own output back.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from portolan.functions.dates import month_key, sas_to_date_text
+from portolan.functions.text import region_suffix
+from portolan.operators import clean, dims, fact, lookups, profile, quality
 from portolan.plans import analytics
-from portolan.plans.star import Sources, build_star, clean_sources
-from portolan.sources import testdata
+from portolan.plans.star import Sources, build_star, clean_sources, load_star
+from portolan.schemas import ARRIVALS_KEPT, ARRIVALS_RAW, CITIES_RAW, PORTS_RAW
+from portolan.session import scratch_path
+from portolan.sources import code_lists, files, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the README queries on the generated data (a port code of
+# the supplier-derived port list, chosen once).
+YOUNG_PORT = "6"
+YOUNG_MAX_AGE = 5
+TOP_K = 5
+ARRIVAL_PROFILE_COLUMNS = ["visa", "visatype", "arrival_mode", "state", "age", "origin"]
+TIME_PROFILE_COLUMNS = ["year", "month", "day"]
+
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(
@@ -35,21 +52,263 @@ def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return clean_sources(sources(spark, sf_dir))
 
 
-def q_fact_arrivals(spark, sf_dir):
-    return star(spark, sf_dir)["fact_immigrations"]
+def _scratch(spark: SparkSession, kind: str, sf_dir: str) -> str:
+    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return scratch_path(spark, "portolan", kind, tag)
+
+
+def _round_avgs(df: DataFrame) -> DataFrame:
+    return df.select("city", F.round("avg_temp", 6).alias("avg_temp"),
+                     F.round("avg_temp_uncertainty", 6).alias("avg_temp_uncertainty"))
+
+
+# -- scalar functions ---------------------------------------------------------------
+
+def q_sas_date(spark, sf_dir):
+    raw = testdata.arrivals_raw(spark, sf_dir)
+    x = (F.col("arrdate") + F.col("i94bir") / 100 - 0.25).alias("sas_value")
+    vals = raw.select(x).distinct()
+    return vals.select("sas_value", sas_to_date_text("sas_value").alias("sas_date"))
+
+
+def q_region_suffix(spark, sf_dir):
+    return testdata.ports_raw(spark, sf_dir).select(
+        "ident", "iso_region", region_suffix("iso_region").alias("region"))
+
+
+# -- cleaning -------------------------------------------------------------------------
+
+def q_arrivals_typed(spark, sf_dir):
+    return cleaned(spark, sf_dir)["arrivals"]
+
+
+def q_cities_clean(spark, sf_dir):
+    return cleaned(spark, sf_dir)["cities"]
+
+
+def q_ports_clean(spark, sf_dir):
+    return cleaned(spark, sf_dir)["ports"]
+
+
+def q_temps_clean(spark, sf_dir):
+    return cleaned(spark, sf_dir)["temperatures"]
+
+
+def q_drop_any_null(spark, sf_dir):
+    kept = clean.select_kept_arrivals(testdata.arrivals_raw(spark, sf_dir))
+    return clean.drop_incomplete(kept)
+
+
+def q_null_profile(spark, sf_dir):
+    kept = clean.select_kept_arrivals(testdata.arrivals_raw(spark, sf_dir))
+    return profile.null_profile(kept, ARRIVALS_KEPT)
+
+
+def q_dedup_full_row(spark, sf_dir):
+    raw = testdata.arrivals_raw(spark, sf_dir)
+    return clean.dedup_rows(raw.unionByName(raw))
+
+
+# -- joins and dimensions ------------------------------------------------------------
+
+def q_cities_ports_combined(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    return dims.cities_ports_combined(c["cities"], c["ports"])
+
+
+def q_dim_ports(spark, sf_dir):
+    return star(spark, sf_dir)["dim_ports"]
+
+
+def q_dim_cities(spark, sf_dir):
+    return star(spark, sf_dir)["dim_cities"]
 
 
 def q_dim_time(spark, sf_dir):
     return star(spark, sf_dir)["dim_time"]
 
 
+def q_union_distinct_dates(spark, sf_dir):
+    return dims.distinct_dates(cleaned(spark, sf_dir)["arrivals"], ["arrival_date", "departure_date"])
+
+
+def q_dim_temperatures(spark, sf_dir):
+    return _round_avgs(star(spark, sf_dir)["dim_temperatures"])
+
+
+def q_using_join_aggregates(spark, sf_dir):
+    return _round_avgs(dims.dim_temperatures_by_join(cleaned(spark, sf_dir)["temperatures"]))
+
+
+def q_fact_arrivals(spark, sf_dir):
+    return star(spark, sf_dir)["fact_immigrations"]
+
+
+def q_decode_labels(spark, sf_dir):
+    a = cleaned(spark, sf_dir)["arrivals"].select(
+        "immigration_id", "arrival_mode",
+        lookups.decode_constant("arrival_mode", lookups.ARRIVAL_MODES).alias("mode_label"),
+        "visa", lookups.decode_constant("visa", lookups.VISA_CATEGORIES).alias("visa_label"),
+        "state")
+    return lookups.decode_join(a, "state", testdata.nation_states(spark, sf_dir), "state_label")
+
+
+# -- analytic queries ----------------------------------------------------------------
+
+def q_young_arrivals(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return analytics.young_arrivals(s["fact_immigrations"], s["dim_time"], YOUNG_PORT, YOUNG_MAX_AGE)
+
+
+def q_oldest(spark, sf_dir):
+    return analytics.oldest(star(spark, sf_dir)["fact_immigrations"])
+
+
+def q_port_types(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return analytics.port_types(s["fact_immigrations"], s["dim_ports"])
+
+
+def q_top_cities(spark, sf_dir):
+    return analytics.top_cities(star(spark, sf_dir)["fact_immigrations"], TOP_K)
+
+
 def q_weekday_counts(spark, sf_dir):
     s = star(spark, sf_dir)
     return analytics.weekday_counts(s["fact_immigrations"], s["dim_time"])
 
 
+# -- profiling and quality -----------------------------------------------------------
+
+def _arrival_counts(col):
+    return lambda spark, sf_dir: profile.value_counts(cleaned(spark, sf_dir)["arrivals"], col)
+
+
+def _time_counts(col):
+    return lambda spark, sf_dir: profile.value_counts(star(spark, sf_dir)["dim_time"], col)
+
+
+def q_profile_counts_city(spark, sf_dir):
+    return profile.value_counts(star(spark, sf_dir)["fact_immigrations"], "city")
+
+
+def q_profile_long(spark, sf_dir):
+    return profile.profile(star(spark, sf_dir)["fact_immigrations"],
+                           ["visa", "visatype", "arrival_mode", "age"])
+
+
+def q_dq_row_counts(spark, sf_dir):
+    return quality.row_count_check(star(spark, sf_dir))
+
+
+def q_dq_null_keys(spark, sf_dir):
+    return quality.null_key_check(star(spark, sf_dir))
+
+
+def q_dq_unique_keys(spark, sf_dir):
+    return quality.unique_key_check(star(spark, sf_dir))
+
+
+def q_match_rate_by_month(spark, sf_dir):
+    s = sources(spark, sf_dir)
+    c = clean_sources(s)
+    ports = dims.dim_ports(c["ports"], c["cities"])
+    return fact.match_rate_by_month(c["arrivals"], ports)
+
+
+# -- sources and sinks ---------------------------------------------------------------
+
+def q_union_months_distinct(spark, sf_dir):
+    """Raw arrivals staged as one partition per month, read back as one
+    multi-month dataset, joined into facts; distinct complete rows counted."""
+    src = sources(spark, sf_dir)
+    base = _scratch(spark, "arrivals_by_month", sf_dir)
+    files.stage_monthly(src.arrivals, base, month_key("arrdate"))
+    months = files.read_months(spark, base)
+    c = clean_sources(Sources(months.select(*ARRIVALS_RAW.fieldNames()), src.cities,
+                              src.ports, src.temperatures))
+    facts = fact.fact_arrivals(c["arrivals"], dims.dim_ports(c["ports"], c["cities"]))
+    return fact.distinct_complete_count(facts)
+
+
+def q_ports_csv(spark, sf_dir):
+    path = _scratch(spark, "ports_csv", sf_dir)
+    files.write_csv(testdata.ports_raw(spark, sf_dir), path, sep=",")
+    return clean.clean_ports(files.read_csv(spark, path, PORTS_RAW, sep=","))
+
+
+def q_cities_csv(spark, sf_dir):
+    path = _scratch(spark, "cities_csv", sf_dir)
+    files.write_csv(testdata.cities_raw(spark, sf_dir), path, sep=";")
+    return clean.clean_cities(files.read_csv(spark, path, CITIES_RAW, sep=";"))
+
+
+def catalog_lists(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Code lists derived from the tables: countries (integer keys), ports and
+    states (quoted keys)."""
+    n = testdata.table(spark, sf_dir, "nation")
+    s = testdata.table(spark, sf_dir, "supplier")
+    r = testdata.table(spark, sf_dir, "region")
+    return {
+        "i94cntyl": n.select(F.col("n_nationkey").cast("string").alias("code"),
+                             F.col("n_name").alias("label"), F.lit(False).alias("quoted")),
+        "$i94prtl": s.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("code"),
+                             F.concat(F.col("s_name"), F.lit(", "),
+                                      F.col("s_nationkey").cast("string")).alias("label"),
+                             F.lit(True).alias("quoted")),
+        "$i94addrl": r.select(F.concat(F.lit("S"), F.col("r_regionkey").cast("string")).alias("code"),
+                              F.col("r_name").alias("label"), F.lit(True).alias("quoted")),
+    }
+
+
+def q_code_lists(spark, sf_dir):
+    path = _scratch(spark, "catalog", sf_dir)
+    code_lists.write_catalog(catalog_lists(spark, sf_dir), path)
+    return code_lists.read_code_lists(spark, path)
+
+
+def q_star_load(spark, sf_dir):
+    """Load the five tables into the warehouse folder, then check row counts
+    on what was written."""
+    base = _scratch(spark, "warehouse", sf_dir)
+    return quality.row_count_check(load_star(spark, sources(spark, sf_dir), base))
+
+
 QUERIES: dict[str, Query] = {
-    "fact_arrivals": q_fact_arrivals,
+    "sas_date": q_sas_date,
+    "region_suffix": q_region_suffix,
+    "arrivals_typed": q_arrivals_typed,
+    "cities_clean": q_cities_clean,
+    "ports_clean": q_ports_clean,
+    "temps_clean": q_temps_clean,
+    "drop_any_null": q_drop_any_null,
+    "null_profile": q_null_profile,
+    "dedup_full_row": q_dedup_full_row,
+    "cities_ports_combined": q_cities_ports_combined,
+    "dim_ports": q_dim_ports,
+    "dim_cities": q_dim_cities,
     "dim_time": q_dim_time,
+    "union_distinct_dates": q_union_distinct_dates,
+    "dim_temperatures": q_dim_temperatures,
+    "using_join_aggregates": q_using_join_aggregates,
+    "fact_arrivals": q_fact_arrivals,
+    "decode_labels": q_decode_labels,
+    "young_arrivals": q_young_arrivals,
+    "oldest": q_oldest,
+    "port_types": q_port_types,
+    "top_cities": q_top_cities,
     "weekday_counts": q_weekday_counts,
+    **{f"profile_counts_{c}": _arrival_counts(c) for c in ARRIVAL_PROFILE_COLUMNS},
+    **{f"profile_counts_{c}": _time_counts(c) for c in TIME_PROFILE_COLUMNS},
+    "profile_counts_city": q_profile_counts_city,
+    "profile_long": q_profile_long,
+    "dq_row_counts": q_dq_row_counts,
+    "dq_null_keys": q_dq_null_keys,
+    "dq_unique_keys": q_dq_unique_keys,
+    "match_rate_by_month": q_match_rate_by_month,
+    "union_months_distinct": q_union_months_distinct,
+    "ports_csv": q_ports_csv,
+    "cities_csv": q_cities_csv,
+    "code_lists": q_code_lists,
+    "star_load": q_star_load,
 }
