@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from portolan.functions.dates import sas_to_date, time_parts
 from portolan.functions.nulls import complete_rows
 from portolan.functions.text import region_suffix
-from portolan.operators.joins import BROADCAST_MAX_ROWS, join_using, maybe_broadcast, semi_join
+from portolan.operators.joins import join_using, semi_join
 
 # Source column -> dim_cities column.
 CITY_COLUMNS = {
@@ -24,25 +24,23 @@ CITY_COLUMNS = {
 }
 
 
-def cities_ports_combined(cities: DataFrame, ports: DataFrame,
-                          max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def cities_ports_combined(cities: DataFrame, ports: DataFrame) -> DataFrame:
     """Name-only match of cleaned cities and ports, full-row distinct.
 
     The wide many-to-many form; the dimensions below use existence joins
     instead so that neither side is repeated per partner.
     """
-    joined = cities.join(maybe_broadcast(ports, max_rows),
-                         F.col("City") == F.col("municipality"), "inner")
+    joined = cities.join(ports, F.col("City") == F.col("municipality"), "inner")
     return joined.dropDuplicates()
 
 
-def dim_ports(ports: DataFrame, cities: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def dim_ports(ports: DataFrame, cities: DataFrame) -> DataFrame:
     """Ports located in a known city; one row per distinct port record.
 
     ``iso_region`` keeps only the state part ('US-CA' -> 'CA').
     """
     matched = semi_join(ports, cities.select(F.col("City").alias("_city")),
-                        F.col("municipality") == F.col("_city"), max_rows)
+                        F.col("municipality") == F.col("_city"))
     return matched.select(
         F.col("ident").alias("port_id"),
         "name",
@@ -53,14 +51,14 @@ def dim_ports(ports: DataFrame, cities: DataFrame, max_rows: int = BROADCAST_MAX
     ).dropDuplicates()
 
 
-def dim_cities(cities: DataFrame, ports: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def dim_cities(cities: DataFrame, ports: DataFrame) -> DataFrame:
     """Cities that have at least one port; one row per distinct city record.
 
     Rows differing only in the dropped Race/Count collapse to one; a name in
     two states stays two rows (the grain is city and state).
     """
     matched = semi_join(cities, ports.select(F.col("municipality").alias("_muni")),
-                        F.col("City") == F.col("_muni"), max_rows)
+                        F.col("City") == F.col("_muni"))
     return matched.select(*[F.col(f"`{src}`").alias(dst) for src, dst in CITY_COLUMNS.items()]
                           ).dropDuplicates()
 

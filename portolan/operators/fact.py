@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions.dates import month_key
-from portolan.operators.joins import BROADCAST_MAX_ROWS, join_dimension, maybe_broadcast
+from portolan.operators.joins import BROADCAST_MAX_ROWS, maybe_broadcast
 
 FACT_COLUMNS = ["immigration_id", "origin", "landing_port", "arrival_date", "departure_date",
                 "arrival_mode", "city", "age", "visa", "visatype", "gender"]
@@ -30,8 +30,7 @@ def fact_arrivals(arrivals: DataFrame, ports: DataFrame, carry: tuple[str, ...]
     return joined.select(*FACT_COLUMNS, *carry)
 
 
-def match_rate_by_month(arrivals: DataFrame, ports: DataFrame,
-                        max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def match_rate_by_month(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
     """Per arrival month: cleaned rows in, fact rows out.
 
     Arrivals are first counted per (month, state, port), so only that small
@@ -42,7 +41,7 @@ def match_rate_by_month(arrivals: DataFrame, ports: DataFrame,
                             F.col("state"), F.col("landing_port"))
            .agg(F.count(F.lit(1)).alias("n")))
     mult = ports.groupBy("iso_region", "iata_code").agg(F.count(F.lit(1)).alias("m"))
-    j = join_dimension(pre, mult, _port_match(pre, mult), "left", max_rows)
+    j = pre.join(mult, _port_match(pre, mult), "left")
     return j.groupBy("month").agg(
         F.sum("n").alias("rows_in"),
         F.sum(F.col("n") * F.coalesce(F.col("m"), F.lit(0))).alias("rows_matched"),

@@ -31,18 +31,27 @@ def maybe_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Column | list | str,
-                   how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a large frame to a dimension, broadcasting the dimension if small."""
-    return fact.join(maybe_broadcast(dim, max_rows), on, how)
+                   how: str = "inner", max_rows: int | None = None) -> DataFrame:
+    """Join a large frame to a dimension.
+
+    With ``max_rows`` the dimension is counted first (``maybe_broadcast``);
+    use that only where the dimension's lineage is cheap (a standalone
+    source or a written table). Without it no hint is given: the planner
+    broadcasts on its size estimate and AQE re-plans from the measured size
+    of the shuffled side, so a dimension derived from the fact is never
+    computed twice just to be measured.
+    """
+    side = maybe_broadcast(dim, max_rows) if max_rows is not None else dim
+    return fact.join(side, on, how)
 
 
-def semi_join(left: DataFrame, right: DataFrame, on: Column | list | str,
-              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def semi_join(left: DataFrame, right: DataFrame, on: Column | list | str) -> DataFrame:
     """Rows of ``left`` with at least one match in ``right`` (EXISTS).
 
-    Never multiplies ``left`` rows and keeps only ``left`` columns.
+    Never multiplies ``left`` rows and keeps only ``left`` columns; the
+    strategy (broadcast or shuffle) is left to the planner and AQE.
     """
-    return left.join(maybe_broadcast(right, max_rows), on, "left_semi")
+    return left.join(right, on, "left_semi")
 
 
 def join_using(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

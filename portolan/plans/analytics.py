@@ -4,6 +4,10 @@ Where a query joins the (large) fact to a dimension and then groups, the
 fact is first counted per join key. The count is summed after the join,
 which gives the same numbers as counting join rows, but only the small
 aggregate reaches the join.
+
+``max_rows`` asks for an explicit size check of the dimension before it is
+broadcast; leave it unset when the dimension is a lazy frame derived from
+the fact (the planner and AQE decide from sizes instead).
 """
 
 from __future__ import annotations
@@ -11,11 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portolan.operators.joins import BROADCAST_MAX_ROWS, join_dimension
+from portolan.operators.joins import join_dimension
 
 
 def young_arrivals(fact: DataFrame, dim_time: DataFrame, port: str, max_age: int = 5,
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   max_rows: int | None = None) -> DataFrame:
     """id, age and day of month of arrivals younger than ``max_age`` at ``port``."""
     young = fact.filter((F.col("age") < max_age) & (F.col("landing_port") == port))
     t = dim_time.select("sas_timestamp", "day")
@@ -29,7 +33,7 @@ def oldest(fact: DataFrame) -> DataFrame:
 
 
 def port_types(fact: DataFrame, dim_ports: DataFrame,
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               max_rows: int | None = None) -> DataFrame:
     """Arrivals per port type, most first; counts join rows of fact and ports."""
     pre = fact.groupBy("city", "landing_port").agg(F.count(F.lit(1)).alias("n"))
     p = dim_ports.select(F.col("city").alias("p_city"), "iata_code", "type")
@@ -47,7 +51,7 @@ def top_cities(fact: DataFrame, k: int = 5) -> DataFrame:
 
 
 def weekday_counts(fact: DataFrame, dim_time: DataFrame,
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   max_rows: int | None = None) -> DataFrame:
     """Arrivals per weekday (1 = Sunday), counted over fact join dim_time."""
     pre = fact.groupBy("arrival_date").agg(F.count(F.lit(1)).alias("n"))
     t = dim_time.select("sas_timestamp", "weekday")

@@ -19,7 +19,7 @@ from portolan.functions.dates import month_key, sas_to_date_text
 from portolan.functions.text import region_suffix
 from portolan.operators import clean, dims, fact, lookups, profile, quality
 from portolan.plans import analytics
-from portolan.plans.star import Sources, build_star, clean_sources, load_star
+from portolan.plans.star import LazyTables, Sources, build_star, clean_sources, load_star
 from portolan.schemas import ARRIVALS_KEPT, ARRIVALS_RAW, CITIES_RAW, PORTS_RAW
 from portolan.session import scratch_path
 from portolan.sources import code_lists, files, testdata
@@ -35,21 +35,43 @@ ARRIVAL_PROFILE_COLUMNS = ["visa", "visatype", "arrival_mode", "state", "age", "
 TIME_PROFILE_COLUMNS = ["year", "month", "day"]
 
 
+class _LazySources(Sources):
+    """Sources read on first use, so a query touches only its own tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):  # noqa: D107 - no dataclass init
+        self._readers = {
+            "arrivals": lambda: testdata.arrivals_raw(spark, sf_dir),
+            "cities": lambda: testdata.cities_raw(spark, sf_dir),
+            "ports": lambda: testdata.ports_raw(spark, sf_dir),
+            "temperatures": lambda: testdata.temperatures_raw(spark, sf_dir),
+        }
+        self._read: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        readers = self.__dict__.get("_readers", {})
+        if name not in readers:
+            raise AttributeError(name)
+        if name not in self._read:
+            self._read[name] = readers[name]()
+        return self._read[name]
+
+
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources(
-        arrivals=testdata.arrivals_raw(spark, sf_dir),
-        cities=testdata.cities_raw(spark, sf_dir),
-        ports=testdata.ports_raw(spark, sf_dir),
-        temperatures=testdata.temperatures_raw(spark, sf_dir),
-    )
+    return _LazySources(spark, sf_dir)
 
 
-def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def star(spark: SparkSession, sf_dir: str):
     return build_star(sources(spark, sf_dir))
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return clean_sources(sources(spark, sf_dir))
+def cleaned(spark: SparkSession, sf_dir: str):
+    src = sources(spark, sf_dir)
+    return LazyTables({
+        "arrivals": lambda t: clean.clean_arrivals(src.arrivals),
+        "cities": lambda t: clean.clean_cities(src.cities),
+        "ports": lambda t: clean.clean_ports(src.ports),
+        "temperatures": lambda t: clean.clean_temperatures(src.temperatures),
+    })
 
 
 def _scratch(spark: SparkSession, kind: str, sf_dir: str) -> str:

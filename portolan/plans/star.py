@@ -9,6 +9,7 @@ written table.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,19 +35,45 @@ def clean_sources(src: Sources, carry: tuple[str, ...] = ()) -> dict[str, DataFr
     }
 
 
-def build_star(src: Sources) -> dict[str, DataFrame]:
+class LazyTables(Mapping):
+    """Name -> frame, each frame built on first access.
+
+    Building a plan can run a small job (the port dimension's size check
+    before the fact join), so a query that needs one table does not pay
+    for the others.
+    """
+
+    def __init__(self, builders: dict[str, Callable[["LazyTables"], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name](self)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def build_star(src: Sources) -> LazyTables:
     """The five tables as lazy frames over the sources."""
-    c = clean_sources(src)
-    ports = dims.dim_ports(c["ports"], c["cities"])
-    cities = dims.dim_cities(c["cities"], c["ports"])
-    facts = fact.fact_arrivals(c["arrivals"], ports)
-    return {
-        "fact_immigrations": facts,
-        "dim_time": dims.dim_time(facts),
-        "dim_cities": cities,
-        "dim_ports": ports,
-        "dim_temperatures": dims.dim_temperatures(c["temperatures"]),
-    }
+    c = LazyTables({
+        "arrivals": lambda t: clean.clean_arrivals(src.arrivals),
+        "cities": lambda t: clean.clean_cities(src.cities),
+        "ports": lambda t: clean.clean_ports(src.ports),
+        "temperatures": lambda t: clean.clean_temperatures(src.temperatures),
+    })
+    return LazyTables({
+        "fact_immigrations": lambda t: fact.fact_arrivals(c["arrivals"], t["dim_ports"]),
+        "dim_time": lambda t: dims.dim_time(t["fact_immigrations"]),
+        "dim_cities": lambda t: dims.dim_cities(c["cities"], c["ports"]),
+        "dim_ports": lambda t: dims.dim_ports(c["ports"], c["cities"]),
+        "dim_temperatures": lambda t: dims.dim_temperatures(c["temperatures"]),
+    })
 
 
 def load_star(spark: SparkSession, src: Sources, base: str) -> dict[str, DataFrame]:

@@ -25,15 +25,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_if_undersplit(df: DataFrame) -> DataFrame:
+    """Round-robin an input that scans as fewer partitions than the cluster
+    has cores (the generated files are one Parquet row group each, so one
+    task would do all the per-row work). Inputs split into enough
+    partitions, as any large dataset is, are returned unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. remote session)
+        return df
+    return df.repartition(cores) if parts < cores else df
+
+
 def _null(type_name: str = "string"):
     return F.lit(None).cast(type_name)
 
 
 def arrivals_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """28-column raw arrivals, one row per order line."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread_if_undersplit(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"))
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
