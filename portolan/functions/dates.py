@@ -22,8 +22,9 @@ def _col(c: Column | str) -> Column:
 
 def sas_to_date(x: Column | str) -> Column:
     """Double day number -> DATE; null, NaN or out-of-range -> null."""
-    days = F.floor(_col(x)).try_cast("int")
-    return F.date_add(F.lit(SAS_EPOCH), days)
+    c = _col(x)
+    days = F.floor(c).try_cast("int")
+    return F.when(~F.isnan(c), F.date_add(F.lit(SAS_EPOCH), days))
 
 
 def sas_to_date_text(x: Column | str) -> Column:
