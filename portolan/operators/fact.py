@@ -48,6 +48,18 @@ def match_rate_by_month(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
     )
 
 
+def stack_months(*frames: DataFrame) -> DataFrame:
+    """Union all of per-month frames, matched by column name.
+
+    Reading several months is better done as one multi-month read
+    (``files.read_months``); this is for frames that already exist.
+    """
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def distinct_complete_count(df: DataFrame) -> DataFrame:
     """Count of distinct rows with no null/NaN, as a one-row frame."""
     from portolan.operators.clean import drop_incomplete

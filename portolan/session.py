@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,15 +43,20 @@ def scratch_dir(spark: SparkSession) -> str:
     on the context). Only when neither is set, as in local tests, a fresh
     local folder is created and registered as the checkpoint folder.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - key absent
-            configured = None
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir")
+    except Exception:  # noqa: BLE001 - key absent
+        configured = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: no local context
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if sc is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for staged writes")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
@@ -65,9 +69,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared scratch folder."""
     return "/".join([scratch_dir(spark), *[p.strip("/") for p in parts]])
 
-
-def local_path_exists(path: str) -> bool:
-    """True if a local (file:) path exists; remote paths return False."""
-    if path.startswith("file:"):
-        path = path[5:]
-    return "://" not in path and os.path.exists(path)

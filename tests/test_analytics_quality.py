@@ -96,3 +96,12 @@ def test_profile_is_one_aggregation(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("a"), (F.col("id") % 5).alias("b"))
     plan = profile.profile(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 1
+
+
+def test_stack_months_then_distinct_complete_count(spark):
+    from portolan.operators.fact import distinct_complete_count, stack_months
+    jan = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "id int, g string")
+    feb = spark.createDataFrame([("a", 1), ("b", 3)], "g string, id int")
+    both = stack_months(jan, feb)
+    assert both.count() == 5
+    assert distinct_complete_count(both).first().n_rows == 2
