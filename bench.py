@@ -29,7 +29,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(f"local[{cpus}]", app="portolan-bench", shuffle_partitions=int(cpus) * 2,
+    spark = build_session(f"local[{cpus}]", app="portolan-bench", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     smoke = os.path.join(os.path.dirname(sf_dir), "sf0.001")

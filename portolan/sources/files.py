@@ -38,7 +38,14 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     ``overwrite`` with ``partition_by`` replaces only the partitions present
     in ``df`` (dynamic overwrite), so re-loading a month is idempotent and
     other months stay. ``errorifexists`` and ``append`` are the other modes.
+
+    A partitioned write is preceded by a ``rebalance`` on the partition
+    columns: AQE gathers each partition value's rows into few tasks (few
+    files per month instead of one per task and month) and splits a value
+    holding a large share of the rows into advisory-sized tasks.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -22,7 +22,14 @@ from portolan.schemas import ARRIVALS_RAW, CITIES_RAW, PORTS_RAW, TEMPERATURES_R
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One generated table. The lazy frame is kept per session, so its
+    Parquet schema is read once, not once per query (the files are
+    read-only)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    frames = spark.__dict__.setdefault("_portolan_tables", {})
+    if path not in frames:
+        frames[path] = spark.read.parquet(path)
+    return frames[path]
 
 
 def spread_if_undersplit(df: DataFrame) -> DataFrame:

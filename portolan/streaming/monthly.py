@@ -44,7 +44,7 @@ def start_monthly_load(spark: SparkSession, landing_dir: str, ports: DataFrame,
         arrivals = clean_arrivals(batch)
         arrivals = arrivals.withColumn("month", month_key("arrival_date"))
         facts = fact_arrivals(arrivals, ports, carry=("month",)).withColumn("batch", F.lit(batch_id))
-        (facts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (facts.hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch", "month").parquet(out_dir))
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
