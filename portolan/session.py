@@ -20,6 +20,32 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, sized from the input volume.
+
+    The initial shuffle partition count aims at ``target_partition_bytes``
+    per task for the largest shuffle (the raw-arrival distinct moves about
+    the input volume); AQE then coalesces small partitions and splits
+    skewed ones, so over-estimating is cheap. Lost executors are tolerated
+    by recomputing from lineage; decommissioning migrates shuffle blocks
+    first where the cluster manager supports it.
+    """
+    # Capped: beyond ~100k reducers the per-map-output bookkeeping dominates.
+    partitions = min(100_000, max(200, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.task.maxFailures": "8",
+    }
+
+
 def build_session(master: str | None = None, app: str = "portolan",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -121,3 +121,13 @@ def test_fact_join_needs_state_and_port_and_reports_loss(spark):
     assert f.first().city == "Orlando"
     rate = fact.match_rate_by_month(c, p).first()
     assert (rate.month, rate.rows_in, rate.rows_matched) == ("2016-01", 2, 1)
+
+
+def test_fact_join_same_rows_above_broadcast_bound(spark):
+    raw = arrivals(spark, [{"cicid": float(i), "i94addr": "FL" if i % 2 else "GA"} for i in range(20)])
+    c = clean.clean_arrivals(raw)
+    p = dims.dim_ports(clean.clean_ports(ports(spark, [{}])), clean.clean_cities(cities(spark, [{}])))
+    small = fact.fact_arrivals(c, p)                  # bound holds: broadcast hint
+    big = fact.fact_arrivals(c, p, max_rows=0)        # bound fails: no hint, planner decides
+    assert sorted(small.collect()) == sorted(big.collect())
+    assert len(small.collect()) == 10
