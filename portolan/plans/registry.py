@@ -10,6 +10,7 @@ Queries that exercise sinks write below the shared scratch folder
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,8 +76,10 @@ def cleaned(spark: SparkSession, sf_dir: str):
 
 
 def _scratch(spark: SparkSession, kind: str, sf_dir: str) -> str:
+    """A fresh folder per call: a frame returned earlier keeps reading the
+    files it listed, even if the same query is built again before it runs."""
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return scratch_path(spark, "portolan", kind, tag)
+    return scratch_path(spark, "portolan", kind, tag, uuid.uuid4().hex[:12])
 
 
 def _round_avgs(df: DataFrame) -> DataFrame:
