@@ -57,3 +57,16 @@ def test_weekday_query_aggregates_before_join(spark):
     plan = QUERIES["weekday_counts"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     join_at = plan.find("Join Inner")
     assert join_at > 0 and plan.find("Aggregate", join_at) > 0
+
+
+def test_full_row_distinct_combines_before_the_shuffle(spark):
+    from conftest import arrivals
+    from portolan.operators.clean import dedup_rows
+    raw = arrivals(spark, [{"cicid": 1.0}] * 300 + [{"cicid": float(i)} for i in range(2, 200)])
+    d = dedup_rows(raw)
+    assert d.count() == 199
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    body = plan.split("== Final Plan ==", 1)[-1].split("== Initial Plan ==", 1)[0]
+    lines = [ln.strip() for ln in body.splitlines()]
+    ex = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln)
+    assert any("HashAggregate" in ln for ln in lines[ex + 1:]), "partial aggregate below the exchange"

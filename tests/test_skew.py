@@ -1,0 +1,47 @@
+"""A port holding a third of all arrivals, with the port dimension above the
+broadcast bound: the join falls back to a shuffle join and AQE splits the
+hot partition. Thresholds are lowered so that small test data counts as skewed."""
+
+from conftest import arrivals, cities, ports
+
+from portolan.operators import clean, dims, fact
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
+def test_hot_port_is_split_and_rows_are_whole(spark):
+    saved = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        rows = []
+        for i in range(3000):
+            hot = i % 3 == 0
+            port = "ORL" if hot else f"P{i % 100:02d}"
+            rows.append({"cicid": float(i), "i94port": port, "i94addr": "FL"})
+        c = clean.clean_arrivals(arrivals(spark, rows))
+        p_rows = [{"ident": "KORL", "iata_code": "ORL"}] + [
+            {"ident": f"K{j:02d}", "iata_code": f"P{j:02d}"} for j in range(100)]
+        p = dims.dim_ports(clean.clean_ports(ports(spark, p_rows)), clean.clean_cities(cities(spark, [{}])))
+        f = fact.fact_arrivals(c, p, max_rows=0)          # size check fails: no broadcast hint
+        out = f.collect()
+        assert len(out) == 3000                           # every arrival matched once, none dropped
+        assert sum(1 for r in out if r.landing_port == "ORL") == 1000
+        plan = f._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Final Plan ==", 1)[-1].split("== Initial Plan ==", 1)[0]
+        assert "SortMergeJoin" in final and "skew=true" in final
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
