@@ -296,5 +296,13 @@ SELECT 'i94prtl', 'S' || CAST(s_suppkey AS VARCHAR), s_name || ', ' || CAST(s_na
 FROM supplier
 UNION ALL
 SELECT 'i94addrl', 'S' || CAST(r_regionkey AS VARCHAR), r_name FROM region"""),
+    "port_places": q("""
+SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS code,
+       s_name || ', ' || CAST(s_nationkey AS VARCHAR) AS label,
+       s_name AS place, CAST(s_nationkey AS VARCHAR) AS state, 'valid' AS status
+FROM supplier"""),
+    "decode_catalog": q("""
+SELECT a.immigration_id, a.origin, coalesce(n.n_name, 'Other') AS origin_label
+FROM arrivals_clean a LEFT JOIN nation n ON CAST(a.origin AS VARCHAR) = CAST(n.n_nationkey AS VARCHAR)"""),
     "star_load": _dq("row_count", "count(*)", "> 0"),
 }

@@ -292,6 +292,20 @@ def q_code_lists(spark, sf_dir):
     return code_lists.read_code_lists(spark, path)
 
 
+def q_port_places(spark, sf_dir):
+    """Port labels of the parsed catalog split into place and state."""
+    return code_lists.port_places(q_code_lists(spark, sf_dir))
+
+
+def q_decode_catalog(spark, sf_dir):
+    """Arrival origins decoded through the country list of the parsed catalog."""
+    lists = q_code_lists(spark, sf_dir)
+    countries = lists.filter(F.col("list_name") == "i94cntyl").select("code", "label")
+    a = cleaned(spark, sf_dir)["arrivals"].select(
+        "immigration_id", "origin", F.col("origin").cast("string").alias("origin_code"))
+    return lookups.decode_join(a, "origin_code", countries, "origin_label").drop("origin_code")
+
+
 def q_star_load(spark, sf_dir):
     """Load the five tables into the warehouse folder, then check row counts
     on what was written."""
@@ -335,5 +349,7 @@ QUERIES: dict[str, Query] = {
     "ports_csv": q_ports_csv,
     "cities_csv": q_cities_csv,
     "code_lists": q_code_lists,
+    "port_places": q_port_places,
+    "decode_catalog": q_decode_catalog,
     "star_load": q_star_load,
 }
