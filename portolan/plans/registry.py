@@ -306,6 +306,19 @@ def q_decode_catalog(spark, sf_dir):
     return lookups.decode_join(a, "origin_code", countries, "origin_label").drop("origin_code")
 
 
+def q_stream_fact_load(spark, sf_dir):
+    """Raw arrivals landed as files, loaded by the incremental stream loader
+    (one micro-batch takes all landed files), fact read back."""
+    from portolan.streaming import read_fact, start_monthly_load
+    base = _scratch(spark, "stream", sf_dir)
+    src = sources(spark, sf_dir)
+    src.arrivals.write.parquet(f"{base}/landing")
+    c = clean_sources(src)
+    ports = dims.dim_ports(c["ports"], c["cities"])
+    start_monthly_load(spark, f"{base}/landing", ports, f"{base}/fact", f"{base}/checkpoint").awaitTermination()
+    return read_fact(spark, f"{base}/fact")
+
+
 def q_star_load(spark, sf_dir):
     """Load the five tables into the warehouse folder, then check row counts
     on what was written."""
@@ -352,4 +365,5 @@ QUERIES: dict[str, Query] = {
     "port_places": q_port_places,
     "decode_catalog": q_decode_catalog,
     "star_load": q_star_load,
+    "stream_fact_load": q_stream_fact_load,
 }
