@@ -184,13 +184,21 @@ _DQ_TABLES = [("fact_immigrations", "fact", "immigration_id"),
               ("dim_time", "dim_time", "sas_timestamp")]
 
 
-def _dq(check: str, observed: str, passed: str) -> str:
+def _dq_body(check: str, observed: str, passed: str) -> str:
     parts = [f"SELECT '{name}' AS table_name, '{check}' AS check_name, "
              + ("CAST(NULL AS VARCHAR)" if check == "row_count" else f"'{key}'")
              + f" AS key_column, CAST({observed.format(k=key)} AS BIGINT) AS observed, "
              f"{observed.format(k=key)} {passed} AS passed FROM {view}"
              for name, view, key in _DQ_TABLES]
-    return q("\nUNION ALL\n".join(parts))
+    return "\nUNION ALL\n".join(parts)
+
+
+def _dq(check: str, observed: str, passed: str) -> str:
+    return q(_dq_body(check, observed, passed))
+
+
+_ROW_COUNT = ("row_count", "count(*)", "> 0")
+_NULL_KEY = ("null_key", "count(*) FILTER (WHERE {k} IS NULL)", "= 0")
 
 
 _MONTH = "strftime(DATE '1960-01-01' + CAST(floor({c}) AS INTEGER), '%Y-%m')"
@@ -271,8 +279,8 @@ GROUP BY t.weekday"""),
     "profile_long": q("\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS count "
         f"FROM fact GROUP BY {c}" for c in ("visa", "visatype", "arrival_mode", "age"))),
-    "dq_row_counts": _dq("row_count", "count(*)", "> 0"),
-    "dq_null_keys": _dq("null_key", "count(*) FILTER (WHERE {k} IS NULL)", "= 0"),
+    "dq_row_counts": _dq(*_ROW_COUNT),
+    "dq_null_keys": _dq(*_NULL_KEY),
     "dq_unique_keys": _dq("unique_key", "(count(*) - count(DISTINCT {k}))", "= 0"),
     "match_rate_by_month": q(f"""
 SELECT i.month, i.rows_in, coalesce(m.rows_matched, 0) AS rows_matched
@@ -306,4 +314,10 @@ SELECT a.immigration_id, a.origin, coalesce(n.n_name, 'Other') AS origin_label
 FROM arrivals_clean a LEFT JOIN nation n ON CAST(a.origin AS VARCHAR) = CAST(n.n_nationkey AS VARCHAR)"""),
     "star_load": _dq("row_count", "count(*)", "> 0"),
     "stream_fact_load": q("SELECT * FROM fact"),
+    "warehouse_checks": q(_dq_body(*_ROW_COUNT) + "\nUNION ALL\n" + _dq_body(*_NULL_KEY)),
 }
+
+# The SQL-text forms of the example queries give the same rows as their
+# DataFrame forms.
+ORACLE.update({f"sql_{k}": ORACLE[k]
+               for k in ("young_arrivals", "oldest", "port_types", "top_cities", "weekday_counts")})

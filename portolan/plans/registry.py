@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from portolan.functions.dates import month_key, sas_to_date_text
 from portolan.functions.text import region_suffix
 from portolan.operators import clean, dims, fact, lookups, profile, quality
-from portolan.plans import analytics
+from portolan.plans import analytics, warehouse_sql
 from portolan.plans.star import LazyTables, Sources, build_star, clean_sources, load_star
 from portolan.schemas import ARRIVALS_KEPT, ARRIVALS_RAW, CITIES_RAW, PORTS_RAW
 from portolan.session import scratch_path
-from portolan.sources import code_lists, files, testdata
+from portolan.sources import code_lists, files, testdata, warehouse
 from portolan.streaming import read_fact, start_monthly_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,6 +204,15 @@ def q_weekday_counts(spark, sf_dir):
     return analytics.weekday_counts(s["fact_immigrations"], s["dim_time"])
 
 
+# -- the analytic queries as SQL text ---------------------------------------------------
+
+def _sql_example(name: str, **params) -> Query:
+    def run(spark, sf_dir):
+        return warehouse_sql.example_query(spark, name, star(spark, sf_dir), **params)
+    run.__doc__ = f"The {name} example query as SQL text over the lazy star."
+    return run
+
+
 # -- profiling and quality -----------------------------------------------------------
 
 def _arrival_counts(col):
@@ -326,6 +335,18 @@ def q_star_load(spark, sf_dir):
     return quality.row_count_check(load_star(spark, sources(spark, sf_dir), base))
 
 
+def q_warehouse_checks(spark, sf_dir):
+    """The star written as Parquet folders, copied into typed catalog tables
+    (DDL first), and the row-count and null-key checks run as SQL text over
+    those tables."""
+    base = _scratch(spark, "warehouse_sql", sf_dir)
+    load_star(spark, sources(spark, sf_dir), base)
+    db = f"portolan_wh_{uuid.uuid4().hex[:12]}"
+    warehouse.create_tables(spark, db, f"{base}/_catalog")
+    warehouse.copy_tables(spark, base, db)
+    return warehouse_sql.warehouse_checks(spark, warehouse.read_tables(spark, db))
+
+
 QUERIES: dict[str, Query] = {
     "sas_date": q_sas_date,
     "region_suffix": q_region_suffix,
@@ -366,4 +387,10 @@ QUERIES: dict[str, Query] = {
     "decode_catalog": q_decode_catalog,
     "star_load": q_star_load,
     "stream_fact_load": q_stream_fact_load,
+    "warehouse_checks": q_warehouse_checks,
+    "sql_young_arrivals": _sql_example("young_arrivals", port=YOUNG_PORT, max_age=YOUNG_MAX_AGE),
+    "sql_oldest": _sql_example("oldest"),
+    "sql_port_types": _sql_example("port_types"),
+    "sql_top_cities": _sql_example("top_cities", k=TOP_K),
+    "sql_weekday_counts": _sql_example("weekday_counts"),
 }

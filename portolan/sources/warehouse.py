@@ -38,5 +38,15 @@ def load_tables(frames: Mapping[str, DataFrame], database: str) -> None:
         typed.write.insertInto(f"`{database}`.`{name}`", overwrite=True)
 
 
+def copy_tables(spark: SparkSession, base: str, database: str,
+                names: tuple[str, ...] | None = None) -> None:
+    """Load each table from its Parquet folder ``{base}/{name}`` (as written
+    by ``plans.star.load_star``), the warehouse's copy-from-files step.
+    Extra columns in the files, such as the fact's ``month`` partition, are
+    not loaded; no credential is ever part of the statement."""
+    load_tables({name: spark.read.parquet(f"{base}/{name}") for name in (names or STAR_TABLES)},
+                database)
+
+
 def read_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     return {name: spark.table(f"`{database}`.`{name}`") for name in STAR_TABLES}

@@ -1,0 +1,83 @@
+import uuid
+
+from conftest import SF_SMALL
+
+from portolan.plans import warehouse_sql
+from portolan.plans.registry import QUERIES, TOP_K, YOUNG_MAX_AGE, YOUNG_PORT, star
+from portolan.schemas import DIM_TIME, FACT_IMMIGRATIONS
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_example_queries_equal_dataframe_forms(spark):
+    for name in warehouse_sql.EXAMPLE_QUERIES:
+        assert _rows(QUERIES[f"sql_{name}"](spark, SF_SMALL)) == _rows(QUERIES[name](spark, SF_SMALL)), name
+
+
+def test_ordered_queries_keep_their_order(spark):
+    s = star(spark, SF_SMALL)
+    days = [r.arrival_day for r in warehouse_sql.example_query(spark, "weekday_counts", s).collect()]
+    assert days == sorted(days)
+    top = warehouse_sql.example_query(spark, "top_cities", s, k=TOP_K).collect()
+    assert len(top) <= TOP_K
+    assert [(-r["count"], r.city) for r in top] == sorted((-r["count"], r.city) for r in top)
+
+
+def test_values_are_bound_not_spliced(spark):
+    fact = spark.createDataFrame(
+        [(1, 1, "O'X", 20454.0, 20460.0, 1, "c", 3, 2, "WT", "F"),
+         (2, 1, "ORL", 20454.0, 20460.0, 1, "c", 3, 2, "WT", "F")], FACT_IMMIGRATIONS)
+    time = spark.createDataFrame([(20454.0, 2016, 1, 1, 53, 6)], DIM_TIME)
+    tables = {"fact_immigrations": fact, "dim_time": time}
+    out = warehouse_sql.example_query(spark, "young_arrivals", tables, port="O'X", max_age=YOUNG_MAX_AGE)
+    assert [tuple(r) for r in out.collect()] == [(1, 3, 1)]
+    none = warehouse_sql.example_query(spark, "young_arrivals", tables, port="x' OR '1'='1",
+                                       max_age=YOUNG_MAX_AGE)
+    assert none.count() == 0
+
+
+def test_only_named_tables_are_built(spark):
+    built = []
+
+    class Tables(dict):
+        def __getitem__(self, k):
+            built.append(k)
+            return super().__getitem__(k)
+
+    fact = spark.createDataFrame([], FACT_IMMIGRATIONS)
+    warehouse_sql.example_query(spark, "oldest", Tables(fact_immigrations=fact, dim_time=None))
+    assert built == ["fact_immigrations"]
+
+
+def test_checks_report_null_keys_and_empty_tables(spark):
+    fact = spark.createDataFrame(
+        [(None, 1, "ORL", 20454.0, 20460.0, 1, "c", 3, 2, "WT", "F")], FACT_IMMIGRATIONS)
+    time = spark.createDataFrame([], DIM_TIME)
+    rep = {(r.table_name, r.check_name): (r.key_column, r.observed, r.passed)
+           for r in warehouse_sql.warehouse_checks(
+               spark, {"fact_immigrations": fact, "dim_time": time}).collect()}
+    assert rep[("fact_immigrations", "row_count")] == (None, 1, True)
+    assert rep[("fact_immigrations", "null_key")] == ("immigration_id", 1, False)
+    assert rep[("dim_time", "row_count")] == (None, 0, False)
+    assert rep[("dim_time", "null_key")] == ("sas_timestamp", 0, True)
+
+
+def test_copy_into_catalog_then_check(spark, tmp_path):
+    from portolan.plans.registry import sources
+    from portolan.plans.star import load_star
+    from portolan.sources import warehouse
+
+    base = str(tmp_path / "wh")
+    load_star(spark, sources(spark, SF_SMALL), base)
+    db = f"portolan_t_{uuid.uuid4().hex[:8]}"
+    warehouse.create_tables(spark, db, f"{base}/_catalog")
+    warehouse.copy_tables(spark, base, db)
+    warehouse.copy_tables(spark, base, db)  # a second copy replaces, never appends
+    tables = warehouse.read_tables(spark, db)
+    assert tables["fact_immigrations"].columns == FACT_IMMIGRATIONS.fieldNames()
+    rep = warehouse_sql.warehouse_checks(spark, tables).collect()
+    assert len(rep) == 10 and all(r.passed for r in rep)
+    counts = {r.table_name: r.observed for r in rep if r.check_name == "row_count"}
+    assert counts["fact_immigrations"] == star(spark, SF_SMALL)["fact_immigrations"].count()
