@@ -297,6 +297,12 @@ WHERE immigration_id IS NOT NULL AND origin IS NOT NULL AND landing_port IS NOT
   AND visa IS NOT NULL AND visatype IS NOT NULL AND gender IS NOT NULL"""),
     "ports_csv": q("SELECT * FROM ports_clean"),
     "cities_csv": q("SELECT * FROM cities_clean"),
+    "csv_null_semantics": """
+SELECT o_orderkey,
+  CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS token_text,
+  CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS blank_text,
+  CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END AS quoted_text
+FROM orders""",
     "code_lists": q("""
 SELECT 'i94cntyl' AS list_name, CAST(n_nationkey AS VARCHAR) AS code, n_name AS label FROM nation
 UNION ALL

@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from portolan.functions.dates import month_key, sas_to_date_text
 from portolan.functions.text import region_suffix
@@ -278,6 +279,28 @@ def q_cities_csv(spark, sf_dir):
     return clean.clean_cities(files.read_csv(spark, path, CITIES_RAW, sep=";"))
 
 
+ORDER_TEXTS = T.StructType([T.StructField("o_orderkey", T.LongType()),
+                            *[T.StructField(c, T.StringType())
+                              for c in ("token_text", "blank_text", "quoted_text")]])
+
+
+def q_csv_null_semantics(spark, sf_dir):
+    """Orders written as CSV with the three kinds of missing text, then read
+    back: a literal ``NULL`` token and an empty unquoted field (how the writer
+    stores a null when its null token is empty) read as null; a quoted empty
+    field reads as the empty string."""
+    o = testdata.table(spark, sf_dir, "orders")
+    status = F.col("o_orderstatus")
+    texts = o.select(
+        "o_orderkey",
+        F.when(status == "F", F.lit(files.NULL_TOKEN)).otherwise(F.col("o_orderpriority")).alias("token_text"),
+        F.when(status != "O", status).alias("blank_text"),
+        F.when(status == "P", F.lit("")).otherwise(status).alias("quoted_text"))
+    path = _scratch(spark, "orders_csv", sf_dir)
+    files.write_csv(texts, path, sep=",", null_token="")
+    return files.read_csv(spark, path, ORDER_TEXTS, sep=",")
+
+
 def catalog_lists(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Code lists derived from the tables: countries (integer keys), ports and
     states (quoted keys)."""
@@ -382,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "union_months_distinct": q_union_months_distinct,
     "ports_csv": q_ports_csv,
     "cities_csv": q_cities_csv,
+    "csv_null_semantics": q_csv_null_semantics,
     "code_lists": q_code_lists,
     "port_places": q_port_places,
     "decode_catalog": q_decode_catalog,
