@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from portolan.functions.dates import month_key
 from portolan.operators import clean, dims, fact
+from portolan.session import run_concurrently
 from portolan.sources import files
 
 
@@ -82,16 +83,35 @@ def load_star(spark: SparkSession, src: Sources, base: str) -> dict[str, DataFra
 
     Re-running replaces the tables (the fact is partitioned by arrival
     month and overwritten per month), so a second run changes nothing.
+
+    The chain ports -> fact -> time depends on its own written tables; the
+    city and temperature dimensions do not, so they are written at the same
+    time as the chain instead of after it (their small jobs fill executors
+    the chain leaves idle).
     """
     c = clean_sources(src)
-    out: dict[str, DataFrame] = {}
-    out["dim_ports"] = files.write_table(dims.dim_ports(c["ports"], c["cities"]), f"{base}/dim_ports")
-    out["dim_cities"] = files.write_table(dims.dim_cities(c["cities"], c["ports"]), f"{base}/dim_cities")
-    out["dim_temperatures"] = files.write_table(dims.dim_temperatures(c["temperatures"]),
-                                                f"{base}/dim_temperatures")
-    arrivals = c["arrivals"].withColumn("month", month_key("arrival_date"))
-    facts = fact.fact_arrivals(arrivals, out["dim_ports"], carry=("month",))
-    written = files.write_table(facts, f"{base}/fact_immigrations", partition_by=["month"])
-    out["fact_immigrations"] = written.select(*fact.FACT_COLUMNS)
-    out["dim_time"] = files.write_table(dims.dim_time(out["fact_immigrations"]), f"{base}/dim_time")
-    return out
+
+    def ports_fact_time() -> dict[str, DataFrame]:
+        ports = files.write_table(dims.dim_ports(c["ports"], c["cities"]), f"{base}/dim_ports")
+        arrivals = c["arrivals"].withColumn("month", month_key("arrival_date"))
+        facts = fact.fact_arrivals(arrivals, ports, carry=("month",))
+        written = files.write_table(facts, f"{base}/fact_immigrations", partition_by=["month"])
+        fact_t = written.select(*fact.FACT_COLUMNS)
+        time_t = files.write_table(dims.dim_time(fact_t), f"{base}/dim_time")
+        return {"dim_ports": ports, "fact_immigrations": fact_t, "dim_time": time_t}
+
+    done = run_concurrently({
+        "chain": ports_fact_time,
+        "dim_cities": lambda: files.write_table(dims.dim_cities(c["cities"], c["ports"]),
+                                                f"{base}/dim_cities"),
+        "dim_temperatures": lambda: files.write_table(dims.dim_temperatures(c["temperatures"]),
+                                                      f"{base}/dim_temperatures"),
+    })
+    chain = done["chain"]
+    return {
+        "dim_ports": chain["dim_ports"],
+        "dim_cities": done["dim_cities"],
+        "dim_temperatures": done["dim_temperatures"],
+        "fact_immigrations": chain["fact_immigrations"],
+        "dim_time": chain["dim_time"],
+    }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
+from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
 # Settings the library relies on. AQE re-plans joins and coalesces shuffle
@@ -95,3 +97,29 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared scratch folder."""
     return "/".join([scratch_dir(spark), *[p.strip("/") for p in parts]])
 
+
+def run_concurrently(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Run independent driver-side steps (each submits its own Spark jobs)
+    in parallel threads and return their results by name.
+
+    Threads inherit the caller's local properties (job group, scheduler
+    pool), so cancelling the caller's group cancels them too. The first
+    failure is raised after all threads have ended.
+    """
+    results: dict[str, object] = {}
+    errors: list[BaseException] = []
+
+    def run(name: str, fn: Callable[[], object]) -> None:
+        try:
+            results[name] = fn()
+        except BaseException as ex:  # noqa: BLE001 - re-raised below
+            errors.append(ex)
+
+    threads = [InheritableThread(target=run, args=(n, f)) for n, f in tasks.items()]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+    return results

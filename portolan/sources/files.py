@@ -50,13 +50,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    reader = df.sparkSession.read
-    if partition_by:
-        # Partition values are read back with the written types, not inferred ones.
-        part_schema = T.StructType([df.schema[c] for c in partition_by])
-        data_schema = T.StructType([f for f in df.schema.fields if f.name not in partition_by])
-        reader = reader.schema(T.StructType(data_schema.fields + part_schema.fields))
-    return reader.parquet(path)
+    # Read back with the written schema: no footer-reading inference job, and
+    # partition values keep the written types instead of inferred ones.
+    part_schema = T.StructType([df.schema[c] for c in partition_by or []])
+    data_schema = T.StructType([f for f in df.schema.fields if f.name not in (partition_by or [])])
+    return df.sparkSession.read.schema(T.StructType(data_schema.fields + part_schema.fields)).parquet(path)
 
 
 def read_months(spark: SparkSession, base: str, months: list[str] | None = None,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.schemas import STAR_TABLES
+from portolan.session import run_concurrently
 
 
 def table_ddl(database: str, name: str) -> str:
@@ -31,11 +32,16 @@ def create_tables(spark: SparkSession, database: str, location: str | None = Non
 
 
 def load_tables(frames: Mapping[str, DataFrame], database: str) -> None:
-    """Overwrite each table with its frame, cast to the table's column types."""
-    for name, df in frames.items():
+    """Overwrite each table with its frame, cast to the table's column types.
+
+    The tables are independent, so their loads run at the same time.
+    """
+    def load(name: str, df: DataFrame):
         schema, _ = STAR_TABLES[name]
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        typed.write.insertInto(f"`{database}`.`{name}`", overwrite=True)
+        return lambda: typed.write.insertInto(f"`{database}`.`{name}`", overwrite=True)
+
+    run_concurrently({name: load(name, df) for name, df in frames.items()})
 
 
 def copy_tables(spark: SparkSession, base: str, database: str,

@@ -45,3 +45,18 @@ def test_warehouse_create_load_twice(spark):
     assert first == second and all(v > 0 for v in first.values())
     t = warehouse.read_tables(spark, db)["fact_immigrations"]
     assert dict(t.dtypes)["immigration_id"] == "int" and dict(t.dtypes)["arrival_date"] == "double"
+
+
+def test_run_concurrently_returns_results_and_raises_failures(spark):
+    import pytest
+
+    from portolan.session import run_concurrently
+
+    out = run_concurrently({"a": lambda: spark.range(5).count(), "b": lambda: 7})
+    assert out == {"a": 5, "b": 7}
+
+    def boom():
+        raise ValueError("failed step")
+
+    with pytest.raises(ValueError, match="failed step"):
+        run_concurrently({"ok": lambda: spark.range(3).count(), "bad": boom})
