@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from portolan.schemas import STAR_TABLES
 
@@ -54,6 +55,25 @@ def quality_report(tables: dict[str, DataFrame], keys: dict[str, str] | None = N
             .unionByName(unique_key_check(tables, keys)))
 
 
+REPORT_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType()), T.StructField("check_name", T.StringType()),
+    T.StructField("key_column", T.StringType()), T.StructField("observed", T.LongType()),
+    T.StructField("passed", T.BooleanType())])
+
+
+def report_from_metrics(spark: SparkSession, metrics: dict[str, dict],
+                        keys: dict[str, str] | None = None) -> DataFrame:
+    """The row-count and null-key report from metrics observed while the
+    tables were written (``load_star_observed``): one small row per table
+    and check, no scan of the tables."""
+    keys = keys or DEFAULT_KEYS
+    rows = []
+    for name, m in metrics.items():
+        rows.append((name, "row_count", None, int(m["row_count"]), int(m["row_count"]) > 0))
+        rows.append((name, "null_key", keys[name], int(m["null_key"]), int(m["null_key"]) == 0))
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
 def raise_on_failure(report: DataFrame) -> DataFrame:
     """Raise if any check failed (the report has one row per table and check)."""
     failed = report.filter(~F.col("passed")).collect()

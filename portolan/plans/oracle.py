@@ -321,6 +321,7 @@ FROM arrivals_clean a LEFT JOIN nation n ON CAST(a.origin AS VARCHAR) = CAST(n.n
     "star_load": _dq("row_count", "count(*)", "> 0"),
     "stream_fact_load": q("SELECT * FROM fact"),
     "warehouse_checks": q(_dq_body(*_ROW_COUNT) + "\nUNION ALL\n" + _dq_body(*_NULL_KEY)),
+    "star_load_metrics": q(_dq_body(*_ROW_COUNT) + "\nUNION ALL\n" + _dq_body(*_NULL_KEY)),
 }
 
 # The SQL-text forms of the example queries give the same rows as their

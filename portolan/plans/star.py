@@ -13,9 +13,11 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from portolan.functions.dates import month_key
 from portolan.operators import clean, dims, fact
+from portolan.schemas import STAR_TABLES
 from portolan.session import run_concurrently
 from portolan.sources import files
 
@@ -83,6 +85,15 @@ def load_star(spark: SparkSession, src: Sources, base: str) -> dict[str, DataFra
 
     Re-running replaces the tables (the fact is partitioned by arrival
     month and overwritten per month), so a second run changes nothing.
+    """
+    return load_star_observed(spark, src, base)[0]
+
+
+def load_star_observed(spark: SparkSession, src: Sources, base: str
+                       ) -> tuple[dict[str, DataFrame], dict[str, dict]]:
+    """``load_star`` that also returns, per table, the row count and the
+    null-key count of the rows written. Both are measured by the write jobs
+    themselves, so checking a load costs no further pass over the data.
 
     The chain ports -> fact -> time depends on its own written tables; the
     city and temperature dimensions do not, so they are written at the same
@@ -91,27 +102,27 @@ def load_star(spark: SparkSession, src: Sources, base: str) -> dict[str, DataFra
     """
     c = clean_sources(src)
 
-    def ports_fact_time() -> dict[str, DataFrame]:
-        ports = files.write_table(dims.dim_ports(c["ports"], c["cities"]), f"{base}/dim_ports")
+    def write(name: str, df: DataFrame, partition_by: list[str] | None = None):
+        key = STAR_TABLES[name][1]
+        return files.write_observed(df, f"{base}/{name}", {
+            "row_count": F.count(F.lit(1)),
+            "null_key": F.count_if(F.col(key).isNull()),
+        }, partition_by)
+
+    def ports_fact_time() -> dict[str, tuple[DataFrame, dict]]:
+        ports = write("dim_ports", dims.dim_ports(c["ports"], c["cities"]))
         arrivals = c["arrivals"].withColumn("month", month_key("arrival_date"))
-        facts = fact.fact_arrivals(arrivals, ports, carry=("month",))
-        written = files.write_table(facts, f"{base}/fact_immigrations", partition_by=["month"])
+        facts = fact.fact_arrivals(arrivals, ports[0], carry=("month",))
+        written, fact_metrics = write("fact_immigrations", facts, ["month"])
         fact_t = written.select(*fact.FACT_COLUMNS)
-        time_t = files.write_table(dims.dim_time(fact_t), f"{base}/dim_time")
-        return {"dim_ports": ports, "fact_immigrations": fact_t, "dim_time": time_t}
+        time = write("dim_time", dims.dim_time(fact_t))
+        return {"dim_ports": ports, "fact_immigrations": (fact_t, fact_metrics), "dim_time": time}
 
     done = run_concurrently({
         "chain": ports_fact_time,
-        "dim_cities": lambda: files.write_table(dims.dim_cities(c["cities"], c["ports"]),
-                                                f"{base}/dim_cities"),
-        "dim_temperatures": lambda: files.write_table(dims.dim_temperatures(c["temperatures"]),
-                                                      f"{base}/dim_temperatures"),
+        "dim_cities": lambda: write("dim_cities", dims.dim_cities(c["cities"], c["ports"])),
+        "dim_temperatures": lambda: write("dim_temperatures", dims.dim_temperatures(c["temperatures"])),
     })
-    chain = done["chain"]
-    return {
-        "dim_ports": chain["dim_ports"],
-        "dim_cities": done["dim_cities"],
-        "dim_temperatures": done["dim_temperatures"],
-        "fact_immigrations": chain["fact_immigrations"],
-        "dim_time": chain["dim_time"],
-    }
+    written = {**done.pop("chain"), **done}
+    order = ["dim_ports", "dim_cities", "dim_temperatures", "fact_immigrations", "dim_time"]
+    return ({n: written[n][0] for n in order}, {n: written[n][1] for n in order})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,9 +44,29 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     files per month instead of one per task and month) and splits a value
     holding a large share of the rows into advisory-sized tasks.
     """
+    return write_observed(df, path, {}, partition_by, mode)[0]
+
+
+def write_observed(df: DataFrame, path: str, metrics: dict[str, Column],
+                   partition_by: list[str] | None = None,
+                   mode: str = "overwrite") -> tuple[DataFrame, dict]:
+    """``write_table`` that also returns aggregate ``metrics`` (name -> Column,
+    e.g. a row count) of the rows written, measured by the write job itself:
+    no second pass over the data.
+
+    The metrics sit directly below the write, above any rebalance, so they
+    are computed in the job's final stage. Spark merges a final-stage
+    task's metrics once per partition, so retried or speculative tasks are
+    not counted twice.
+    """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    obs = None
+    out = df
+    if metrics:
+        obs = Observation()
+        out = df.observe(obs, *[c.alias(n) for n, c in metrics.items()])
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -54,7 +74,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     # partition values keep the written types instead of inferred ones.
     part_schema = T.StructType([df.schema[c] for c in partition_by or []])
     data_schema = T.StructType([f for f in df.schema.fields if f.name not in (partition_by or [])])
-    return df.sparkSession.read.schema(T.StructType(data_schema.fields + part_schema.fields)).parquet(path)
+    back = df.sparkSession.read.schema(T.StructType(data_schema.fields + part_schema.fields)).parquet(path)
+    return back, (dict(obs.get) if obs is not None else {})
 
 
 def read_months(spark: SparkSession, base: str, months: list[str] | None = None,
