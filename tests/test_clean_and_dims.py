@@ -131,3 +131,17 @@ def test_fact_join_same_rows_above_broadcast_bound(spark):
     big = fact.fact_arrivals(c, p, max_rows=0)        # bound fails: no hint, planner decides
     assert sorted(small.collect()) == sorted(big.collect())
     assert len(small.collect()) == 10
+
+
+def test_size_check_bounds_rows_and_bytes(spark):
+    from portolan.operators import joins
+
+    df = spark.createDataFrame([("ab", 1, [1, 2]), (None, None, None), ("é", 3, [])],
+                               "s string, i int, a array<int>")
+    # 3 rows x (8 null bits + 3 fields x 8) + 4 text bytes + 7 JSON bytes
+    assert joins.measure(df) == (3, 3 * 32 + 4 + 7)
+    assert joins.has_at_most(df, 3, 107) and not joins.has_at_most(df, 2, 10_000)
+    assert not joins.has_at_most(df, 10, 106)
+    hinted = joins.maybe_broadcast(df, 10, 106)
+    assert "broadcast" not in hinted._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" in joins.maybe_broadcast(df, 10, 107)._jdf.queryExecution().analyzed().toString().lower()
