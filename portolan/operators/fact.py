@@ -17,16 +17,24 @@ def _port_match(arrivals: DataFrame, ports: DataFrame):
             & (arrivals["landing_port"] == ports["iata_code"]))
 
 
+def port_side(ports: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The port columns the fact join needs, broadcast-hinted when the size
+    check passes. Check once and reuse it when the same ports meet many
+    arrival frames (micro-batches)."""
+    return maybe_broadcast(ports.select("iso_region", "iata_code", "city"), max_rows)
+
+
 def fact_arrivals(arrivals: DataFrame, ports: DataFrame, carry: tuple[str, ...] = (),
-                  max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Typed arrivals joined to ports on (state, landing port); city from the port.
 
     Arrivals without a port are dropped (see ``match_rate_by_month``). The
     port dimension is broadcast when its size check passes; otherwise the
-    join shuffles on both keys and AQE splits hot keys.
+    join shuffles on both keys and AQE splits hot keys. ``max_rows=None``
+    takes ``ports`` as it is (already prepared by ``port_side``).
     """
-    p = ports.select("iso_region", "iata_code", "city")
-    joined = arrivals.join(maybe_broadcast(p, max_rows), _port_match(arrivals, p), "inner")
+    p = port_side(ports, max_rows) if max_rows is not None else ports
+    joined = arrivals.join(p, _port_match(arrivals, p), "inner")
     return joined.select(*FACT_COLUMNS, *carry)
 
 

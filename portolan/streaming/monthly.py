@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from portolan.functions.dates import month_key
 from portolan.operators.clean import clean_arrivals
-from portolan.operators.fact import FACT_COLUMNS, fact_arrivals
+from portolan.operators.fact import FACT_COLUMNS, fact_arrivals, port_side
 from portolan.schemas import ARRIVALS_RAW
 
 
@@ -39,11 +39,15 @@ def start_monthly_load(spark: SparkSession, landing_dir: str, ports: DataFrame,
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     stream = reader.parquet(landing_dir)
+    # The port dimension is static: its size is checked once here, not in
+    # every micro-batch.
+    side = port_side(ports)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         arrivals = clean_arrivals(batch)
         arrivals = arrivals.withColumn("month", month_key("arrival_date"))
-        facts = fact_arrivals(arrivals, ports, carry=("month",)).withColumn("batch", F.lit(batch_id))
+        facts = (fact_arrivals(arrivals, side, carry=("month",), max_rows=None)
+                 .withColumn("batch", F.lit(batch_id)))
         (facts.hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch", "month").parquet(out_dir))
 
