@@ -320,6 +320,7 @@ SELECT a.immigration_id, a.origin, coalesce(n.n_name, 'Other') AS origin_label
 FROM arrivals_clean a LEFT JOIN nation n ON CAST(a.origin AS VARCHAR) = CAST(n.n_nationkey AS VARCHAR)"""),
     "star_load": _dq("row_count", "count(*)", "> 0"),
     "stream_fact_load": q("SELECT * FROM fact"),
+    "etl_from_files": q("SELECT * FROM fact"),
     "warehouse_checks": q(_dq_body(*_ROW_COUNT) + "\nUNION ALL\n" + _dq_body(*_NULL_KEY)),
     "star_load_metrics": q(_dq_body(*_ROW_COUNT) + "\nUNION ALL\n" + _dq_body(*_NULL_KEY)),
 }

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from portolan.functions.dates import month_key, sas_to_date_text
 from portolan.functions.text import region_suffix
 from portolan.operators import clean, dims, fact, lookups, profile, quality
-from portolan.plans import analytics, warehouse_sql
+from portolan.plans import analytics, pipeline, warehouse_sql
 from portolan.plans.star import LazyTables, Sources, build_star, clean_sources, load_star, load_star_observed
 from portolan.schemas import ARRIVALS_KEPT, ARRIVALS_RAW, CITIES_RAW, PORTS_RAW
 from portolan.session import scratch_path
@@ -366,6 +366,23 @@ def q_star_load_metrics(spark, sf_dir):
     return quality.report_from_metrics(spark, metrics)
 
 
+def q_etl_from_files(spark, sf_dir):
+    """The batch job from files: the four sources staged as the raw file
+    kinds (monthly arrivals Parquet, ';' cities CSV, comma ports and
+    temperatures CSV), read back by the job, star written; the fact as
+    loaded."""
+    base = _scratch(spark, "etl_files", sf_dir)
+    src = sources(spark, sf_dir)
+    files.stage_monthly(src.arrivals, f"{base}/in/arrivals", month_key("arrdate"))
+    files.write_csv(src.cities, f"{base}/in/cities", sep=";")
+    files.write_csv(src.ports, f"{base}/in/ports", sep=",")
+    files.write_csv(src.temperatures, f"{base}/in/temperatures", sep=",")
+    read = pipeline.read_sources(spark, f"{base}/in/arrivals", f"{base}/in/cities",
+                                 f"{base}/in/ports", f"{base}/in/temperatures")
+    tables, _ = pipeline.run(spark, read, f"{base}/out")
+    return tables["fact_immigrations"]
+
+
 def q_warehouse_checks(spark, sf_dir):
     """The star written as Parquet folders, copied into typed catalog tables
     (DDL first), and the row-count and null-key checks run as SQL text over
@@ -421,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "stream_fact_load": q_stream_fact_load,
     "star_load_metrics": q_star_load_metrics,
     "warehouse_checks": q_warehouse_checks,
+    "etl_from_files": q_etl_from_files,
     "sql_young_arrivals": _sql_example("young_arrivals", port=YOUNG_PORT, max_age=YOUNG_MAX_AGE),
     "sql_oldest": _sql_example("oldest"),
     "sql_port_types": _sql_example("port_types"),
