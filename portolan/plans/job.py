@@ -1,6 +1,6 @@
 """The batch job: raw source files in, checked star schema out.
 
-    python -m portolan.plans.pipeline --arrivals BASE --cities PATH --ports PATH \\
+    python -m portolan.plans.job --arrivals BASE --cities PATH --ports PATH \\
         --temperatures PATH --out BASE [--months 2016-01 2016-02 ...] \\
         [--arrivals-format parquet|csv] [--database NAME] [--no-raise]
 
@@ -65,7 +65,7 @@ def run(spark: SparkSession, src: Sources, out: str, database: str | None = None
 
 
 def main(argv: list[str] | None = None) -> int:
-    ap = argparse.ArgumentParser(prog="python -m portolan.plans.pipeline", description=__doc__.split("\n")[0])
+    ap = argparse.ArgumentParser(prog="python -m portolan.plans.job", description=__doc__.split("\n")[0])
     ap.add_argument("--arrivals", required=True)
     ap.add_argument("--cities", required=True)
     ap.add_argument("--ports", required=True)
@@ -78,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
 
     from portolan.session import build_session
-    spark = build_session(app="portolan-pipeline")
+    spark = build_session(app="portolan-job")
     src = read_sources(spark, a.arrivals, a.cities, a.ports, a.temperatures, a.months, a.arrivals_format)
     _, report = run(spark, src, a.out, a.database, raise_on_failure=False)
     rows = report.collect()  # one small row per table and check

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from portolan.functions.dates import month_key, sas_to_date_text
 from portolan.functions.text import region_suffix
 from portolan.operators import clean, dims, fact, lookups, profile, quality
-from portolan.plans import analytics, pipeline, warehouse_sql
+from portolan.plans import analytics, job, warehouse_sql
 from portolan.plans.star import LazyTables, Sources, build_star, clean_sources, load_star, load_star_observed
 from portolan.schemas import ARRIVALS_KEPT, ARRIVALS_RAW, CITIES_RAW, PORTS_RAW
 from portolan.session import scratch_path
@@ -377,9 +377,9 @@ def q_etl_from_files(spark, sf_dir):
     files.write_csv(src.cities, f"{base}/in/cities", sep=";")
     files.write_csv(src.ports, f"{base}/in/ports", sep=",")
     files.write_csv(src.temperatures, f"{base}/in/temperatures", sep=",")
-    read = pipeline.read_sources(spark, f"{base}/in/arrivals", f"{base}/in/cities",
+    read = job.read_sources(spark, f"{base}/in/arrivals", f"{base}/in/cities",
                                  f"{base}/in/ports", f"{base}/in/temperatures")
-    tables, _ = pipeline.run(spark, read, f"{base}/out")
+    tables, _ = job.run(spark, read, f"{base}/out")
     return tables["fact_immigrations"]
 
 

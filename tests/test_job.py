@@ -4,7 +4,7 @@ import pytest
 from conftest import SF_SMALL
 
 from portolan.functions.dates import month_key
-from portolan.plans import pipeline
+from portolan.plans import job
 from portolan.plans.registry import sources, star
 from portolan.sources import files
 
@@ -30,7 +30,7 @@ def _args(base, out, *extra):
 
 def test_cli_writes_a_checked_star(spark, staged, tmp_path, capsys):
     out = str(tmp_path / "out")
-    assert pipeline.main(_args(staged, out)) == 0
+    assert job.main(_args(staged, out)) == 0
     printed = capsys.readouterr().out
     assert printed.count("PASS") == 10 and "FAIL" not in printed
     fact = spark.read.parquet(f"{out}/fact_immigrations").drop("month")
@@ -40,21 +40,21 @@ def test_cli_writes_a_checked_star(spark, staged, tmp_path, capsys):
 
 def test_months_are_a_partition_filter(spark, staged, tmp_path):
     months = ["1995-03", "1996-07"]
-    src = pipeline.read_sources(spark, f"{staged}/arrivals", f"{staged}/cities", f"{staged}/ports",
+    src = job.read_sources(spark, f"{staged}/arrivals", f"{staged}/cities", f"{staged}/ports",
                                 f"{staged}/temperatures", months)
     jvm = spark.sparkContext._jvm
     plan = jvm.PythonSQLUtils.explainString(src.arrivals._jdf.queryExecution(), "formatted")
     pruned = [ln for ln in plan.splitlines() if ln.strip().startswith("PartitionFilters")]
     assert pruned and re.search(r"month#\d+ IN \(1995-03,1996-07\)", pruned[0])
-    tables, report = pipeline.run(spark, src, str(tmp_path / "out"), raise_on_failure=False)
+    tables, report = job.run(spark, src, str(tmp_path / "out"), raise_on_failure=False)
     got = {r.m for r in tables["fact_immigrations"].select(month_key("arrival_date").alias("m")).distinct().collect()}
     assert got and got <= set(months)
 
 
 def test_csv_arrivals_read_like_parquet(spark, staged):
-    a = pipeline.read_sources(spark, f"{staged}/arrivals_csv", f"{staged}/cities", f"{staged}/ports",
+    a = job.read_sources(spark, f"{staged}/arrivals_csv", f"{staged}/cities", f"{staged}/ports",
                               f"{staged}/temperatures", arrivals_format="csv").arrivals
-    b = pipeline.read_sources(spark, f"{staged}/arrivals", f"{staged}/cities", f"{staged}/ports",
+    b = job.read_sources(spark, f"{staged}/arrivals", f"{staged}/cities", f"{staged}/ports",
                               f"{staged}/temperatures").arrivals
     assert a.schema == b.schema
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -62,11 +62,11 @@ def test_csv_arrivals_read_like_parquet(spark, staged):
 
 def test_unknown_arrivals_format_is_refused(spark, staged):
     with pytest.raises(ValueError):
-        pipeline.read_sources(spark, staged, staged, staged, staged, arrivals_format="sas7bdat")
+        job.read_sources(spark, staged, staged, staged, staged, arrivals_format="sas7bdat")
 
 
 def test_failed_checks_raise(spark, staged, tmp_path):
-    src = pipeline.read_sources(spark, f"{staged}/arrivals", f"{staged}/cities", f"{staged}/ports",
+    src = job.read_sources(spark, f"{staged}/arrivals", f"{staged}/cities", f"{staged}/ports",
                                 f"{staged}/temperatures", ["1800-01"])  # no such month: empty fact
     with pytest.raises(AssertionError, match="fact_immigrations.row_count"):
-        pipeline.run(spark, src, str(tmp_path / "out"))
+        job.run(spark, src, str(tmp_path / "out"))
