@@ -98,11 +98,6 @@ def warehouse_checks(spark: SparkSession, tables: Mapping[str, DataFrame],
     """(table_name, check_name, key_column, observed, passed) for every
     check and table, as one frame (one job, one scan per table and check)."""
     keys = keys or {name: key for name, (_, key) in STAR_TABLES.items()}
-    parts = []
-    for check in checks:
-        for name in tables:
-            params = {"table_name": name}
-            if "IDENTIFIER(:key)" in CHECKS[check]:
-                params["key"] = keys[name]
-            parts.append(spark.sql(CHECKS[check], args=params, table=tables[name]))
+    parts = [spark.sql(CHECKS[check], args={"table_name": name, "key": keys[name]}, table=tables[name])
+             for check in checks for name in tables]
     return reduce(DataFrame.unionByName, parts)
