@@ -2,7 +2,7 @@
 
     python -m portolan.plans.job --arrivals BASE --cities PATH --ports PATH \\
         --temperatures PATH --out BASE [--months 2016-01 2016-02 ...] \\
-        [--arrivals-format parquet|csv] [--database NAME] [--no-raise]
+        [--arrivals-format parquet|csv] [--database NAME] [--no-raise] [--no-autoscale]
 
 Arrivals are a ``month=``-partitioned dataset of the 28 raw columns
 (Parquet, or header CSV); ``--months`` becomes a partition filter, so only
@@ -12,7 +12,10 @@ are read with fixed schemas (no inference pass). The star is written under
 ``--out`` (``load_star``), optionally copied into typed catalog tables of
 ``--database``, and checked with the row-count and null-key counts the
 write jobs observed. The session comes from the cluster (``spark-submit``
-settings); nothing here picks a master or a local folder.
+settings); nothing here picks a master or a local folder. Unless
+``--no-autoscale`` is given, shuffle partitions, split and skew sizes are
+set from the bytes under the source paths (``session.apply_scale``);
+settings given at launch are kept.
 """
 
 from __future__ import annotations
@@ -75,10 +78,15 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--arrivals-format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--database")
     ap.add_argument("--no-raise", action="store_true")
+    ap.add_argument("--no-autoscale", action="store_true",
+                    help="keep the session's shuffle and split sizes instead of sizing them from the input")
     a = ap.parse_args(argv)
 
-    from portolan.session import build_session
+    from portolan.session import apply_scale, build_session, path_bytes
     spark = build_session(app="portolan-job")
+    if not a.no_autoscale:
+        # Shuffle partitions, split and skew sizes from the input volume.
+        apply_scale(spark, path_bytes(spark, [a.arrivals, a.cities, a.ports, a.temperatures]))
     src = read_sources(spark, a.arrivals, a.cities, a.ports, a.temperatures, a.months, a.arrivals_format)
     _, report = run(spark, src, a.out, a.database, raise_on_failure=False)
     rows = report.collect()  # one small row per table and check

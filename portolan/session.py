@@ -48,6 +48,32 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
     }
 
 
+def path_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total bytes stored under ``paths`` (one file-system summary call per
+    path; no file is opened)."""
+    sc = spark.sparkContext
+    hconf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def apply_scale(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Set the ``scale_conf`` settings that can change at runtime and that
+    were not given at launch (a value from ``spark-submit --conf`` wins).
+    Returns what was set."""
+    launched = spark.sparkContext.getConf()
+    applied = {}
+    for key, value in scale_conf(input_bytes).items():
+        if launched.contains(key) or not spark.conf.isModifiable(key):
+            continue
+        spark.conf.set(key, value)
+        applied[key] = value
+    return applied
+
+
 def build_session(master: str | None = None, app: str = "portolan",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -30,7 +30,7 @@ def _args(base, out, *extra):
 
 def test_cli_writes_a_checked_star(spark, staged, tmp_path, capsys):
     out = str(tmp_path / "out")
-    assert job.main(_args(staged, out)) == 0
+    assert job.main(_args(staged, out, "--no-autoscale")) == 0
     printed = capsys.readouterr().out
     assert printed.count("PASS") == 10 and "FAIL" not in printed
     fact = spark.read.parquet(f"{out}/fact_immigrations").drop("month")
@@ -70,3 +70,28 @@ def test_failed_checks_raise(spark, staged, tmp_path):
                                 f"{staged}/temperatures", ["1800-01"])  # no such month: empty fact
     with pytest.raises(AssertionError, match="fact_immigrations.row_count"):
         job.run(spark, src, str(tmp_path / "out"))
+
+
+def test_scale_settings_from_input_bytes_keep_launch_values(spark, staged):
+    import os
+
+    from portolan.session import apply_scale, path_bytes
+
+    on_disk = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{staged}/ports")
+                  for f in fs if not f.startswith("."))             # checksum files are hidden
+    assert path_bytes(spark, [f"{staged}/ports"]) == on_disk
+    before = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")}
+    try:
+        applied = apply_scale(spark, 10 << 40)                    # 10 TiB of input
+        assert "spark.sql.shuffle.partitions" not in applied         # set at launch: kept
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+        assert applied["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+        assert "spark.decommission.enabled" not in applied           # not changeable at runtime
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        for k in ("spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+                  "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                  "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
