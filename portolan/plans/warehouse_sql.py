@@ -26,20 +26,20 @@ from portolan.schemas import STAR_TABLES
 # The five example queries over the star tables.
 EXAMPLE_QUERIES: dict[str, str] = {
     "young_arrivals": """
-SELECT immig.immigration_id, immig.age, dimt.day
-FROM {fact_immigrations} immig
-JOIN {dim_time} dimt ON immig.arrival_date = dimt.sas_timestamp
-WHERE immig.age < :max_age AND immig.landing_port = :port""",
+SELECT f.immigration_id, f.age, t.day
+FROM {fact_immigrations} f
+JOIN {dim_time} t ON t.sas_timestamp = f.arrival_date
+WHERE f.landing_port = :port AND f.age < :max_age""",
     "oldest": """
 SELECT age FROM {fact_immigrations} ORDER BY age DESC NULLS LAST LIMIT 1""",
     "port_types": """
-WITH per_port AS (
+WITH by_port AS (
   SELECT city, landing_port, COUNT(*) AS n
   FROM {fact_immigrations} GROUP BY city, landing_port)
-SELECT ports.type AS port_type, SUM(immig.n) AS total
-FROM per_port immig
-JOIN {dim_ports} ports ON immig.city = ports.city AND immig.landing_port = ports.iata_code
-GROUP BY ports.type
+SELECT p.type AS port_type, SUM(b.n) AS total
+FROM by_port b
+JOIN {dim_ports} p ON p.city = b.city AND p.iata_code = b.landing_port
+GROUP BY p.type
 ORDER BY total DESC, port_type ASC NULLS LAST""",
     "top_cities": """
 SELECT city, COUNT(*) AS count
@@ -48,13 +48,13 @@ GROUP BY city
 ORDER BY count DESC, city ASC NULLS LAST
 LIMIT :k""",
     "weekday_counts": """
-WITH per_day AS (
+WITH by_day AS (
   SELECT arrival_date, COUNT(*) AS n FROM {fact_immigrations} GROUP BY arrival_date)
-SELECT dimt.weekday AS arrival_day, SUM(immig.n) AS count
-FROM per_day immig
-JOIN {dim_time} dimt ON immig.arrival_date = dimt.sas_timestamp
-GROUP BY dimt.weekday
-ORDER BY arrival_day ASC""",
+SELECT t.weekday AS arrival_day, SUM(b.n) AS count
+FROM by_day b
+JOIN {dim_time} t ON t.sas_timestamp = b.arrival_date
+GROUP BY t.weekday
+ORDER BY arrival_day""",
 }
 
 # The warehouse checks, one statement per table. A row count
