@@ -6,7 +6,9 @@
 
 Arrivals are a ``month=``-partitioned dataset of the 28 raw columns
 (Parquet, or header CSV); ``--months`` becomes a partition filter, so only
-those folders are listed and read, all months in one job. Cities are a
+those folders are listed and read, all months in one job. A path with
+``{month}`` in it names one file or folder per month instead (the month
+list is then required). Cities are a
 ``;``-separated header CSV, ports and temperatures comma-separated; all
 are read with fixed schemas (no inference pass). The star is written under
 ``--out`` (``load_star``), optionally copied into typed catalog tables of
@@ -34,8 +36,20 @@ from portolan.sources import files, warehouse
 
 def read_sources(spark: SparkSession, arrivals: str, cities: str, ports: str, temperatures: str,
                  months: list[str] | None = None, arrivals_format: str = "parquet") -> Sources:
-    """The four raw sources, typed by their fixed schemas."""
-    if arrivals_format == "parquet":
+    """The four raw sources, typed by their fixed schemas.
+
+    ``arrivals`` is a ``month=``-partitioned dataset, or a path template with
+    ``{month}`` in it (one file or folder per month, e.g.
+    ``.../i94_{month}16_sub.parquet``), which then needs ``months``.
+    """
+    if "{month}" in arrivals:
+        opts = {"header": True, "nullValue": files.NULL_TOKEN} if arrivals_format == "csv" else {}
+        if arrivals_format not in ("parquet", "csv"):
+            raise ValueError(f"arrivals format must be parquet or csv, not {arrivals_format!r}")
+        raw = files.read_month_files(spark, arrivals, months or [],
+                                     ARRIVALS_RAW if arrivals_format == "csv" else None,
+                                     fmt=arrivals_format, **opts)
+    elif arrivals_format == "parquet":
         raw = files.read_months(spark, arrivals, months)
     elif arrivals_format == "csv":
         raw = (spark.read.option("header", True).option("nullValue", files.NULL_TOKEN)

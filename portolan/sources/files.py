@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,6 +94,23 @@ def read_months(spark: SparkSession, base: str, months: list[str] | None = None,
     return df
 
 
+def read_month_files(spark: SparkSession, template: str, months: list[str],
+                     schema: T.StructType | None = None, fmt: str = "parquet",
+                     column: str = "month", **options) -> DataFrame:
+    """Read one file (or folder) per month whose path has the month in its
+    name, e.g. ``.../i94_{month}16_sub.parquet`` with months
+    ``["jan", "feb", "mar"]``. Each month's scan gets its month as a
+    column; the scans are unioned into one plan, so all months are read in
+    one job and only the named files are listed."""
+    if not months:
+        raise ValueError("name at least one month for a templated path")
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
+    frames = [reader.load(template.format(month=m)).withColumn(column, F.lit(m)) for m in months]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def stage_monthly(df: DataFrame, base: str, month_col: F.Column, column: str = "month") -> DataFrame:
     """Write a frame as one partition per month (dynamic overwrite) and read it back."""
     return write_table(df.withColumn(column, month_col), base, partition_by=[column])

@@ -95,3 +95,16 @@ def test_scale_settings_from_input_bytes_keep_launch_values(spark, staged):
                   "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
                   "spark.sql.adaptive.autoBroadcastJoinThreshold"):
             spark.conf.unset(k)
+
+
+def test_templated_month_files_read_like_the_partitioned_dataset(spark, staged):
+    months = ["1995-03", "1996-07", "1997-11"]
+    paths = (f"{staged}/cities", f"{staged}/ports", f"{staged}/temperatures")
+    templated = job.read_sources(spark, f"{staged}/arrivals/month={{month}}", *paths, months).arrivals
+    partitioned = job.read_sources(spark, f"{staged}/arrivals", *paths, months).arrivals
+    assert templated.count() > 0
+    assert templated.exceptAll(partitioned).count() == 0 and partitioned.exceptAll(templated).count() == 0
+    tagged = files.read_month_files(spark, f"{staged}/arrivals/month={{month}}", months)
+    assert {r.month for r in tagged.select("month").distinct().collect()} == set(months)
+    with pytest.raises(ValueError):
+        files.read_month_files(spark, f"{staged}/arrivals/month={{month}}", [])
