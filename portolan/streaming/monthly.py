@@ -12,13 +12,15 @@ own partitions, so the load is idempotent and never touches earlier
 batches. As in the monthly source files, rows are de-duplicated within the
 file set of a batch. The time dimension is rebuilt afterwards from the
 whole fact table (``dims.dim_time(read_fact(...))``), so a day that occurs
-in several batches still has one row.
+in several batches still has one row. Each batch also records the number of
+fact rows it wrote (``read_load_log``), measured by its write job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from portolan.functions.dates import month_key
@@ -27,6 +29,13 @@ from portolan.operators.fact import FACT_COLUMNS, fact_arrivals, port_side
 from portolan.schemas import ARRIVALS_RAW
 
 
+# Per-batch load log, below the output folder. Spark skips folders whose
+# name starts with '_' when the fact is read.
+LOAD_LOG = "_load_log"
+LOAD_LOG_SCHEMA = T.StructType([T.StructField("batch", T.LongType()),
+                                T.StructField("rows_written", T.LongType())])
+
+
 def start_monthly_load(spark: SparkSession, landing_dir: str, ports: DataFrame, out_dir: str,
                        checkpoint_dir: str, max_files_per_batch: int | None = None,
                        available_now: bool = True) -> StreamingQuery:
@@ -48,14 +57,28 @@ def start_monthly_load(spark: SparkSession, landing_dir: str, ports: DataFrame,
         arrivals = arrivals.withColumn("month", month_key("arrival_date"))
         facts = (fact_arrivals(arrivals, side, carry=("month",), max_rows=None)
                  .withColumn("batch", F.lit(batch_id)))
-        (facts.hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        written = Observation()
+        (facts.hint("rebalance", "month").observe(written, F.count(F.lit(1)).alias("rows_written"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch", "month").parquet(out_dir))
+        # One log row per batch, measured by the write itself (final stage:
+        # counted once per partition). A retried batch replaces its own row.
+        log = batch.sparkSession.createDataFrame(
+            [(batch_id, int(written.get["rows_written"]))], LOAD_LOG_SCHEMA)
+        (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(f"{out_dir}/{LOAD_LOG}"))
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
+def read_load_log(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(batch, rows_written) per loaded micro-batch."""
+    return (spark.read.schema(LOAD_LOG_SCHEMA).option("basePath", f"{out_dir}/{LOAD_LOG}")
+            .parquet(f"{out_dir}/{LOAD_LOG}").select("batch", "rows_written"))
+
+
 def read_fact(spark: SparkSession, out_dir: str, months: list[str] | None = None) -> DataFrame:
     """The loaded fact table (optionally only some months)."""
     df = spark.read.option("basePath", out_dir).parquet(out_dir)

@@ -5,7 +5,7 @@ from conftest import SF_SMALL, arrivals, cities, ports
 from portolan.operators import clean, dims, quality
 from portolan.plans.registry import star
 from portolan.sources import warehouse
-from portolan.streaming import read_fact, start_monthly_load
+from portolan.streaming import read_fact, read_load_log, start_monthly_load
 
 
 def _dim_ports(spark):
@@ -30,6 +30,8 @@ def test_stream_loads_only_new_files_and_is_repeatable(spark):
     assert [r.immigration_id for r in read_fact(spark, out, ["2016-02"]).collect()] == [3]
     t = dims.dim_time(fact)
     assert t.count() == t.select("sas_timestamp").distinct().count()
+    log = sorted(tuple(r) for r in read_load_log(spark, out).collect())
+    assert [b for b, _ in log] == [0, 1] and sum(n for _, n in log) == 3
 
 
 def test_warehouse_create_load_twice(spark):
