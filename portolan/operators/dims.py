@@ -28,10 +28,14 @@ def cities_ports_combined(cities: DataFrame, ports: DataFrame) -> DataFrame:
     """Name-only match of cleaned cities and ports, full-row distinct.
 
     The wide many-to-many form; the dimensions below use existence joins
-    instead so that neither side is repeated per partner.
+    instead so that neither side is repeated per partner. Both sides are
+    made distinct before the join: for an inner equi-join that keeps every
+    column, distinct(A join B) = distinct(A) join distinct(B), so the
+    distinct shuffles the inputs instead of the (larger) joined pairs, and
+    no pair is produced twice.
     """
-    joined = cities.join(ports, F.col("City") == F.col("municipality"), "inner")
-    return joined.dropDuplicates()
+    return cities.dropDuplicates().join(ports.dropDuplicates(),
+                                        F.col("City") == F.col("municipality"), "inner")
 
 
 def dim_ports(ports: DataFrame, cities: DataFrame) -> DataFrame:

@@ -145,3 +145,12 @@ def test_size_check_bounds_rows_and_bytes(spark):
     hinted = joins.maybe_broadcast(df, 10, 106)
     assert "broadcast" not in hinted._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" in joins.maybe_broadcast(df, 10, 107)._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_name_join_distinct_inputs_equal_distinct_pairs(spark):
+    c = clean.clean_cities(cities(spark, [{}, {}, {"Race": "White"}, {"City": "Tampa"}]))
+    p = clean.clean_ports(ports(spark, [{}, {}, {"ident": "KXYZ"}, {"municipality": "Miami"}]))
+    got = dims.cities_ports_combined(c, p)
+    want = c.join(p, c["City"] == p["municipality"]).dropDuplicates()
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert got.count() == 4           # 2 distinct Orlando city rows x 2 distinct Orlando ports
