@@ -50,9 +50,28 @@ def unique_key_check(tables: dict[str, DataFrame], keys: dict[str, str] | None =
 
 
 def quality_report(tables: dict[str, DataFrame], keys: dict[str, str] | None = None) -> DataFrame:
-    """All three checks for all tables."""
-    return (row_count_check(tables).unionByName(null_key_check(tables, keys))
-            .unionByName(unique_key_check(tables, keys)))
+    """All three checks for all tables, one aggregation (one pass) per table.
+
+    Row count, null keys and distinct keys are computed together and then
+    unpivoted into the report rows, instead of one pass per check.
+    """
+    keys = keys or DEFAULT_KEYS
+    parts = []
+    for name, df in tables.items():
+        k = F.col(keys[name])
+        agg = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(k.isNull()).alias("nulls"),
+                     F.count_distinct(k).alias("distinct"))
+        rows, nulls, distinct = F.col("rows"), F.col("nulls"), F.col("distinct")
+        parts.append(agg.select(F.lit(name).alias("table_name"), F.inline(F.array(
+            _check_row("row_count", None, rows, rows > 0),
+            _check_row("null_key", keys[name], nulls, nulls == 0),
+            _check_row("unique_key", keys[name], rows - distinct, rows == distinct)))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _check_row(check: str, key: str | None, observed, passed):
+    return F.struct(F.lit(check).alias("check_name"), F.lit(key).cast("string").alias("key_column"),
+                    observed.cast("bigint").alias("observed"), passed.alias("passed"))
 
 
 REPORT_SCHEMA = T.StructType([

@@ -282,6 +282,8 @@ GROUP BY t.weekday"""),
     "dq_row_counts": _dq(*_ROW_COUNT),
     "dq_null_keys": _dq(*_NULL_KEY),
     "dq_unique_keys": _dq("unique_key", "(count(*) - count(DISTINCT {k}))", "= 0"),
+    "dq_report": q("\nUNION ALL\n".join([_dq_body(*_ROW_COUNT), _dq_body(*_NULL_KEY),
+                                          _dq_body("unique_key", "(count(*) - count(DISTINCT {k}))", "= 0")])),
     "match_rate_by_month": q(f"""
 SELECT i.month, i.rows_in, coalesce(m.rows_matched, 0) AS rows_matched
 FROM (SELECT {_MONTH.format(c='arrival_date')} AS month, count(*) AS rows_in

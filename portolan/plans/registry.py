@@ -245,6 +245,10 @@ def q_dq_unique_keys(spark, sf_dir):
     return quality.unique_key_check(star(spark, sf_dir))
 
 
+def q_dq_report(spark, sf_dir):
+    return quality.quality_report(star(spark, sf_dir))
+
+
 def q_match_rate_by_month(spark, sf_dir):
     s = sources(spark, sf_dir)
     c = clean_sources(s)
@@ -426,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "dq_row_counts": q_dq_row_counts,
     "dq_null_keys": q_dq_null_keys,
     "dq_unique_keys": q_dq_unique_keys,
+    "dq_report": q_dq_report,
     "match_rate_by_month": q_match_rate_by_month,
     "union_months_distinct": q_union_months_distinct,
     "ports_csv": q_ports_csv,
