@@ -20,7 +20,7 @@ from portolan.session import build_session  # noqa: E402
 KEYS = ["arrivals_typed", "fact_arrivals", "dim_time", "dim_ports", "dim_cities", "dim_temperatures",
         "using_join_aggregates", "weekday_counts", "port_types", "top_cities", "oldest",
         "young_arrivals", "match_rate_by_month", "dq_unique_keys", "decode_labels", "code_lists",
-        "sql_port_types", "sql_weekday_counts", "warehouse_checks"]
+        "sql_port_types", "sql_weekday_counts", "warehouse_checks", "dq_report"]
 
 
 def summarize(plan: str) -> dict:
