@@ -108,3 +108,13 @@ def test_templated_month_files_read_like_the_partitioned_dataset(spark, staged):
     assert {r.month for r in tagged.select("month").distinct().collect()} == set(months)
     with pytest.raises(ValueError):
         files.read_month_files(spark, f"{staged}/arrivals/month={{month}}", [])
+
+
+def test_templated_csv_month_files(spark, staged):
+    months = ["1995-03", "1996-07"]
+    paths = (f"{staged}/cities", f"{staged}/ports", f"{staged}/temperatures")
+    csv = job.read_sources(spark, f"{staged}/arrivals_csv/month={{month}}", *paths, months,
+                           arrivals_format="csv").arrivals
+    parquet = job.read_sources(spark, f"{staged}/arrivals", *paths, months).arrivals
+    assert csv.count() > 0
+    assert csv.exceptAll(parquet).count() == 0 and parquet.exceptAll(csv).count() == 0
