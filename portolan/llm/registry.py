@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portolan.llm import exact_dedup, neighbours, order_minhash, packing, sharding
+from portolan.llm import (
+    exact_dedup,
+    language_id,
+    line_dedup,
+    mixing,
+    neighbours,
+    order_minhash,
+    packing,
+    secret_scan,
+    sharding,
+    simhash,
+    token_shards,
+)
 from portolan.llm.common import table, text_or_empty
+from portolan.session import scratch_path
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +48,60 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_minhash.likeness("fp", "next_fp").alias("near_next"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the component that its links reach."""
+    found = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as sequences of 1024 ids, written in training order; a
+    row for each record as read back from the shards."""
+    path = scratch_path(spark, "token-shards", uuid.uuid4().hex)
+    total = token_shards.write_sequences(table(spark, sf_dir, "documents"), path)
+    rows = token_shards.read_sequences(spark, path, total)
+    return rows.select("sequence", "slot", "shard", "byte_offset", F.crc32("record").alias("record_crc32"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of the secrets in every document."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == F.lit(kind))).cast("long")
+
+    def said(s):
+        return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    text = F.array_join(F.transform("spans", said), ",")
+    base = F.array_join(F.transform(F.filter("spans", lambda s: s["kind"] != F.lit("literal")), said), ",")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                        F.sha2(base.cast("binary"), 256).alias("base_sha256"), text.alias("spans"),
+                        count("literal").alias("n_literal"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the lines of repeated windows."""
+    return line_dedup.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the id of the document that stays for its text."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's language, from its text, markup, address and host; the
+    trigram model is fitted on the labelled documents."""
+    model = language_id.fit(table(spark, sf_dir, "documents"))
+    host = language_id.host_of(F.col("url"))
+    labels = F.split(host, r"\.")
+    return language_id.identify(
+        table(spark, sf_dir, "pages").withColumn("text", language_id.page_text(F.col("html"))), model, ["page_id"],
+        declared=F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*?\blang\s*=\s*[\"']?([a-z]+)", 1), F.lit("")),
+        suffix=F.element_at(labels, -1), host=host, domain=F.array_join(F.slice(labels, -2, 2), "."))
+
+
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 contiguous shards of near-equal bytes."""
     placed = sharding.byte_shards(table(spark, sf_dir, "documents"), 40)
@@ -46,14 +109,43 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every reading of every document in a mixture that repeats no source
+    more than four times."""
+    return mixing.readings(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_order_minhash": op2_order_minhash,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_token_shards": op4_token_shards,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_language_id": op8_language_id,
     "op9_byte_shards": op9_byte_shards,
+    "op10_temperature_mixing": op10_temperature_mixing,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_line_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines
+                   FROM documents),
+        l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS pos FROM d),
+        f AS (SELECT r, doc_id, pos, trim(line) AS line FROM l WHERE trim(line) <> ''),
+        w AS (SELECT r, doc_id, pos, lead(pos, 2) OVER o AS last,
+                     line || chr(10) || lead(line) OVER o || chr(10) || lead(line, 2) OVER o AS body
+              FROM f WINDOW o AS (PARTITION BY r ORDER BY pos)),
+        n AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) AS nth FROM w WHERE body IS NOT NULL),
+        gone AS (SELECT DISTINCT r, unnest(generate_series(pos, last)) AS pos FROM n WHERE nth > 1),
+        kept AS (SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.pos) AS body
+                 FROM l LEFT JOIN gone ON l.r = gone.r AND l.pos = gone.pos WHERE gone.r IS NULL GROUP BY l.r),
+        lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+        SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.body, '') END AS text,
+               CASE WHEN d.text IS NULL THEN 0 ELSE len(d.lines) END AS n_lines, coalesce(lost.n, 0) AS n_removed
+        FROM d LEFT JOIN kept ON d.r = kept.r LEFT JOIN lost ON d.r = lost.r
+    """,
     "op7_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
         g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)

@@ -1,0 +1,64 @@
+import random
+
+import duckdb
+import pytest
+
+from portolan.llm import line_dedup
+from portolan.llm.registry import ORACLE
+
+from .helpers import awkward_rows, documents
+
+
+def plain(rows):
+    """By the documents in order of id; rows alike in id and text are one."""
+    seen = {}
+    order = sorted({(r[0], r[1]) for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
+    out = {}
+    for doc, text in order:
+        lines = text.split("\n")
+        full = [(i, x.strip(" ")) for i, x in enumerate(lines) if x.strip(" ")]
+        gone = set()
+        for a, b, c in zip(full, full[1:], full[2:]):
+            if seen.setdefault((a[1], b[1], c[1]), (doc, a[0])) != (doc, a[0]):
+                gone |= set(range(a[0], c[0] + 1))
+        out[doc, text] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+    return sorted([(r[0], *(out[r[0], r[1]] if r[1] is not None else (None, 0, 0))) for r in rows], key=str)
+
+
+def lines_rows(seed):
+    rng = random.Random(seed)
+    pool = ["alpha", "beta", " gamma", "delta ", "", "  ", "eps", "zeta"]
+    return [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 14))), "en", "s", 1) for i in range(40)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_plain_version(spark, seed):
+    rows = lines_rows(seed) + [r for r in awkward_rows() if r[0] != None or r[1] is None]  # noqa: E711
+    rows = [(i if r[0] is not None else None, *r[1:]) for i, r in enumerate(rows)]
+    got = line_dedup.drop_repeated(documents(spark, rows)).select("doc_id", "text", "n_lines", "n_removed").collect()
+    assert sorted(map(tuple, got), key=str) == plain(rows)
+
+
+def test_sql_agrees(spark):
+    rows = lines_rows(7)
+    docs = documents(spark, rows)
+    got = sorted(map(tuple, line_dedup.drop_repeated(docs).select("doc_id", "text", "n_lines", "n_removed").collect()))
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert sorted(con.sql(ORACLE["op6_line_dedup"]).fetchall()) == got
+
+
+def test_repeated_passage_goes_and_clean_text_stays(spark):
+    passage = "first line\nsecond line\nthird line\nfourth line"
+    rows = [(1, f"a\n{passage}\nb", "en", "s", 1), (2, f"c\nd\n{passage}\ne", "en", "s", 1), (3, "x\ny\nz\nw", "en", "s", 1)]
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeated(documents(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "c\nd\ne", 3: rows[2][1]}
+
+
+def test_clashing_columns_repeated_rows_and_empty(spark):
+    rows = awkward_rows()
+    docs = documents(spark, rows, extra=True)
+    got = line_dedup.drop_repeated(docs)
+    assert got.columns[:len(docs.columns)] == docs.columns and got.count() == len(rows)
+    assert {r.lines for r in got.collect()} == {"extra lines"}
+    assert line_dedup.drop_repeated(documents(spark, [])).collect() == []

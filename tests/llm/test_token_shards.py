@@ -1,0 +1,62 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from portolan.llm import token_shards
+from portolan.llm.tokens import byte_bpe
+
+from .helpers import awkward_rows, documents
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 17, 1000, 4097])
+def test_permutation(size):
+    x = np.arange(size)
+    y = token_shards.permute(x, size, 9)
+    assert sorted(y) == list(range(size))
+    assert (token_shards.permute(y, size, 9, back=True) == x).all()
+    if size > 100:
+        assert (y != x).mean() > 0.9 and (y != token_shards.permute(x, size, 10)).mean() > 0.9
+        assert abs(np.corrcoef(x, y)[0, 1]) < 0.2
+
+
+@pytest.mark.parametrize("id_bytes", [2, 4])
+def test_round_trip(spark, tmp_path, id_bytes):
+    rows = awkward_rows()
+    docs = documents(spark, rows, extra=True).coalesce(3)
+    path = f"{tmp_path}/shards"
+    total = token_shards.write_sequences(docs, path, key=3, length=32, shard_records=50, id_bytes=id_bytes)
+    back = token_shards.read_sequences(spark, path, total, key=3, length=32, shard_records=50, id_bytes=id_bytes)
+    got = {r.sequence: r for r in back.collect()}
+    assert sorted(got) == list(range(total)) and sorted(r.slot for r in got.values()) == list(range(total))
+    stream = [x for i in range(total) for x in np.frombuffer(got[i].record, f"<u{id_bytes}").tolist()]
+    parts = docs.select(F.spark_partition_id().alias("p"), "text").collect()
+    want = []
+    for p in sorted({r.p for r in parts}):
+        for r in parts:
+            if r.p == p:
+                want += byte_bpe().tokenizer.encode(r.text or "", add_special_tokens=False).ids + [50256]
+        want += [50256] * (-len(want) % 32)
+    assert stream == want
+    stride = 32 * id_bytes + 1
+    for shard in (tmp_path / "shards").glob("shard=*"):
+        (file,) = shard.glob("part-*")  # one file, whole records
+        data = file.read_bytes()
+        n = int(shard.name.split("=")[1])
+        assert len(data) == stride * min(50, total - 50 * n)
+        for r in got.values():
+            if r.shard == n:
+                assert r.byte_offset == (r.slot - 50 * n) * stride
+                assert data[r.byte_offset:r.byte_offset + stride - 1] == bytes(r.record)
+    rest = token_shards.read_sequences(spark, path, total, key=3, length=32, shard_records=50, id_bytes=id_bytes, from_slot=total - 7)
+    assert sorted(r.slot for r in rest.collect()) == list(range(total - 7, total))
+
+
+def test_empty_table(spark, tmp_path):
+    docs = documents(spark, [])
+    assert token_shards.write_sequences(docs, f"{tmp_path}/x") == 0
+    assert token_shards.read_sequences(spark, f"{tmp_path}/x", 0).collect() == []
+
+
+def test_ids_too_large_for_a_record(spark, tmp_path):
+    with pytest.raises(Exception, match="more bytes"):
+        token_shards.write_sequences(documents(spark, [(1, "hello world again", "en", "s", 1)]), f"{tmp_path}/x", id_bytes=1)
