@@ -25,8 +25,8 @@ from portolan.llm.tokens import byte_bpe
 
 CAPACITY = 1024
 END_ID = 2  # after each document
-WIDTH = 12  # fillings tried around the largest piece
-NODES = 400  # steps of the search; the best packing found so far always holds
+WIDTH = 4  # fillings tried around the largest piece
+NODES = 1500  # steps of the search; the best packing found so far always holds
 
 Filling = tuple[tuple[int, int], ...]  # (length, how often), longest first
 
@@ -114,48 +114,53 @@ def complete_bins(counts: dict[int, int], capacity: int, width: int = WIDTH, nod
 
     Best fit decreasing gives the first incumbent. Then, depth first: the
     largest length left is completed by undominated fillings, those with the
-    least waste first, each applied to as many bins as it can fill; best fit
-    on the rest gives a new incumbent; a branch ends when its waste so far
-    and the least waste of the rest allow no fewer bins than the incumbent.
-    The search stops at the lower bound or after ``nodes`` steps.
+    least waste first, each applied to as many bins as it can fill; now and
+    then, best fit on the rest gives a new incumbent. A branch ends when its
+    waste so far, or that and the least waste of the rest, allow no fewer
+    bins than the incumbent. The search stops at the lower bound or after
+    ``nodes`` steps.
     """
     counts = {length: n for length, n in counts.items() if n}
     if any(not 1 <= length <= capacity for length in counts):
         raise ValueError("a piece is empty or longer than the capacity")
-    best = best_fit(counts, capacity)
-    total = sum(length * n for length, n in counts.items())
-    left = [nodes]
 
     def bins(patterns: list[tuple[int, Filling]]) -> int:
         return sum(copies for copies, _ in patterns)
 
-    def least(counts: dict[int, int], waste: int) -> int:
-        """Bins needed at least, given the waste of the bins filled so far."""
-        return -(-(total + waste + least_waste(counts, capacity)) // capacity)
-
-    stack = [(counts, [], 0)]
-    goal = least(counts, 0)
-    while stack and left[0] > 0 and bins(best) > goal:
-        left[0] -= 1
-        rest, done, waste = stack.pop()
-        if least(rest, waste) >= bins(best):
-            continue
-        found = done + best_fit(rest, capacity)
-        if bins(found) < bins(best):
-            best = found
-        if not rest:
+    total = sum(length * n for length, n in counts.items())
+    best = best_fit(counts, capacity)
+    fewest = bins(best)
+    goal = -(-(total + least_waste(counts, capacity)) // capacity)
+    # What is left, the filling to apply to it, waste with it, patterns so far.
+    stack: list[tuple] = [(counts, None, 0, None)]
+    for step in range(nodes):
+        if not stack or fewest <= goal:
+            break
+        rest, branch, waste, done = stack.pop()
+        if waste > (fewest - 1) * capacity - total:
             continue
-        branches = []
-        for filling in fillings(rest, capacity, width):
-            copies = min(rest[length] // each for length, each in filling)
-            after = dict(rest)
+        if branch is not None:
+            copies, filling = branch
+            rest = dict(rest)
             for length, each in filling:
-                after[length] -= copies * each
-                if not after[length]:
-                    del after[length]
-            slack = copies * (capacity - sum(length * each for length, each in filling))
-            branches.append((after, [*done, (copies, filling)], waste + slack))
-        stack.extend(reversed(branches))
+                rest[length] -= copies * each
+                if not rest[length]:
+                    del rest[length]
+            done = (done, branch)
+        if not rest or step % 64 == 63:
+            if waste + least_waste(rest, capacity) > (fewest - 1) * capacity - total:
+                continue
+            found, chain = best_fit(rest, capacity), done
+            while chain is not None:
+                chain, one = chain
+                found.append(one)
+            if bins(found) < fewest:
+                best, fewest = found, bins(found)
+        if rest:
+            for filling in reversed(fillings(rest, capacity, width)):
+                copies = min(rest[length] // each for length, each in filling)
+                slack = copies * (capacity - sum(length * each for length, each in filling))
+                stack.append((rest, (copies, filling), waste + slack, done))
     return best
 
 
@@ -212,47 +217,62 @@ def least_waste(counts: dict[int, int], capacity: int) -> int:
     return waste
 
 
-def fillings(counts: dict[int, int], capacity: int, width: int, steps: int = 4000) -> list[Filling]:
+def fillings(counts: dict[int, int], capacity: int, width: int, steps: int = 400) -> list[Filling]:
     """Up to ``width`` undominated ways to fill a bin around the largest
     length, least waste first. A filling is dominated if a length left over
     fits into its room, or could take the place of a smaller one or of two
-    smaller ones in it."""
-    lengths = sorted(counts, reverse=True)
-    top = lengths[0]
+    smaller ones in it. Fillings with the longest lengths are tried first,
+    ``steps`` of them at most."""
+    ascending = sorted(counts)
+    top = ascending[-1]
     found: dict[Filling, int] = {}
-    tries = [steps]
-
-    def dominated(inside: Counter[int], room: int) -> bool:
-        spare = sorted(length for length in lengths if counts[length] > inside[length])
-        held = [length for length in inside.elements()]
-        held.remove(top)
-        sums = [*held, *[a + b for i, a in enumerate(held) for b in held[:i]]] if len(held) <= 16 else held
-        if spare and spare[0] <= room:
-            return True
-        for part in sums:
-            i = bisect_left(spare, part + (part in inside))
-            if i < len(spare) and spare[i] <= part + room and spare[i] != part:
+    tries = steps
+
+    def spare(length: int, inside: dict[int, int]) -> bool:
+        return counts[length] > inside.get(length, 0)
+
+    def dominated(inside: dict[int, int], room: int) -> bool:
+        for length in ascending:
+            if length > room:
+                break
+            if spare(length, inside):
                 return True
+        parts = [length for length, each in inside.items() for _ in range(min(each, 2)) if length != top or each > 1]
+        for i, part in enumerate(parts):
+            for low in (part, *(part + other for other in parts[:i])):
+                at = bisect_left(ascending, low + (low == part))
+                while at < len(ascending) and ascending[at] <= low + room:
+                    if spare(ascending[at], inside):
+                        return True
+                    at += 1
         return False
 
-    def fill(i: int, room: int, inside: Counter[int]) -> None:
-        if tries[0] <= 0 or len(found) >= 8 * width:
-            return
-        tries[0] -= 1
-        while i < len(lengths) and lengths[i] > room:
-            i += 1
-        if i == len(lengths):
-            key = tuple(sorted(((k, v) for k, v in inside.items() if v), reverse=True))
+    def fill(below: int, room: int, inside: dict[int, int]) -> None:
+        """Fill the room with lengths among the first ``below``."""
+        nonlocal tries
+        below = min(below, bisect_left(ascending, room + 1))
+        if below == 0 or room == 0:
+            key = tuple(sorted(inside.items(), reverse=True))
             if key not in found and not dominated(inside, room):
                 found[key] = room
             return
-        length = lengths[i]
-        for each in range(min(room // length, counts[length] - inside[length]), -1, -1):
-            inside[length] += each
-            fill(i + 1, room - each * length, inside)
-            inside[length] -= each
-
-    fill(0, capacity - top, Counter({top: 1}))
+        for at in range(below - 1, -1, -1):
+            if tries <= 0 or sum(not r for r in found.values()) >= width:
+                return
+            tries -= 1
+            length = ascending[at]
+            for each in range(min(room // length, counts[length] - inside.get(length, 0)), 0, -1):
+                fill(at, room - each * length, {**inside, length: inside.get(length, 0) + each})
+        fill(0, room, inside)
+
+    fill(len(ascending), capacity - top, {top: 1})
     if not found:
-        found[((top, 1),)] = capacity - top
-    return sorted(found, key=lambda f: (found[f], -f[0][1]))[:width]
+        # The tries ended first: the longest that fit, one after the other.
+        inside, room = {top: 1}, capacity - top
+        for length in reversed(ascending):
+            each = min(room // length, counts[length] - inside.get(length, 0))
+            if each > 0:
+                inside[length] = inside.get(length, 0) + each
+                room -= each * length
+        found[tuple(sorted(inside.items(), reverse=True))] = room
+    return sorted(found, key=lambda f: found[f])[:width]

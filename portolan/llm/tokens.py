@@ -1,87 +1,65 @@
-"""Token ids of whole texts, in tasks.
-
-A text is cut before each space or line feed that stands between two
-non-space characters. No token of a byte-level vocabulary with this
-splitting pattern reaches over such a place, so the ids of the parts,
-joined, are the ids of the text. Words repeat, so a part's ids are looked up
-in a bounded memory of the process before they are worked out.
-"""
+"""Token ids of whole texts, in tasks."""
 
 from __future__ import annotations
 
 import base64
 import re
+import unicodedata
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
-# A cut before a space or line feed between two non-spaces.
-_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-# Up to here, both libraries' letter and number classes are the same.
+# Up to here, all characters have the same class in every Unicode version.
 _LATIN_END = "ɏ"
+# The faster library's pattern matching can't get over a run much longer than this.
+_LONG_SPACE = re.compile(r"\s{100000}")
 
 
-class _Ids(dict):
-    """Part of a text -> its ids as little-endian 32-bit numbers; None where
-    the part can't stand alone. ``lead`` stands before each part."""
-
-    def __init__(self, encode, lead: str, limit: int):
-        super().__init__()
-        self.encode, self.lead, self.limit = encode, lead, limit
+class _Settled(dict):
+    """Character -> whether its class (letter, number, space, other) has been
+    the same since an early Unicode version, so that two libraries with
+    different Unicode tables split a text at the same places."""
 
-    def __missing__(self, part: str):
-        bare = part[1:] if self.lead and part[:1] == "\n" else part
-        if self.lead and (not bare or bare[0].isspace() or bare[-1].isspace()):
-            ids = None
-        else:
-            whole = part if not self.lead or bare is not part else self.lead + part
-            ids = np.asarray(self.encode(whole), "<u4").tobytes()
-        if len(self) >= self.limit:
-            self.clear()
-        self[part] = ids
-        return ids
+    def __missing__(self, c: str) -> bool:
+        early, now = unicodedata.ucd_3_2_0.category(c)[0], unicodedata.category(c)[0]
+        self[c] = early == now != "C"
+        return self[c]
 
 
 class TextEncoder:
     """``ids(text)``: little-endian 32-bit ids as bytes. Special tokens'
     strings in a text are ordinary text.
 
-    ``vocabulary`` is the JSON file of the tokenizer and ``ranks`` the same
-    vocabulary as byte ranks, used for parts within Latin script, where both
-    give the same ids and the ranks are faster. ``memory`` bounds the number
-    of parts that are remembered.
+    ``vocabulary`` is the JSON file of the tokenizer. ``ranks`` and
+    ``pattern``, if given, are the same vocabulary as byte ranks: a faster
+    library gives the same ids with them, and works out texts of settled
+    characters, that is nearly all.
     """
 
-    def __init__(self, vocabulary: str, ranks: str | None, pattern: str | None, memory: int = 200_000):
+    def __init__(self, vocabulary: str, ranks: str | None = None, pattern: str | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
-        self.fast = None
+        self.fast, self.settled = None, _Settled()
         if ranks:
             import tiktoken
 
             with open(ranks, "rb") as lines:
                 merged = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merged, special_tokens={})
-        self.inner = _Ids(self._encode, " ", memory)
-        self.alone = _Ids(self._encode, "", memory // 4)
-
-    def _encode(self, text: str) -> list[int]:
-        if self.fast is not None and (text.isascii() or max(text) <= _LATIN_END):
-            return self.fast.encode_ordinary(text)
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        first, *rest = text.replace("\n", " \n").split(" ")
-        if first and not first[-1].isspace() and not first[0].isspace():
-            try:
-                return self.alone[first] + b"".join(map(self.inner.__getitem__, rest))
-            except TypeError:  # white space beside white space somewhere
-                pass
-        return b"".join(map(self.alone.__getitem__, _CUT.split(text)))
+        settled = text.isascii() or max(text) <= _LATIN_END or all(map(self.settled.__getitem__, set(text)))
+        if self.fast and settled and not (len(text) > 100_000 and _LONG_SPACE.search(text)):
+            found = self.fast.encode_ordinary(text)
+        else:
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        out = array("I", found)
+        if array("I", [1]).tobytes() != b"\1\0\0\0":
+            out.byteswap()
+        return out.tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -92,5 +70,5 @@ def byte_bpe(vocabulary: str | None = None) -> TextEncoder:
 
     own = P.path("byte_bpe_50k.json")
     if vocabulary and vocabulary != own:
-        return TextEncoder(vocabulary, None, None)
+        return TextEncoder(vocabulary)
     return TextEncoder(own, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
