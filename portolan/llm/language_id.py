@@ -212,6 +212,15 @@ def host_of(url: Column) -> Column:
     return F.when(found != "", found)
 
 
+def host_parts(host: Column) -> dict[str, Column]:
+    """``identify``'s evidence from a host: suffix and domain are its last
+    label and its last two, null where it has no dot."""
+    labels = F.split(host, r"\.")
+    dotted = F.contains(host, F.lit("."))
+    return {"host": host, "suffix": F.when(dotted, F.element_at(labels, -1)),
+            "domain": F.when(dotted, F.array_join(F.slice(labels, -2, 2), "."))}
+
+
 def page_text(html: Column) -> Column:
     """Visible text of a page, nearly: comments, scripts, styles and tags go."""
     bare = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
@@ -226,7 +235,7 @@ def keep_known(docs: DataFrame, model: Model, id_column: str = "doc_id", text: s
     marked = docs.withColumn(names[2], F.xxhash64(text_or_empty(text)))
     judged = identify(marked.select(F.col(id_column).alias("id"), F.col(names[2]).alias("hash"), F.col(text).alias("text"),
                                     F.col(declared).alias("said"), F.col(host).alias("place")),
-                      model, ["id", "hash"], "text", declared=F.col("said"), host=F.col("place"), domain=F.lit(None))
+                      model, ["id", "hash"], "text", declared=F.col("said"), **host_parts(F.col("place")))
     gone = judged.where(F.col("lang") == UNKNOWN).select(F.col("id").alias(names[0]), F.col("hash").alias(names[1])).distinct()
     same = F.col(id_column).eqNullSafe(F.col(names[0])) & (F.col(names[2]) == F.col(names[1]))
     return marked.join(gone, same, "left_anti").drop(names[2])

@@ -91,15 +91,21 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, from its text, its declared language and its
+    source, taken as a host; ``lang`` is und for those that are rejected."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs), ["doc_id"], declared=F.col("lang"),
+                                **language_id.host_parts(F.col("source")))
+
+
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's language, from its text, markup, address and host; the
     trigram model is fitted on the labelled documents."""
     model = language_id.fit(table(spark, sf_dir, "documents"))
-    host = language_id.host_of(F.col("url"))
-    labels = F.split(host, r"\.")
     return language_id.identify(
         table(spark, sf_dir, "pages").withColumn("text", language_id.page_text(F.col("html"))), model, ["page_id"],
         declared=F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*?\blang\s*=\s*[\"']?([a-z]+)", 1), F.lit("")),
-        suffix=F.element_at(labels, -1), host=host, domain=F.array_join(F.slice(labels, -2, 2), "."))
+        **language_id.host_parts(language_id.host_of(F.col("url"))))
 
 
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
+    "page_language_id": page_language_id,
     "op9_byte_shards": op9_byte_shards,
     "op10_temperature_mixing": op10_temperature_mixing,
 }

@@ -92,6 +92,22 @@ def test_nothing_to_learn_from(spark):
     assert [r.lang for r in language_id.identify(documents(spark, rows), none, ["doc_id"]).collect()] == ["und"]
 
 
+def test_queries(spark, tmp_path):
+    from portolan.llm.registry import QUERIES
+
+    rng = random.Random(5)
+    rows = [(i, text_in(rng, lang, 60), lang, f"{lang}.org" if i % 2 else "src0", 1) for i, lang in enumerate(list(WORDS) * 30)]
+    rows += [(500, "12 34", "en", "src0", 1), (501, None, None, None, None)]
+    documents(spark, rows, extra=True).write.parquet(f"{tmp_path}/documents.parquet")
+    pages = [(i, f"https://www.site.{lang}/{i}", f'<html lang="{lang}"><p>{text_in(rng, lang, 40)}</p></html>')
+             for i, lang in enumerate(list(WORDS) * 5)] + [(90, None, None), (None, "x", "")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    docs = {r.doc_id: r.lang for r in QUERIES["op8_language_id"](spark, str(tmp_path)).collect()}
+    assert docs == {r[0]: r[2] if r[0] < 500 else "und" for r in rows}
+    got = {r.page_id: (r.lang, r.declared, r.suffix) for r in QUERIES["page_language_id"](spark, str(tmp_path)).collect()}
+    assert got == {**{i: (lang, lang, lang) for i, lang in enumerate(list(WORDS) * 5)}, 90: ("und", None, None), None: ("und", None, None)}
+
+
 def test_address_and_markup(spark):
     df = spark.createDataFrame([("https://u:p@Blog.A.example.com:80/x?y", "<html><!-- a > b --><style>p{}</style><p>Hi&amp;you</p>"),
                                 ("no address", None), (None, "")], "url string, html string")
