@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
-from pyspark import InheritableThread
+from pyspark import InheritableThread, SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings the library relies on. AQE re-plans joins and coalesces shuffle
@@ -27,13 +27,12 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
 
     The initial shuffle partition count aims at ``target_partition_bytes``
     per task for the largest shuffle (the raw-arrival distinct moves about
-    the input volume); AQE then coalesces small partitions and splits
-    skewed ones, so over-estimating is cheap. Lost executors are tolerated
+    the input volume), however large the input is; AQE then coalesces small
+    partitions and splits skewed ones, so over-estimating is cheap. Lost executors are tolerated
     by recomputing from lineage; decommissioning migrates shuffle blocks
     first where the cluster manager supports it.
     """
-    # Capped: beyond ~100k reducers the per-map-output bookkeeping dominates.
-    partitions = min(100_000, max(200, -(-input_bytes // target_partition_bytes)))
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
@@ -77,11 +76,17 @@ def apply_scale(spark: SparkSession, input_bytes: int) -> dict[str, str]:
 def build_session(master: str | None = None, app: str = "portolan",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library defaults."""
+    """Create (or reuse) a session. The library's defaults fill in only what
+    the launch (``spark-submit --conf``, defaults file) or a running context
+    left unset; ``shuffle_partitions`` and ``extra`` are explicit and win."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    running = SparkContext._active_spark_context
+    # Without a running context this starts the gateway's JVM, whose
+    # properties hold the launch settings.
+    launched = running.getConf() if running is not None else SparkConf()
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not launched.contains(k)}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -90,12 +95,18 @@ def build_session(master: str | None = None, app: str = "portolan",
     return builder.getOrCreate()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged and lineage-cutting writes.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint folder set
-    on the context). Only when neither is set, as in local tests, a fresh
-    local folder is created and registered as the checkpoint folder.
+    on the context). When neither is set and the master is local, as in
+    tests, a fresh local folder is created and registered as the checkpoint
+    folder; on a cluster that is an error, since executors would not see it.
     """
     try:
         configured = spark.conf.get("spark.checkpoint.dir")
@@ -114,11 +125,19 @@ def scratch_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not is_local(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="portolan-ckpt-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder by the file system that Spark reads it with."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared scratch folder."""
     return "/".join([scratch_dir(spark), *[p.strip("/") for p in parts]])

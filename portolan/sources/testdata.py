@@ -22,27 +22,8 @@ from portolan.schemas import ARRIVALS_RAW, CITIES_RAW, PORTS_RAW, TEMPERATURES_R
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One generated table. The lazy frame is kept per session, so its
-    Parquet schema is read once, not once per query (the files are
-    read-only)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    frames = spark.__dict__.setdefault("_portolan_tables", {})
-    if path not in frames:
-        frames[path] = spark.read.parquet(path)
-    return frames[path]
-
-
-def spread_if_undersplit(df: DataFrame) -> DataFrame:
-    """Round-robin an input that scans as fewer partitions than the cluster
-    has cores (the generated files are one Parquet row group each, so one
-    task would do all the per-row work). Inputs split into enough
-    partitions, as any large dataset is, are returned unchanged."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. remote session)
-        return df
-    return df.repartition(cores) if parts < cores else df
+    """One generated table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _null(type_name: str = "string"):
@@ -51,9 +32,9 @@ def _null(type_name: str = "string"):
 
 def arrivals_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """28-column raw arrivals, one row per order line."""
-    li = spread_if_undersplit(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")

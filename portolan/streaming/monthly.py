@@ -1,18 +1,18 @@
 """Incremental monthly fact load with Structured Streaming.
 
-The batch pipeline loads every month in one job. When raw monthly files
-keep landing in a folder, this loader processes only files it has not seen:
-the file source records processed files in the checkpoint, and each
-micro-batch is cleaned, joined to the port dimension and written with
-``foreachBatch``.
-
-Output partitions are ``batch=<id>/month=<yyyy-MM>`` with dynamic
-overwrite: if a batch is retried after a failure it replaces exactly its
-own partitions, so the load is idempotent and never touches earlier
-batches. As in the monthly source files, rows are de-duplicated within the
-file set of a batch. The time dimension is rebuilt afterwards from the
-whole fact table (``dims.dim_time(read_fact(...))``), so a day that occurs
-in several batches still has one row. Each batch also records the number of
+The batch pipeline loads every month in one job. When raw files keep landing
+in a folder, this loader reacts only to files it has not seen (the file
+source records them in the checkpoint), and reloads whole months: each
+micro-batch names the months that its files hold rows of, reads those months
+from all that has landed, and replaces their partitions of the fact. Copies
+of a row therefore collapse however the rows were split over files and
+batches, and the fact equals the batch build of the same rows at any time. A
+retried batch rebuilds the same months, so the load is idempotent.
+
+Landed files must stay; arrivals are found by the range of day numbers, so
+files written in arrival order are skipped by their statistics. The time
+dimension is rebuilt afterwards from the whole fact
+(``dims.dim_time(read_fact(...))``). Each batch also records the number of
 fact rows it wrote (``read_load_log``), measured by its write job.
 """
 
@@ -24,11 +24,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from portolan.functions.dates import month_key
-from portolan.operators.clean import clean_arrivals
-from portolan.operators.fact import FACT_COLUMNS, fact_arrivals, port_side
+from portolan.operators.fact import FACT_COLUMNS, fact_from_raw
 from portolan.schemas import ARRIVALS_RAW
 
-
 # Per-batch load log, below the output folder. Spark skips folders whose
 # name starts with '_' when the fact is read.
 LOAD_LOG = "_load_log"
@@ -37,35 +35,36 @@ LOAD_LOG_SCHEMA = T.StructType([T.StructField("batch", T.LongType()),
 
 
 def start_monthly_load(spark: SparkSession, landing_dir: str, ports: DataFrame, out_dir: str,
-                       checkpoint_dir: str, max_files_per_batch: int | None = None,
-                       available_now: bool = True) -> StreamingQuery:
+                       checkpoint_dir: str, available_now: bool = True) -> StreamingQuery:
     """Start the loader over raw arrival Parquet files in ``landing_dir``.
 
-    ``ports`` is the (static) port dimension. With ``available_now`` the
-    query processes what has landed and stops; otherwise it keeps running.
+    ``ports`` is the port dimension, best a written table; its size is
+    checked in every batch, so it may grow while the loader runs. With
+    ``available_now`` the query processes what has landed and stops;
+    otherwise it keeps running.
     """
-    reader = spark.readStream.schema(ARRIVALS_RAW)
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    stream = reader.parquet(landing_dir)
-    # The port dimension is static: its size is checked once here, not in
-    # every micro-batch.
-    side = port_side(ports)
+    stream = spark.readStream.schema(ARRIVALS_RAW).parquet(landing_dir)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        arrivals = clean_arrivals(batch)
-        arrivals = arrivals.withColumn("month", month_key("arrival_date"))
-        facts = (fact_arrivals(arrivals, side, carry=("month",), max_rows=None)
-                 .withColumn("batch", F.lit(batch_id)))
-        written = Observation()
-        (facts.hint("rebalance", "month").observe(written, F.count(F.lit(1)).alias("rows_written"))
+        session = batch.sparkSession
+        # One row for each calendar month of the batch.
+        touched = (batch.withColumn("month", month_key("arrdate")).where("month IS NOT NULL").groupBy("month")
+                   .agg(F.min("arrdate").alias("first"), F.max("arrdate").alias("last")).collect())
+        rows = 0
+        if touched:
+            # Whole days at the ends, up to a month beyond what the batch holds.
+            low, high = min(r["first"] for r in touched) - 31, max(r["last"] for r in touched) + 31
+            raw = (session.read.schema(ARRIVALS_RAW).parquet(landing_dir)
+                   .where((F.col("arrdate") >= low) & (F.col("arrdate") <= high))
+                   .withColumn("month", month_key("arrdate")).where(F.col("month").isin([r["month"] for r in touched])))
+            written = Observation()
+            (fact_from_raw(raw, ports, carry=("month",)).hint("rebalance", "month")
+             .observe(written, F.count(F.lit(1)).alias("rows_written"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(out_dir))
+            rows = int(written.get["rows_written"])
+        # One log row per batch; a retried batch replaces its own row.
+        (session.createDataFrame([(batch_id, rows)], LOAD_LOG_SCHEMA)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch", "month").parquet(out_dir))
-        # One log row per batch, measured by the write itself (final stage:
-        # counted once per partition). A retried batch replaces its own row.
-        log = batch.sparkSession.createDataFrame(
-            [(batch_id, int(written.get["rows_written"]))], LOAD_LOG_SCHEMA)
-        (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(f"{out_dir}/{LOAD_LOG}"))
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
