@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions.nulls import complete_rows
-from portolan.schemas import ARRIVALS_KEPT
+from portolan.operators.joins import semi_join
+from portolan.schemas import ARRIVALS_INT_CODES, ARRIVALS_KEPT, CITIES_KEPT, PORTS_KEPT
 
 
 def drop_incomplete(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -26,9 +27,8 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 def clean_cities(raw: DataFrame) -> DataFrame:
     """City rows with both a city name and a state code; Race/Count dropped."""
-    kept = [c for c in raw.columns if c not in ("Race", "Count")]
     return (raw.filter(F.col("`State Code`").isNotNull() & F.col("City").isNotNull())
-            .select(*[F.col(f"`{c}`") for c in kept]))
+            .select(*[F.col(f"`{c}`") for c in CITIES_KEPT]))
 
 
 def clean_ports(raw: DataFrame) -> DataFrame:
@@ -37,11 +37,10 @@ def clean_ports(raw: DataFrame) -> DataFrame:
     Three-valued logic: a null ``type`` fails ``type != 'closed'`` and is
     removed as well.
     """
-    dropped = ("iso_country", "gps_code", "elevation_ft", "local_code", "coordinates")
     return (raw.filter(F.col("iata_code").isNotNull()
                        & (F.col("iso_country") == "US")
                        & (F.col("type") != "closed"))
-            .select(*[c for c in raw.columns if c not in dropped]))
+            .select(*PORTS_KEPT))
 
 
 def clean_temperatures(raw: DataFrame, country: str = "United States") -> DataFrame:
@@ -54,21 +53,41 @@ def clean_temperatures(raw: DataFrame, country: str = "United States") -> DataFr
     return drop_incomplete(out)
 
 
-def select_kept_arrivals(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def select_kept_arrivals(raw: DataFrame, carry: tuple[str, ...] = (), distinct: bool = True) -> DataFrame:
     """Full-row distinct over all raw columns, then the kept columns only.
 
     The distinct must come first: two rows equal on the kept columns but
-    different elsewhere (e.g. ``admnum``) are both kept.
+    different elsewhere (e.g. ``admnum``) are both kept. ``distinct=False``
+    leaves copies in, for what ignores them (distinct dates, a highest age).
     """
-    return dedup_rows(raw).select(*ARRIVALS_KEPT, *carry)
+    return (dedup_rows(raw) if distinct else raw).select(*ARRIVALS_KEPT, *carry)
+
+
+def _beyond_int(c: str) -> Column:
+    """A number whose whole part no int can hold."""
+    return ~((F.col(c) > -2147483649.0) & (F.col(c) < 2147483648.0))
+
+
+def rejected_arrivals(raw: DataFrame) -> DataFrame:
+    """``cause, rows``: distinct raw rows that cleaning refuses, per cause,
+    each row under its first: ``incomplete``, or ``<column> out of range``."""
+    kept = select_kept_arrivals(raw)
+    cause = F.when(~complete_rows(kept, ARRIVALS_KEPT), F.lit("incomplete"))
+    for c in ARRIVALS_INT_CODES:
+        cause = cause.when(_beyond_int(c), F.lit(f"{c} out of range"))
+    return (kept.select(cause.alias("cause")).filter("cause IS NOT NULL")
+            .groupBy("cause").agg(F.count(F.lit(1)).alias("rows")))
 
 
 def type_arrivals(kept: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rename and cast the kept arrival columns to the fact-table types.
 
-    Double codes are truncated toward zero; values outside the int range
-    become null instead of failing the job.
+    Double codes are truncated toward zero. Rows with a code that no int can
+    hold are refused (``rejected_arrivals`` counts them), so no key turns
+    null on the way; the conditions are plain comparisons and reach the scan.
     """
+    for c in ARRIVALS_INT_CODES:
+        kept = kept.filter(F.col(c).isNull() | ~_beyond_int(c))
     as_int = lambda c: F.col(c).try_cast("int")
     return kept.select(
         as_int("cicid").alias("immigration_id"),
@@ -86,11 +105,18 @@ def type_arrivals(kept: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def clean_arrivals(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def clean_arrivals(raw: DataFrame, carry: tuple[str, ...] = (), ports: DataFrame | None = None,
+                   distinct: bool = True) -> DataFrame:
     """Distinct, projected, complete and typed arrivals.
 
     The completeness filter only touches kept columns, so Catalyst moves it
-    below the distinct and into the scan.
+    below the distinct and into the scan. With ``ports`` (columns
+    ``iso_region, iata_code``, as the fact join takes them), rows that have
+    no port are left out below the distinct: whether a row has one depends
+    on two of its own columns, so the result joined to ports is the same,
+    and the one wide shuffle carries only rows that reach the fact.
     """
-    kept = select_kept_arrivals(raw, carry)
+    if ports is not None:
+        raw = semi_join(raw, ports, (F.col("i94addr") == F.col("iso_region")) & (F.col("i94port") == F.col("iata_code")))
+    kept = select_kept_arrivals(raw, carry, distinct)
     return type_arrivals(drop_incomplete(kept, ARRIVALS_KEPT), carry)

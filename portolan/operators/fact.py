@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions.dates import month_key
+from portolan.operators.clean import clean_arrivals, drop_incomplete
 from portolan.operators.joins import BROADCAST_MAX_ROWS, maybe_broadcast
 
 FACT_COLUMNS = ["immigration_id", "origin", "landing_port", "arrival_date", "departure_date",
@@ -38,6 +39,17 @@ def fact_arrivals(arrivals: DataFrame, ports: DataFrame, carry: tuple[str, ...]
     return joined.select(*FACT_COLUMNS, *carry)
 
 
+def fact_from_raw(raw: DataFrame, ports: DataFrame, carry: tuple[str, ...] = (), distinct: bool = True,
+                  max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The fact straight from raw arrivals: the port side's size is checked
+    once and serves both the existence join below the distinct and the join
+    above it. ``carry`` names typed columns that ``raw`` holds besides.
+    ``distinct=False`` keeps copies of raw rows."""
+    side = port_side(ports, max_rows)
+    arrivals = clean_arrivals(raw, carry, ports=side.select("iso_region", "iata_code"), distinct=distinct)
+    return fact_arrivals(arrivals, side, carry, max_rows=None)
+
+
 def match_rate_by_month(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
     """Per arrival month: cleaned rows in, fact rows out.
 
@@ -70,5 +82,4 @@ def stack_months(*frames: DataFrame) -> DataFrame:
 
 def distinct_complete_count(df: DataFrame) -> DataFrame:
     """Count of distinct rows with no null/NaN, as a one-row frame."""
-    from portolan.operators.clean import drop_incomplete
     return drop_incomplete(df.dropDuplicates()).agg(F.count(F.lit(1)).alias("n_rows"))

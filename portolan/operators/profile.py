@@ -36,6 +36,7 @@ def profile(df: DataFrame, cols: list[str]) -> DataFrame:
     return exploded.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
-def preview(df: DataFrame, n: int = 10):
-    """First ``n`` rows as pandas, for interactive looks only."""
-    return df.limit(n).toPandas()
+def preview(df: DataFrame, n: int = 10, order_by: list[str] | None = None) -> DataFrame:
+    """``n`` rows: the first in the order given (a top-n per partition, then
+    one merge), or any."""
+    return (df.orderBy(*[F.asc_nulls_last(c) for c in order_by]) if order_by else df).limit(n)

@@ -66,20 +66,26 @@ class LazyTables(Mapping):
 def build_star(src: Sources) -> LazyTables:
     """The five tables as lazy frames over the sources."""
     c = LazyTables({
-        "arrivals": lambda t: clean.clean_arrivals(src.arrivals),
         "cities": lambda t: clean.clean_cities(src.cities),
         "ports": lambda t: clean.clean_ports(src.ports),
         "temperatures": lambda t: clean.clean_temperatures(src.temperatures),
     })
     return LazyTables({
-        "fact_immigrations": lambda t: fact.fact_arrivals(c["arrivals"], t["dim_ports"]),
-        "dim_time": lambda t: dims.dim_time(t["fact_immigrations"]),
+        "fact_immigrations": lambda t: fact.fact_from_raw(src.arrivals, t["dim_ports"]),
+        # Days don't change when copies of a row stay in: no wide distinct.
+        "dim_time": lambda t: dims.dim_time(fact_with_copies(src, t["dim_ports"])),
         "dim_cities": lambda t: dims.dim_cities(c["cities"], c["ports"]),
         "dim_ports": lambda t: dims.dim_ports(c["ports"], c["cities"]),
         "dim_temperatures": lambda t: dims.dim_temperatures(c["temperatures"]),
     })
 
 
+def fact_with_copies(src: Sources, ports: DataFrame) -> DataFrame:
+    """The fact without the full-row distinct, for questions to which copies
+    of a row make no difference."""
+    return fact.fact_from_raw(src.arrivals, ports, distinct=False)
+
+
 def load_star(spark: SparkSession, src: Sources, base: str) -> dict[str, DataFrame]:
     """Write the five tables under ``base`` and return them read back.
 
@@ -100,7 +106,8 @@ def load_star_observed(spark: SparkSession, src: Sources, base: str
     time as the chain instead of after it (their small jobs fill executors
     the chain leaves idle).
     """
-    c = clean_sources(src)
+    c = {"cities": clean.clean_cities(src.cities), "ports": clean.clean_ports(src.ports),
+         "temperatures": clean.clean_temperatures(src.temperatures)}
 
     def write(name: str, df: DataFrame, partition_by: list[str] | None = None):
         key = STAR_TABLES[name][1]
@@ -111,8 +118,7 @@ def load_star_observed(spark: SparkSession, src: Sources, base: str
 
     def ports_fact_time() -> dict[str, tuple[DataFrame, dict]]:
         ports = write("dim_ports", dims.dim_ports(c["ports"], c["cities"]))
-        arrivals = c["arrivals"].withColumn("month", month_key("arrival_date"))
-        facts = fact.fact_arrivals(arrivals, ports[0], carry=("month",))
+        facts = fact.fact_from_raw(src.arrivals.withColumn("month", month_key("arrdate")), ports[0], carry=("month",))
         written, fact_metrics = write("fact_immigrations", facts, ["month"])
         fact_t = written.select(*fact.FACT_COLUMNS)
         time = write("dim_time", dims.dim_time(fact_t))

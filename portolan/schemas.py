@@ -11,6 +11,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# Column names and types of the sources and of the output tables.
 # Raw monthly arrivals: 28 columns, numeric codes arrive as doubles.
 ARRIVALS_RAW = _struct(
     ("cicid", D), ("i94yr", D), ("i94mon", D), ("i94cit", D), ("i94res", D),
@@ -25,7 +26,8 @@ ARRIVALS_RAW = _struct(
 # Columns of the raw arrivals that reach the fact table.
 ARRIVALS_KEPT = ["cicid", "i94cit", "i94port", "arrdate", "i94mode", "i94addr",
                  "depdate", "i94bir", "i94visa", "visatype", "gender"]
-ARRIVALS_DROPPED = [f.name for f in ARRIVALS_RAW.fields if f.name not in ARRIVALS_KEPT]
+# Kept double codes that the star stores as ints.
+ARRIVALS_INT_CODES = ["cicid", "i94cit", "i94mode", "i94bir", "i94visa"]
 
 # ';'-separated city demographics.
 CITIES_RAW = _struct(
@@ -35,6 +37,9 @@ CITIES_RAW = _struct(
     ("Average Household Size", D), ("State Code", S), ("Race", S), ("Count", I),
 )
 
+# City columns that stay: one row per city once Race and Count are gone.
+CITIES_KEPT = [f.name for f in CITIES_RAW.fields][:10]
+
 # ','-separated airport codes.
 PORTS_RAW = _struct(
     ("ident", S), ("type", S), ("name", S), ("elevation_ft", I),
@@ -43,6 +48,8 @@ PORTS_RAW = _struct(
     ("coordinates", S),
 )
 
+PORTS_KEPT = ["ident", "type", "name", "continent", "iso_region", "municipality", "iata_code"]
+
 # ','-separated land temperatures by city.
 TEMPERATURES_RAW = _struct(
     ("dt", T.DateType()), ("AverageTemperature", D),
@@ -75,6 +82,3 @@ STAR_TABLES = {
     "dim_cities": (DIM_CITIES, "city"),
     "dim_time": (DIM_TIME, "sas_timestamp"),
 }
-
-# Code list (catalog) rows.
-CODE_LIST = _struct(("list_name", S), ("code", S), ("label", S))

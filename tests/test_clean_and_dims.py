@@ -156,3 +156,34 @@ def test_name_join_distinct_inputs_equal_distinct_pairs(spark):
     # Race/Count are dropped by cleaning, so the Orlando rows are one city row;
     # the two Orlando ports differ in ident: 1 x 2 pairs, none repeated.
     assert got.count() == 2
+
+
+def test_codes_beyond_int_are_refused_and_counted(spark):
+    raw = arrivals(spark, [{"cicid": 3e9}, {"cicid": -2147483648.0}, {"cicid": 2147483647.9}, {"cicid": 5.0, "gender": None},
+                           {"cicid": 6.0, "i94bir": float("inf")}])
+    out = clean.clean_arrivals(raw)
+    assert sorted(r.immigration_id for r in out.collect()) == [-2147483648, 2147483647]
+    causes = {r.cause: r["rows"] for r in clean.rejected_arrivals(raw).collect()}
+    assert causes == {"cicid out of range": 1, "incomplete": 1, "i94bir out of range": 1}
+
+
+def test_ports_are_matched_below_the_wide_distinct(spark):
+    raw = arrivals(spark, [{"cicid": 1.0}, {"cicid": 1.0}, {"cicid": 2.0, "i94port": "XXX"}])
+    p = dims.dim_ports(clean.clean_ports(ports(spark, [{}])), clean.clean_cities(cities(spark, [{}])))
+    from portolan.operators import fact
+
+    out = fact.fact_from_raw(raw, p)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda word: min(i for i, line in enumerate(plan) if word in line)
+    assert depth("Aggregate") < depth("LeftSemi")
+    assert sorted(out.collect()) == sorted(fact.fact_arrivals(clean.clean_arrivals(raw), p).collect())
+    copies = fact.fact_from_raw(raw, p, distinct=False)
+    assert copies.count() == 2 and dims.dim_time(copies).exceptAll(dims.dim_time(out)).count() == 0
+
+
+def test_unknown_columns_do_not_pass(spark):
+    from pyspark.sql import functions as F
+
+    extra = ports(spark, [{}]).withColumn("surprise", F.lit(1))
+    assert "surprise" not in clean.clean_ports(extra).columns
+    assert "surprise" not in clean.clean_cities(cities(spark, [{}]).withColumn("surprise", F.lit(1))).columns
