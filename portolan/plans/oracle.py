@@ -116,7 +116,8 @@ FROM arrivals_kept
 WHERE """ + " AND ".join(
         [_NOT_MISSING.format(c=c) for c in ("cicid", "i94cit", "arrdate", "i94mode", "depdate",
                                            "i94bir", "i94visa")]
-        + [f"{c} IS NOT NULL" for c in ("i94port", "i94addr", "visatype", "gender")]),
+        + [f"{c} IS NOT NULL" for c in ("i94port", "i94addr", "visatype", "gender")]
+        + [f"{c} > -2147483649 AND {c} < 2147483648" for c in ("cicid", "i94cit", "i94mode", "i94bir", "i94visa")]),
     "cities_clean": """
 SELECT "City", "State", "Median Age", "Male Population", "Female Population",
        "Total Population", "Number of Veterans", "Foreign-born", "Average Household Size",
@@ -156,6 +157,10 @@ FROM (SELECT sas_timestamp, DATE '1960-01-01' + CAST(floor(sas_timestamp) AS INT
       FROM (SELECT arrival_date AS sas_timestamp FROM fact
             UNION SELECT departure_date FROM fact) u
       WHERE sas_timestamp IS NOT NULL AND NOT isnan(sas_timestamp)) t""",
+    "all_days": """
+SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day
+FROM (SELECT DATE '1960-01-01' + CAST(floor(s) AS INTEGER) AS d
+      FROM (SELECT arrival_date AS s FROM arrivals_clean UNION SELECT departure_date FROM arrivals_clean) u) t""",
     "dim_temperatures": """
 SELECT city, avg(avg_temp) AS avg_temp, avg(avg_temp_uncertainty) AS avg_temp_uncertainty
 FROM temps_clean GROUP BY city""",
@@ -274,7 +279,7 @@ FROM fact f JOIN dim_time t ON f.arrival_date = t.sas_timestamp
 GROUP BY t.weekday"""),
     **{f"profile_counts_{c}": _counts("arrivals_clean", c)
        for c in ("visa", "visatype", "arrival_mode", "state", "age", "origin")},
-    **{f"profile_counts_{c}": _counts("dim_time", c) for c in ("year", "month", "day")},
+    **{f"profile_counts_{c}": _counts("all_days", c) for c in ("year", "month", "day")},
     "profile_counts_city": _counts("fact", "city"),
     "profile_long": q("\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS count "
@@ -323,6 +328,27 @@ FROM arrivals_clean a LEFT JOIN nation n ON CAST(a.origin AS VARCHAR) = CAST(n.n
     "star_load": _dq("row_count", "count(*)", "> 0"),
     "stream_fact_load": q("SELECT * FROM fact"),
     "etl_from_files": q("SELECT * FROM fact"),
+    "month_files": q(f"""
+SELECT {_MONTH.format(c='arrdate')} AS month, count(*) AS rows, sum(arrdate) AS days FROM arrivals_raw GROUP BY 1"""),
+    "csv_header_names": q("SELECT * FROM ports_clean"),
+    "arrivals_rejected": q("""
+SELECT cause, count(*) AS rows FROM (
+  SELECT CASE WHEN NOT (""" + " AND ".join(
+        [_NOT_MISSING.format(c=c) for c in ("cicid", "i94cit", "arrdate", "i94mode", "depdate", "i94bir", "i94visa")]
+        + [f"{c} IS NOT NULL" for c in ("i94port", "i94addr", "visatype", "gender")]) + """) THEN 'incomplete'
+""" + "\n".join(f"    WHEN NOT ({c} > -2147483649 AND {c} < 2147483648) THEN '{c} out of range'"
+               for c in ("cicid", "i94cit", "i94mode", "i94bir", "i94visa")) + """
+  END AS cause FROM arrivals_kept) x WHERE cause IS NOT NULL GROUP BY cause"""),
+    "parquet_write_modes": "SELECT o_orderkey, o_orderstatus, TRUE AS refused FROM orders",
+    "preview_ports": q("SELECT ident, name, iso_region, municipality FROM ports_raw ORDER BY ident LIMIT 10"),
+    "country_status": q("""
+SELECT immigration_id, origin, origin_label,
+  CASE WHEN starts_with(origin_label, 'INVALID:') THEN 'invalid' WHEN contains(origin_label, 'Collapsed') THEN 'collapsed'
+       WHEN starts_with(origin_label, 'No Country Code') THEN 'no_code' ELSE 'valid' END AS status
+FROM (SELECT a.immigration_id, CAST(a.origin AS VARCHAR) AS origin, coalesce(CASE n.n_nationkey % 5
+               WHEN 1 THEN 'INVALID: ' || n.n_name WHEN 2 THEN 'Collapsed ' || n.n_name
+               WHEN 3 THEN 'No Country Code (' || CAST(n.n_nationkey AS VARCHAR) || ')' ELSE n.n_name END, 'Other') AS origin_label
+      FROM arrivals_clean a LEFT JOIN nation n ON a.origin = n.n_nationkey) x"""),
     "warehouse_checks": q(_dq_body(*_ROW_COUNT) + "\nUNION ALL\n" + _dq_body(*_NULL_KEY)),
     "star_load_metrics": q(_dq_body(*_ROW_COUNT) + "\nUNION ALL\n" + _dq_body(*_NULL_KEY)),
 }

@@ -13,6 +13,7 @@ import hashlib
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,12 +22,23 @@ from portolan.functions.dates import month_key, sas_to_date_text
 from portolan.functions.text import region_suffix
 from portolan.operators import clean, dims, fact, lookups, profile, quality
 from portolan.plans import analytics, job, warehouse_sql
-from portolan.plans.star import LazyTables, Sources, build_star, clean_sources, load_star, load_star_observed
+from portolan.plans.star import (
+    LazyTables,
+    Sources,
+    build_star,
+    clean_sources,
+    fact_with_copies,
+    load_star,
+    load_star_observed,
+)
 from portolan.schemas import ARRIVALS_KEPT, ARRIVALS_RAW, CITIES_RAW, PORTS_RAW
-from portolan.session import scratch_path
+from portolan.session import remove_path, scratch_path
 from portolan.sources import code_lists, files, testdata, warehouse
 from portolan.streaming import read_fact, start_monthly_load
 
+# The database of the warehouse check, made anew by each call.
+CHECK_DATABASE = "portolan_warehouse_check"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the README queries on the generated data (a port code of
@@ -77,11 +89,19 @@ def cleaned(spark: SparkSession, sf_dir: str):
     })
 
 
+_LAST: dict[tuple[str, str], str] = {}
+
+
 def _scratch(spark: SparkSession, kind: str, sf_dir: str) -> str:
-    """A fresh folder per call: a frame returned earlier keeps reading the
-    files it listed, even if the same query is built again before it runs."""
+    """A fresh folder per call. The one of the same query's call before is
+    removed, so a session keeps one copy per query; run a frame before the
+    query is built again."""
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return scratch_path(spark, "portolan", kind, tag, uuid.uuid4().hex[:12])
+    path = scratch_path(spark, "portolan", kind, tag, uuid.uuid4().hex[:12])
+    if (kind, tag) in _LAST:
+        remove_path(spark, _LAST[kind, tag])
+    _LAST[kind, tag] = path
+    return path
 
 
 def _round_avgs(df: DataFrame) -> DataFrame:
@@ -156,7 +176,8 @@ def q_dim_time(spark, sf_dir):
 
 
 def q_union_distinct_dates(spark, sf_dir):
-    return dims.distinct_dates(cleaned(spark, sf_dir)["arrivals"], ["arrival_date", "departure_date"])
+    arrivals = clean.clean_arrivals(sources(spark, sf_dir).arrivals, distinct=False)  # copies make no new day
+    return dims.distinct_dates(arrivals, ["arrival_date", "departure_date"])
 
 
 def q_dim_temperatures(spark, sf_dir):
@@ -183,12 +204,15 @@ def q_decode_labels(spark, sf_dir):
 # -- analytic queries ----------------------------------------------------------------
 
 def q_young_arrivals(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return analytics.young_arrivals(s["fact_immigrations"], s["dim_time"], YOUNG_PORT, YOUNG_MAX_AGE)
+    # The days of the young arrivals at the port are all that the join can meet.
+    facts = star(spark, sf_dir)["fact_immigrations"]
+    young = facts.filter((F.col("age") < YOUNG_MAX_AGE) & (F.col("landing_port") == YOUNG_PORT))
+    return analytics.young_arrivals(young, dims.dim_time(young), YOUNG_PORT, YOUNG_MAX_AGE)
 
 
 def q_oldest(spark, sf_dir):
-    return analytics.oldest(star(spark, sf_dir)["fact_immigrations"])
+    src = sources(spark, sf_dir)
+    return analytics.oldest(fact_with_copies(src, star(spark, sf_dir)["dim_ports"]))
 
 
 def q_port_types(spark, sf_dir):
@@ -221,7 +245,11 @@ def _arrival_counts(col):
 
 
 def _time_counts(col):
-    return lambda spark, sf_dir: profile.value_counts(star(spark, sf_dir)["dim_time"], col)
+    """Over the days of all cleaned arrivals, with or without a port."""
+    def run(spark, sf_dir):
+        arrivals = clean.clean_arrivals(sources(spark, sf_dir).arrivals, distinct=False)
+        return profile.value_counts(dims.dim_time(arrivals), col)
+    return run
 
 
 def q_profile_counts_city(spark, sf_dir):
@@ -267,7 +295,7 @@ def q_union_months_distinct(spark, sf_dir):
     months = files.read_months(spark, base)
     c = clean_sources(Sources(months.select(*ARRIVALS_RAW.fieldNames()), src.cities,
                               src.ports, src.temperatures))
-    facts = fact.fact_arrivals(c["arrivals"], dims.dim_ports(c["ports"], c["cities"]))
+    facts = fact.fact_from_raw(months.select(*ARRIVALS_RAW.fieldNames()), dims.dim_ports(c["ports"], c["cities"]))
     return fact.distinct_complete_count(facts)
 
 
@@ -384,19 +412,83 @@ def q_etl_from_files(spark, sf_dir):
     read = job.read_sources(spark, f"{base}/in/arrivals", f"{base}/in/cities",
                                  f"{base}/in/ports", f"{base}/in/temperatures")
     tables, _ = job.run(spark, read, f"{base}/out")
+    remove_path(spark, f"{base}/in")
     return tables["fact_immigrations"]
 
 
 def q_warehouse_checks(spark, sf_dir):
-    """The star written as Parquet folders, copied into typed catalog tables
-    (DDL first), and the row-count and null-key checks run as SQL text over
-    those tables."""
+    """The star written as Parquet folders, registered as external tables,
+    and the row-count and null-key checks run as SQL text over those tables.
+    The database is made anew by each call."""
     base = _scratch(spark, "warehouse_sql", sf_dir)
     load_star(spark, sources(spark, sf_dir), base)
-    db = f"portolan_wh_{uuid.uuid4().hex[:12]}"
-    warehouse.create_tables(spark, db, f"{base}/_catalog")
-    warehouse.copy_tables(spark, base, db)
-    return warehouse_sql.warehouse_checks(spark, warehouse.read_tables(spark, db))
+    spark.sql(f"DROP DATABASE IF EXISTS {CHECK_DATABASE} CASCADE")
+    warehouse.register_tables(spark, base, CHECK_DATABASE)
+    return warehouse_sql.warehouse_checks(spark, warehouse.read_tables(spark, CHECK_DATABASE))
+
+
+def q_month_files(spark, sf_dir):
+    """Raw arrivals staged as one file per month, read back by a path template
+    naming every month; rows per month."""
+    base = _scratch(spark, "month_files", sf_dir)
+    staged = files.stage_monthly(sources(spark, sf_dir).arrivals, base, month_key("arrdate"))
+    months = sorted(r["month"] for r in staged.select("month").distinct().collect())  # calendar months
+    raw = files.read_month_files(spark, f"{base}/month={{month}}", months, ARRIVALS_RAW)
+    return raw.groupBy("month").agg(F.count(F.lit(1)).alias("rows"), F.sum("arrdate").alias("days"))
+
+
+def q_csv_header_names(spark, sf_dir):
+    """Ports written as CSV with their columns in another order and one more,
+    read back by header name and cleaned."""
+    path = _scratch(spark, "csv_header_names", sf_dir)
+    raw = testdata.ports_raw(spark, sf_dir)
+    turned = raw.select(F.lit("x").alias("extra"), *reversed(raw.columns))
+    files.write_csv(turned, path, sep=",")
+    return clean.clean_ports(files.read_csv(spark, path, PORTS_RAW, sep=","))
+
+
+def q_arrivals_rejected(spark, sf_dir):
+    """Distinct raw arrivals that cleaning refuses, per cause."""
+    return clean.rejected_arrivals(sources(spark, sf_dir).arrivals)
+
+
+def q_parquet_write_modes(spark, sf_dir):
+    """Finished orders written where nothing may be yet, a second such write
+    refused, the other orders appended, and all read back."""
+    orders = testdata.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    path = _scratch(spark, "write_modes", sf_dir)
+    finished = orders.filter("o_orderstatus = 'F'")
+    files.write_table(finished, path, mode="errorifexists")
+    try:
+        files.write_table(finished, path, mode="errorifexists")
+        refused = False
+    except AnalysisException:
+        refused = True
+    files.write_table(orders.filter("o_orderstatus <> 'F'"), path, mode="append")
+    return spark.read.schema(orders.schema).parquet(path).withColumn("refused", F.lit(refused))
+
+
+def q_preview_ports(spark, sf_dir):
+    """The first ten ports by identifier."""
+    ports = testdata.ports_raw(spark, sf_dir).select("ident", "name", "iso_region", "municipality")
+    return profile.preview(ports, 10, ["ident"])
+
+
+def q_country_status(spark, sf_dir):
+    """Arrival origins decoded through a parsed country list that holds
+    invalid, collapsed and uncoded entries, with each entry's status."""
+    n = testdata.table(spark, sf_dir, "nation")
+    path = _scratch(spark, "country_status", sf_dir)
+    turn, name = F.col("n_nationkey") % 5, F.col("n_name")
+    label = (F.when(turn == 1, F.concat(F.lit("INVALID: "), name)).when(turn == 2, F.concat(F.lit("Collapsed "), name))
+             .when(turn == 3, F.concat(F.lit("No Country Code ("), F.col("n_nationkey").cast("string"), F.lit(")")))
+             .otherwise(name))
+    code_lists.write_catalog({"i94cntyl": n.select(
+        F.col("n_nationkey").cast("string").alias("code"), label.alias("label"), F.lit(False).alias("quoted"))}, path)
+    countries = code_lists.read_code_lists(spark, path).select("code", "label")
+    a = cleaned(spark, sf_dir)["arrivals"].select("immigration_id", F.col("origin").cast("string").alias("origin"))
+    found = lookups.decode_join(a, "origin", countries, "origin_label")
+    return found.withColumn("status", code_lists.label_status("origin_label"))
 
 
 QUERIES: dict[str, Query] = {
@@ -444,6 +536,12 @@ QUERIES: dict[str, Query] = {
     "star_load_metrics": q_star_load_metrics,
     "warehouse_checks": q_warehouse_checks,
     "etl_from_files": q_etl_from_files,
+    "month_files": q_month_files,
+    "csv_header_names": q_csv_header_names,
+    "arrivals_rejected": q_arrivals_rejected,
+    "parquet_write_modes": q_parquet_write_modes,
+    "preview_ports": q_preview_ports,
+    "country_status": q_country_status,
     "sql_young_arrivals": _sql_example("young_arrivals", port=YOUNG_PORT, max_age=YOUNG_MAX_AGE),
     "sql_oldest": _sql_example("oldest"),
     "sql_port_types": _sql_example("port_types"),

@@ -12,18 +12,73 @@ from pyspark.sql import types as T
 NULL_TOKEN = "NULL"
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-             sep: str = ",", null_token: str = NULL_TOKEN) -> DataFrame:
-    """Header CSV with a fixed schema (no inference pass).
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
+             sep: str = ",", null_token: str = NULL_TOKEN, malformed: str = "fail", **options) -> DataFrame:
+    """Header CSV, its columns taken by header name and typed by ``schema``.
 
     ``NULL`` and an empty unquoted field read as null; a quoted empty
-    field reads as an empty string. Without a schema, types are inferred,
-    which costs an extra pass (exploration only).
+    field reads as an empty string. The header of the first file gives the
+    columns' places; a column of the schema that it lacks is an error, and so
+    is a further file with another header. Columns beyond the schema are not
+    read. A value that its type can't hold fails the read, naming column and
+    value (``malformed="fail"``), or becomes null (``"null"``); count those
+    with ``malformed_values``. Without a schema, types are inferred, which
+    costs an extra pass (exploration only).
     """
-    reader = (spark.read.option("header", True).option("sep", sep)
-              .option("nullValue", null_token).option("mode", "PERMISSIVE"))
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if malformed not in ("fail", "null"):
+        raise ValueError(f"malformed must be fail or null, not {malformed!r}")
+    if schema is None:
+        return (spark.read.options(header=True, sep=sep, nullValue=null_token, inferSchema=True, **options).csv(path))
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    texts = _csv_texts(spark, path, schema, sep, null_token, options)
+    typed = []
+    for f in schema.fields:
+        raw, value = F.col(f"`{f.name}`"), _typed(f)
+        if malformed == "fail" and not isinstance(f.dataType, T.StringType):
+            bad = F.raise_error(F.concat(F.lit(f"column {f.name}: not a {f.dataType.simpleString()}: "), raw))
+            value = F.when(raw.isNull() | value.isNotNull(), value).otherwise(bad.cast(f.dataType))
+        typed.append(value.alias(f.name))
+    rest = [F.col(f"`{c}`") for c in texts.columns if c not in schema.fieldNames()]  # partition columns
+    return texts.select(*typed, *rest)
+
+
+def malformed_values(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ",",
+                     null_token: str = NULL_TOKEN) -> DataFrame:
+    """``column_name, rows``: how many values of each column its type can't
+    hold, in one pass."""
+    texts = _csv_texts(spark, path, schema, sep, null_token, {})
+    counts = texts.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull() & _typed(f).isNull()).alias(f.name)
+                         for f in schema.fields])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("rows")) for f in schema.fields
+    ])).alias("c")).select("c.*")
+
+
+def _typed(field: T.StructField) -> Column:
+    raw = F.col(f"`{field.name}`")
+    return raw if isinstance(field.dataType, T.StringType) else raw.try_cast(field.dataType)
+
+
+def _csv_texts(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str, null_token: str,
+               options: dict) -> DataFrame:
+    """The schema's columns as text, bound by header name, and any partition
+    columns of the path."""
+    reader = lambda: spark.read.options(header=True, sep=sep, nullValue=null_token, **options)
+    first = reader().csv(path)
+    missing = [c for c in schema.fieldNames() if c not in first.columns]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    # Partition columns come last and aren't in the files' headers.
+    folders = [c for c in first.columns if c not in schema.fieldNames() and c in _partition_names(first)]
+    header = T.StructType([T.StructField(c, T.StringType()) for c in first.columns if c not in folders])
+    texts = reader().option("enforceSchema", False).schema(header).csv(path)
+    return texts.select(*[F.col(f"`{c}`") for c in [*schema.fieldNames(), *folders]])
+
+
+def _partition_names(df: DataFrame) -> set[str]:
+    """``name=value`` folder names on the way to a frame's files."""
+    return {part.split("=")[0] for f in df.inputFiles()[:1] for part in f.split("/") if "=" in part}
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", null_token: str = NULL_TOKEN,
@@ -84,14 +139,34 @@ def read_months(spark: SparkSession, base: str, months: list[str] | None = None,
                 schema: T.StructType | None = None, column: str = "month") -> DataFrame:
     """Read a ``month=``-partitioned dataset, optionally only some months.
 
-    The month list becomes a partition filter: only those folders are
-    listed and scanned (one job for all months instead of a loop).
+    Only the folders of the months named are listed and scanned, in one job;
+    a month without a folder has no rows. With a schema no footer is read to
+    infer one.
     """
+    if schema is not None and column not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(column, T.StringType())])
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(base)
-    if months is not None:
-        df = df.filter(F.col(column).isin(list(months)))
-    return df
+    if months is None:
+        return reader.parquet(base)
+    paths = [p for p in month_paths(base, months, column) if exists(spark, p)]
+    if not paths:
+        if schema is None:
+            raise ValueError(f"{base} has none of the months named")
+        return spark.createDataFrame([], schema)
+    return reader.option("basePath", base).parquet(*paths)
+
+
+def month_paths(base: str, months: list[str], column: str = "month") -> list[str]:
+    """The path of each month: by the template if ``base`` has ``{month}`` in
+    it, else its partition folder."""
+    if "{month}" in base:
+        return [base.format(month=m) for m in months]
+    return [f"{base.rstrip('/')}/{column}={m}" for m in months]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target))
 
 
 def read_month_files(spark: SparkSession, template: str, months: list[str],
@@ -104,13 +179,40 @@ def read_month_files(spark: SparkSession, template: str, months: list[str],
     one job and only the named files are listed."""
     if not months:
         raise ValueError("name at least one month for a templated path")
-    reader = spark.read.format(fmt).options(**options)
-    if schema is not None:
-        reader = reader.schema(schema)
-    frames = [reader.load(template.format(month=m)).withColumn(column, F.lit(m)) for m in months]
+    def one(path: str) -> DataFrame:
+        if fmt == "csv":
+            return read_csv(spark, path, schema, **options)
+        reader = spark.read.format(fmt).options(**options)
+        return (reader.schema(schema) if schema is not None else reader).load(path)
+
+    frames = [one(template.format(month=m)).withColumn(column, F.lit(m)) for m in months]
     return reduce(DataFrame.unionByName, frames)
 
 
+def publish(spark: SparkSession, staged: str, target: str, partition_by: str | None = None) -> None:
+    """Move a written table to where it is read from, by renames of the file
+    system: the whole folder, or with ``partition_by`` each partition folder
+    in place of the one of that name, others staying. No row is copied."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = path(target).getFileSystem(conf)
+
+    def move(a: str, b: str) -> None:
+        fs.delete(path(b), True)
+        if not fs.rename(path(a), path(b)):
+            raise OSError(f"{a} could not be moved to {b}")
+
+    if partition_by is None:
+        fs.mkdirs(path(target).getParent())
+        move(staged, target)
+        return
+    fs.mkdirs(path(target))
+    for status in fs.listStatus(path(staged)):
+        name = status.getPath().getName()
+        if name.startswith(f"{partition_by}="):
+            move(f"{staged}/{name}", f"{target}/{name}")
+
+
 def stage_monthly(df: DataFrame, base: str, month_col: F.Column, column: str = "month") -> DataFrame:
     """Write a frame as one partition per month (dynamic overwrite) and read it back."""
     return write_table(df.withColumn(column, month_col), base, partition_by=[column])

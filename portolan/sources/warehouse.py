@@ -1,9 +1,13 @@
 """Warehouse tables in the Spark catalog: DDL and load.
 
-The five tables are created once (``CREATE TABLE IF NOT EXISTS``, typed as
-in the schema constants) and loaded by position after a cast to the table
-types. Loading overwrites, so running a load twice leaves the same rows.
-Declared keys are not enforced by the table format; ``quality`` checks them.
+``register_tables`` puts the star's Parquet folders, as a load wrote them,
+into the catalog: external tables typed as in the schema constants, the fact
+partitioned by month, and no second copy. ``create_tables`` and
+``load_tables`` are for frames that aren't written yet: tables of the
+catalog's own (``CREATE TABLE IF NOT EXISTS``), loaded by position after a
+cast to the table types; loading overwrites, so running it twice leaves the
+same rows. Declared keys are not enforced by the table format; ``quality``
+checks them.
 """
 
 from __future__ import annotations
@@ -17,10 +21,32 @@ from portolan.schemas import STAR_TABLES
 from portolan.session import run_concurrently
 
 
-def table_ddl(database: str, name: str) -> str:
+# Tables whose Parquet folders have a partition column beside the schema.
+PARTITIONED = {"fact_immigrations": "month"}
+
+
+def table_ddl(database: str, name: str, location: str | None = None) -> str:
+    """The table's DDL; with a location, of the external table on that folder."""
     schema, _ = STAR_TABLES[name]
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)
-    return f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({cols}) USING parquet"
+    cols = [f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields]
+    rest = ""
+    if location is not None:
+        if name in PARTITIONED:
+            cols.append(f"`{PARTITIONED[name]}` STRING")
+            rest += f" PARTITIONED BY (`{PARTITIONED[name]}`)"
+        rest += f" LOCATION '{location}'"
+    return f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({', '.join(cols)}) USING parquet{rest}"
+
+
+def register_tables(spark: SparkSession, base: str, database: str) -> None:
+    """External tables of ``database`` on the folders ``{base}/{name}``. Safe
+    to repeat: partitions and files that a later load brought are found."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name in STAR_TABLES:
+        spark.sql(table_ddl(database, name, f"{base}/{name}"))
+        if name in PARTITIONED:
+            spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
+        spark.catalog.refreshTable(f"`{database}`.`{name}`")
 
 
 def create_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -44,15 +70,7 @@ def load_tables(frames: Mapping[str, DataFrame], database: str) -> None:
     run_concurrently({name: load(name, df) for name, df in frames.items()})
 
 
-def copy_tables(spark: SparkSession, base: str, database: str,
-                names: tuple[str, ...] | None = None) -> None:
-    """Load each table from its Parquet folder ``{base}/{name}`` (as written
-    by ``plans.star.load_star``), the warehouse's copy-from-files step.
-    Extra columns in the files, such as the fact's ``month`` partition, are
-    not loaded; no credential is ever part of the statement."""
-    load_tables({name: spark.read.parquet(f"{base}/{name}") for name in (names or STAR_TABLES)},
-                database)
-
-
 def read_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    return {name: spark.table(f"`{database}`.`{name}`") for name in STAR_TABLES}
+    """The tables by name, with the columns of their schemas."""
+    return {name: spark.table(f"`{database}`.`{name}`").select(*schema.fieldNames())
+            for name, (schema, _) in STAR_TABLES.items()}

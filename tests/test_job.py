@@ -9,6 +9,12 @@ from portolan.plans.registry import sources, star
 from portolan.sources import files
 
 
+SCALED = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes",
+          "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+          "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+          "spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 @pytest.fixture(scope="module")
 def staged(spark, tmp_path_factory):
     """The derived sources written as the raw file kinds the job reads."""
@@ -38,14 +44,14 @@ def test_cli_writes_a_checked_star(spark, staged, tmp_path, capsys):
     assert sorted(fact.collect()) == sorted(expected.collect())
 
 
-def test_months_are_a_partition_filter(spark, staged, tmp_path):
+def test_only_the_named_months_are_listed(spark, staged, tmp_path):
     months = ["1995-03", "1996-07"]
+    for folder, fmt in (("arrivals", "parquet"), ("arrivals_csv", "csv")):
+        src = job.read_sources(spark, f"{staged}/{folder}", f"{staged}/cities", f"{staged}/ports",
+                               f"{staged}/temperatures", months, fmt)
+        assert {re.search("month=([0-9-]+)", f)[1] for f in src.arrivals.inputFiles()} == set(months)
     src = job.read_sources(spark, f"{staged}/arrivals", f"{staged}/cities", f"{staged}/ports",
-                                f"{staged}/temperatures", months)
-    jvm = spark.sparkContext._jvm
-    plan = jvm.PythonSQLUtils.explainString(src.arrivals._jdf.queryExecution(), "formatted")
-    pruned = [ln for ln in plan.splitlines() if ln.strip().startswith("PartitionFilters")]
-    assert pruned and re.search(r"month#\d+ IN \(1995-03,1996-07\)", pruned[0])
+                           f"{staged}/temperatures", months)
     tables, report = job.run(spark, src, str(tmp_path / "out"), raise_on_failure=False)
     got = {r.m for r in tables["fact_immigrations"].select(month_key("arrival_date").alias("m")).distinct().collect()}
     assert got and got <= set(months)
@@ -65,6 +71,42 @@ def test_unknown_arrivals_format_is_refused(spark, staged):
         job.read_sources(spark, staged, staged, staged, staged, arrivals_format="sas7bdat")
 
 
+def test_cli_with_a_template_and_autoscale(spark, staged, tmp_path, capsys):
+    before = {k: spark.conf.get(k, None) for k in SCALED}
+    try:
+        args = _args(staged, str(tmp_path / "out"), "--months", "1995-03", "1996-07")
+        args[1] = f"{staged}/arrivals/month={{month}}"
+        assert job.main(args) == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    printed = capsys.readouterr().out
+    assert "FAIL" not in printed and "without_port 1995-03" in printed and "unique_key" in printed
+
+
+def test_failing_load_changes_nothing_and_a_new_month_joins_the_old(spark, staged, tmp_path):
+    paths = (f"{staged}/cities", f"{staged}/ports", f"{staged}/temperatures")
+    out = str(tmp_path / "out")
+    first, _ = job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *paths, ["1995-03"]), out, "portolan_job_t")
+    stored = sorted(first["fact_immigrations"].collect())
+    assert stored
+    empty = job.read_sources(spark, f"{staged}/arrivals", f"{staged}/cities", f"{staged}/ports", f"{staged}/temperatures", ["1996-07"])
+    empty.ports = empty.ports.limit(0)
+    with pytest.raises(AssertionError, match="dim_ports.row_count"):
+        job.run(spark, empty, out)
+    now = spark.read.parquet(f"{out}/fact_immigrations").select(*first["fact_immigrations"].columns)
+    assert sorted(now.collect()) == stored and spark.read.parquet(f"{out}/dim_ports").count() > 0
+    both, report = job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *paths, ["1996-07"]), out, "portolan_job_t")
+    rep = {(r.table_name, r.check_name): r.observed for r in report.collect()}
+    n = both["fact_immigrations"].count()
+    assert rep["fact_immigrations", "row_count"] == n == len(stored) + rep["fact_immigrations", "rows_written"]
+    assert spark.table("portolan_job_t.fact_immigrations").count() == n
+    days = {r[0] for r in both["fact_immigrations"].select("arrival_date").distinct().collect()}
+    assert days <= {r[0] for r in both["dim_time"].select("sas_timestamp").collect()}
+    again, _ = job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *paths, ["1996-07"]), out)
+    assert again["fact_immigrations"].count() == n
+
+
 def test_failed_checks_raise(spark, staged, tmp_path):
     src = job.read_sources(spark, f"{staged}/arrivals", f"{staged}/cities", f"{staged}/ports",
                                 f"{staged}/temperatures", ["1800-01"])  # no such month: empty fact

@@ -7,7 +7,8 @@ import duckdb
 import pytest
 from conftest import SF_SMALL
 
-import __spark_entry__ as entry_mod
+from portolan.plans.oracle import ORACLE
+from portolan.plans.registry import QUERIES
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -31,11 +32,11 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("key", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
-    df = entry_mod.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     got = sorted(tuple(_norm(v) for v in r) for r in df.collect())
-    cur = duck.execute(entry_mod.oracle_sql()[key])
+    cur = duck.execute(ORACLE[key])
     cols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(df.columns)
     order = [cols.index(c) for c in df.columns]

@@ -21,7 +21,10 @@ def test_entry_runs_with_stable_schema(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    from portolan.plans.oracle import ORACLE
+
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLE) <= set(entry_mod.oracle_sql())
 
 
 def test_no_python_udf_anywhere_in_the_pipeline(spark):

@@ -2,7 +2,7 @@ import tempfile
 
 from conftest import SF_SMALL, arrivals, cities, ports
 
-from portolan.operators import clean, dims, quality
+from portolan.operators import clean, dims, fact, quality
 from portolan.plans.registry import star
 from portolan.sources import warehouse
 from portolan.streaming import read_fact, read_load_log, start_monthly_load
@@ -34,6 +34,18 @@ def test_stream_loads_only_new_files_and_is_repeatable(spark):
     assert [b for b, _ in log] == [0, 1] and sum(n for _, n in log) == 3
 
 
+def test_stream_fact_is_the_same_for_any_landing(spark):
+    rows = [{"cicid": float(i % 40), "arrdate": 20454.0 + i % 50, "depdate": 20600.0} for i in range(120)]
+    p = _dim_ports(spark)
+    want = sorted(fact.fact_from_raw(arrivals(spark, rows), p).collect())
+    for split in ([rows], [rows[:50], rows[50:]], [rows, rows[::-1]], [rows[i::5] for i in range(5)]):
+        root = tempfile.mkdtemp(prefix="portolan-stream-")
+        for i, part in enumerate(split):
+            arrivals(spark, part).coalesce(1).write.parquet(f"{root}/landing/part{i}")
+            start_monthly_load(spark, f"{root}/landing/*", p, f"{root}/fact", f"{root}/ckpt").awaitTermination()
+        assert sorted(read_fact(spark, f"{root}/fact").collect()) == want
+
+
 def test_warehouse_create_load_twice(spark):
     loc = tempfile.mkdtemp(prefix="portolan-wh-")
     db = "portolan_test_wh"

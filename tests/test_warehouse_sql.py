@@ -64,7 +64,7 @@ def test_checks_report_null_keys_and_empty_tables(spark):
     assert rep[("dim_time", "null_key")] == ("sas_timestamp", 0, True)
 
 
-def test_copy_into_catalog_then_check(spark, tmp_path):
+def test_register_in_catalog_then_check(spark, tmp_path):
     from portolan.plans.registry import sources
     from portolan.plans.star import load_star
     from portolan.sources import warehouse
@@ -72,9 +72,8 @@ def test_copy_into_catalog_then_check(spark, tmp_path):
     base = str(tmp_path / "wh")
     load_star(spark, sources(spark, SF_SMALL), base)
     db = f"portolan_t_{uuid.uuid4().hex[:8]}"
-    warehouse.create_tables(spark, db, f"{base}/_catalog")
-    warehouse.copy_tables(spark, base, db)
-    warehouse.copy_tables(spark, base, db)  # a second copy replaces, never appends
+    warehouse.register_tables(spark, base, db)
+    warehouse.register_tables(spark, base, db)  # again: nothing is added
     tables = warehouse.read_tables(spark, db)
     assert tables["fact_immigrations"].columns == FACT_IMMIGRATIONS.fieldNames()
     rep = warehouse_sql.warehouse_checks(spark, tables).collect()
