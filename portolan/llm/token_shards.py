@@ -80,11 +80,15 @@ def _streams(length: int, end_id: int, vocabulary: str | None, batches: Iterator
         yield np.frombuffer(rest + end * (length - len(rest) // 4), "<u4").reshape(-1, length)
 
 
-def count_sequences(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, vocabulary: str | None = None,
+def count_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None,
                     text: str = "text") -> dict[int, int]:
-    """Sequences of each input partition; one number for each partition."""
+    """Sequences of each input partition, each document with one id after it;
+    one number for each partition."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(len(x) for x in _streams(length, end_id, vocabulary, batches))
+        encoder, ids = byte_bpe(vocabulary), 0
+        for batch in batches:
+            ids += sum(encoder.count(x) + 1 for x in batch.column(0).to_pylist())
+        n = -(-ids // length)
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([n])], names=["part", "n"])
 
     body = docs.select(text_or_empty(text).alias("text"))
@@ -104,7 +108,7 @@ def write_sequences(docs: DataFrame, path: str, key: int = 1, length: int = LENG
     repeated rows are written as often as they occur. An empty table writes
     no shard. Folders that exist already are overwritten.
     """
-    counts = count_sequences(docs, length, end_id, vocabulary, text)
+    counts = count_sequences(docs, length, vocabulary, text)
     starts, total = {}, 0
     for part in sorted(counts):
         starts[part] = total
@@ -128,8 +132,10 @@ def write_sequences(docs: DataFrame, path: str, key: int = 1, length: int = LENG
     shards = max(1, -(-total // shard_records))
     rows = docs.select(text_or_empty(text).alias("text")).mapInArrow(work, "slot long, record binary")
     rows = rows.withColumn("shard", F.expr(f"slot DIV {shard_records}"))
+    # A shard is a range of slots known beforehand, so rows go to their shard's
+    # task by its number; sampling for ranges would read the texts once more.
     # Spark's text writer puts a string's bytes out as they are, and then the line feed.
-    (rows.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
+    (rows.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
      .select("shard", F.col("record").cast("string").alias("value"))
      .write.partitionBy("shard").mode("overwrite").text(path))
     return total

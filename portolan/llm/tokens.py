@@ -8,8 +8,8 @@ import unicodedata
 from array import array
 from functools import lru_cache
 
-# Up to here, all characters have the same class in every Unicode version.
-_LATIN_END = "ɏ"
+# Up to U+024F, all characters have the same class in every Unicode version.
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 # The faster library's pattern matching can't get over a run much longer than this.
 _LONG_SPACE = re.compile(r"\s{100000}")
 
@@ -48,15 +48,20 @@ class TextEncoder:
                 merged = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merged, special_tokens={})
 
+    def _encode(self, text: str) -> list[int]:
+        settled = text.isascii() or not _BEYOND_LATIN.search(text) or all(map(self.settled.__getitem__, set(text)))
+        if self.fast and settled and not (len(text) > 100_000 and _LONG_SPACE.search(text)):
+            return self.fast.encode_ordinary(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def count(self, text: str) -> int:
+        """The number of ids."""
+        return len(self._encode(text))
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        settled = text.isascii() or max(text) <= _LATIN_END or all(map(self.settled.__getitem__, set(text)))
-        if self.fast and settled and not (len(text) > 100_000 and _LONG_SPACE.search(text)):
-            found = self.fast.encode_ordinary(text)
-        else:
-            found = self.tokenizer.encode(text, add_special_tokens=False).ids
-        out = array("I", found)
+        out = array("I", self._encode(text))
         if array("I", [1]).tobytes() != b"\1\0\0\0":
             out.byteswap()
         return out.tobytes()
