@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from portolan.llm.common import cut, fresh, text_or_empty
 
-SAMPLE_ROWS = 8_000  # labelled rows that the trigram model is fitted on, about
+SAMPLE_ROWS = 8_000  # rows of each label that the trigram model is fitted on, about; all of a rarer one's
+UNSEEN = 0.02  # share of a language's likelihood that is spread evenly over all trigrams, whatever its sample
 EFFECTIVE = 300.0  # trigrams of evidence a text counts for, at most
 LEAN = 8.0  # rows that a group's parent counts for in its prior
 UNKNOWN = "und"
@@ -90,17 +91,20 @@ class Model:
 
 def fit(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "lang",
         sample_rows: int = SAMPLE_ROWS, seed: int = 11) -> Model:
-    """Fit on about ``sample_rows`` of the rows with a label and a text (all,
-    if there are no more), chosen by a hash of id and text at a rate worked
-    out from their number. Counts are combined in Spark; the driver gets one
-    row for each trigram of the sample and language. Without labelled rows
-    the model knows no language."""
+    """Fit on about ``sample_rows`` of each label's rows with a text (all of
+    them, if there are no more), chosen by a hash of id and text at a rate
+    worked out from the label's own number of rows; the row that is first by
+    hash is always in, so every label whose texts have letters is a class at
+    any size of input. Counts are combined in Spark; the driver gets one row
+    for each trigram of the sample and language. Without labelled rows the
+    model knows no language."""
     rows = labelled.where(F.col(label).isNotNull() & (F.length(text) > 0)).select(
         F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), id_column, text).alias("turn"))
-    there = rows.count()
-    rate = min(1 << 20, (sample_rows << 20) // max(1, there))
-    if rate < 1 << 20:
-        rows = rows.where(F.pmod("turn", F.lit(1 << 20)) < rate)
+    there = rows.groupBy("label").agg(F.count(F.lit(1)).alias("there"), F.min("turn").alias("first"))
+    # The whole hash as a fraction from 0 to 1 against the label's rate.
+    drawn = F.col("turn").cast("double") / F.lit(2.0 ** 64) + F.lit(0.5) < F.lit(float(sample_rows)) / F.col("there")
+    rows = rows.join(F.broadcast(there), "label").where(
+        (F.col("there") <= sample_rows) | drawn | (F.col("turn") == F.col("first"))).select("label", "text")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -108,7 +112,7 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", labe
                 ids, n = np.unique(np.concatenate([trigrams(x) for x in part["text"]]), return_counts=True)
                 yield pd.DataFrame({"label": name, "id": ids.astype(np.int64), "n": n.astype(np.int64)})
 
-    got = (rows.drop("turn").mapInPandas(count, "label string, id long, n long").groupBy("label", "id").agg(F.sum("n").alias("n"))
+    got = (rows.mapInPandas(count, "label string, id long, n long").groupBy("label", "id").agg(F.sum("n").alias("n"))
            .toPandas())
     languages = sorted(got["label"].unique())
     ids = np.unique(got["id"].to_numpy(np.int64))
@@ -116,9 +120,11 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", labe
     for k, name in enumerate(languages):
         part = got[got["label"] == name]
         counts[np.searchsorted(ids, part["id"].to_numpy(np.int64)), k] = part["n"]
-    spread = 0.01  # added to each count, over all possible trigrams
-    sums = counts.sum(axis=0) + spread * (1 << 3 * _BITS)
-    return Model(languages, ids, np.log((counts + spread) / sums).astype(np.float32), np.log(spread / sums))
+    # Mixed with an even spread, so that an unseen trigram costs the same in
+    # each language, however many rows its sample has.
+    even = UNSEEN / (1 << 3 * _BITS)
+    values = np.log((1.0 - UNSEEN) * counts / counts.sum(axis=0) + even)
+    return Model(languages, ids, values.astype(np.float32), np.full(len(languages), math.log(even)))
 
 
 def with_scores(rows: DataFrame, model: Model, text: str, out: str) -> DataFrame:

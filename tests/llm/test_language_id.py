@@ -114,3 +114,29 @@ def test_address_and_markup(spark):
     got = df.select(language_id.host_of(F.col("url")).alias("h"), language_id.page_text(F.col("html")).alias("t")).collect()
     assert [r.h for r in got] == ["blog.a.example.com", None, None]
     assert got[0].t.split() == ["Hi", "you"] and got[1].t is None
+
+
+def test_rare_labels_are_classes_at_any_size(spark):
+    rng = random.Random(6)
+    rows = [(i, text_in(rng, "en", 20), "en", "s", 1) for i in range(4000)]
+    rows += [(9000 + i, text_in(rng, "de", 60), "de", "s", 1) for i in range(12)] + [(9500, text_in(rng, "fr", 60), "fr", "s", 1)]
+    docs = documents(spark, rows)
+    whole, drawn = language_id.fit(docs), language_id.fit(docs, sample_rows=20)
+    assert whole.languages == drawn.languages == ["de", "en", "fr"]
+    new = [(i, text_in(rng, lang, 25), None, "s", 1) for i, lang in enumerate(list(WORDS) * 10)]
+    for model in (whole, drawn):
+        got = language_id.identify(documents(spark, new), model, ["doc_id"]).collect()
+        assert {r.doc_id: r.text_lang for r in got} == {i: list(WORDS)[i % 3] for i in range(30)}
+    # The rarer label's rows are all in, whatever the other one's rate; a rate never rounds to nothing.
+    alone = language_id.fit(docs.where("lang = 'de'"))
+    text = text_in(rng, "de", 40)
+    assert drawn.score(text)[0] == pytest.approx(alone.score(text)[0])
+    assert language_id.fit(docs, sample_rows=1).languages == ["de", "en", "fr"]
+
+
+def test_unseen_trigrams_cost_the_same_in_samples_of_any_size(spark):
+    rng = random.Random(7)
+    rows = [(i, text_in(rng, "en", 400), "en", "s", 1) for i in range(200)] + [(900, text_in(rng, "de", 60), "de", "s", 1)]
+    model = language_id.fit(documents(spark, rows))
+    de, en, _ = model.score("qxzj wvkq zzxq")
+    assert de == pytest.approx(en)
