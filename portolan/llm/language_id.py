@@ -12,7 +12,9 @@ all trigrams: text in no known language, or without letters, falls to it.
 
 from __future__ import annotations
 
+import functools
 import math
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,39 +29,60 @@ UNSEEN = 0.02  # share of a language's likelihood that is spread evenly over all
 EFFECTIVE = 300.0  # trigrams of evidence a text counts for, at most
 LEAN = 8.0  # rows that a group's parent counts for in its prior
 UNKNOWN = "und"
-_CODES = 0x250  # letters beyond share one class
-_BITS = 7
-
-
-def _classes() -> np.ndarray:
-    """Code point -> 0 for what isn't a letter, or a class of its own."""
-    table, seen = np.zeros(_CODES, np.uint32), {}
-    for code in range(_CODES):
-        low = chr(code).lower()
-        if chr(code).isalpha() and len(low) == 1:
-            table[code] = seen.setdefault(low, len(seen) % ((1 << _BITS) - 2) + 1)
-    return table
-
-
-_TABLE = _classes()
+_BITS = 21  # of a trigram's number
+_PLANES = 0x40000  # letters lie below
+_LETTER, _SIGN, _MARK = 1, 2, 3
+# Scripts of thousands of signs, whose trigrams hardly repeat: ideographs, Yi and Hangul syllables.
+_SIGNS = ((0x3400, 0x4DC0), (0x4E00, 0xA4D0), (0xAC00, 0xD7A4), (0xF900, 0xFB00), (0x17000, 0x18D80), (0x20000, _PLANES))
+_ANY_SIGN = _PLANES  # stands for a sign beside a letter or space
+
+
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Code point -> its kind, 0 for what isn't in words, and its lower case."""
+    kinds, lows = np.zeros(_PLANES, np.uint8), np.arange(_PLANES, dtype=np.uint32)
+    for code in range(_PLANES):
+        char = chr(code)
+        if char.isalpha():
+            kinds[code] = _LETTER
+            lows[code] = ord(char.lower()[0])
+        elif unicodedata.category(char) in ("Mn", "Mc") and not 0xFE00 <= code < 0xFE10:  # variation selectors
+            kinds[code] = _MARK
+    for start, end in _SIGNS:
+        kinds[start:end][kinds[start:end] == _LETTER] = _SIGN
+    return kinds, lows
+
+
+def _mixed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """A hash of three code points, of ``_BITS`` bits."""
+    x = (a.astype(np.uint64) << np.uint64(42)) | (b.astype(np.uint64) << np.uint64(21)) | c
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return (x >> np.uint64(64 - _BITS)).astype(np.uint32)
 
 
 def trigrams(text: str) -> np.ndarray:
-    """Numbers of a text's letter trigrams; runs of anything else are one
-    space."""
-    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    if not len(codes):
-        return np.zeros(0, np.uint32)
-    other = np.uint32((1 << _BITS) - 1)
-    marks = np.where(codes < _CODES, _TABLE[np.minimum(codes, _CODES - 1)], other)
-    if (codes >= _CODES).any():
-        far = np.flatnonzero(codes >= _CODES)
-        marks[far[[not chr(c).isalpha() for c in codes[far].tolist()]]] = 0
-    if not marks.any():
+    """Numbers of a text's letter trigrams, hashes of their lower-case code
+    points; runs of anything else are one space. Marks on letters, as vowel
+    signs, count as letters. A sign of a script of thousands counts alone,
+    and all such signs are one to the letters beside them."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text)
+    codes = np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), np.uint32(_PLANES - 1))
+    kinds, lows = _tables()
+    kind = kinds[codes]
+    if not ((kind == _LETTER) | (kind == _SIGN)).any():
         return np.zeros(0, np.uint32)
-    marks = np.concatenate([[0], marks, [0]]).astype(np.uint32)
-    marks = marks[np.concatenate([[True], (marks[1:] != 0) | (marks[:-1] != 0)])]
-    return (marks[:-2] << np.uint32(2 * _BITS)) | (marks[1:-1] << np.uint32(_BITS)) | marks[2:]
+    marks = np.concatenate([[0], np.where(kind != 0, lows[codes], 0), [0]]).astype(np.uint32)
+    kind = np.concatenate([[0], kind, [0]])
+    there = np.concatenate([[True], (marks[1:] != 0) | (marks[:-1] != 0)])
+    marks, sign = marks[there], kind[there] == _SIGN
+    if not sign.any():
+        return _mixed(marks[:-2], marks[1:-1], marks[2:])
+    around = np.where(sign, np.uint32(_ANY_SIGN), marks)
+    alone = sign[1:-1]
+    return _mixed(np.where(alone, 0, around[:-2]), marks[1:-1], np.where(alone, 0, around[2:]))
 
 
 class Model:
@@ -77,7 +100,7 @@ class Model:
         """Log-likelihood per trigram under each language, and their number."""
         found = trigrams(text)
         if self.dense is None:
-            places = np.full(1 << 3 * _BITS, len(self.ids), np.int32)
+            places = np.full(1 << _BITS, len(self.ids), np.int32)
             places[self.ids] = np.arange(len(self.ids), dtype=np.int32)
             self.dense = places, np.vstack([self.values, self.rest.astype(np.float32)])
         places, values = self.dense
@@ -122,7 +145,7 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", labe
         counts[np.searchsorted(ids, part["id"].to_numpy(np.int64)), k] = part["n"]
     # Mixed with an even spread, so that an unseen trigram costs the same in
     # each language, however many rows its sample has.
-    even = UNSEEN / (1 << 3 * _BITS)
+    even = UNSEEN / (1 << _BITS)
     values = np.log((1.0 - UNSEEN) * counts / counts.sum(axis=0) + even)
     return Model(languages, ids, values.astype(np.float32), np.full(len(languages), math.log(even)))
 
@@ -157,7 +180,7 @@ def identify(rows: DataFrame, model: Model, key: list[str], text: str = "text",
         F.lower(c if c is not None else none).alias(name)
         for c, name in ((declared, "declared"), (suffix, "suffix"), (host, "host"), (domain, "domain"))])
     ll = with_scores(read, model, "body", "ll").drop("body")
-    even = F.lit(-3 * _BITS * math.log(2.0))
+    even = F.lit(-_BITS * math.log(2.0))
     count = F.element_at("ll", n)
     text_ll = F.when(count == 0, F.array(*[F.lit(-60.0)] * (n - 1), F.lit(0.0))).otherwise(F.transform(
         F.concat(F.slice("ll", 1, n - 1), F.array(even)), lambda x: x * F.least(count, F.lit(effective))))

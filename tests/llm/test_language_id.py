@@ -140,3 +140,43 @@ def test_unseen_trigrams_cost_the_same_in_samples_of_any_size(spark):
     model = language_id.fit(documents(spark, rows))
     de, en, _ = model.score("qxzj wvkq zzxq")
     assert de == pytest.approx(en)
+
+
+OTHER = {"ru": "что это как так его только было если когда время можно после".split(),
+         "uk": "що це як так його тільки було якщо коли час можна після їх є".split(),
+         "ar": "في من على هذا الذي كان إلى التي عن مع كل بعد".split(),
+         "fa": "در از این است که را با برای آن یک می چه گفت".split(),
+         "hi": "है और में की यह नहीं के लिए कर पर हैं था".split(),
+         "mr": "आहे आणि मध्ये ची हे नाही च्या साठी करून वर आहेत होता".split(),
+         "ja": ["日本語", "の", "に", "これは", "です", "東京", "ました", "という", "人"],
+         "zh": ["中文", "的", "这是", "我们", "北京", "没有", "他们", "说", "人"],
+         "vi": "của và là không được một người những với để trong tiếng".split()}
+
+
+def test_languages_that_share_other_scripts(spark):
+    rng = random.Random(9)
+
+    def text(lang, n):
+        return ("" if lang in ("ja", "zh") else " ").join(rng.choice(OTHER[lang]) for _ in range(n))
+
+    model = language_id.fit(documents(spark, [(i, text(lang, 40), lang, "s", 1) for i, lang in enumerate(list(OTHER) * 20)]))
+    new = {i: lang for i, lang in enumerate(list(OTHER) * 10)}
+    got = language_id.identify(documents(spark, [(i, text(lang, 15), None, "s", 1) for i, lang in new.items()]), model, ["doc_id"])
+    assert {r.doc_id: r.text_lang for r in got.collect()} == new
+
+
+def test_other_scripts_are_unknown_where_one_is_labelled(spark):
+    rng = random.Random(10)
+    model = language_id.fit(documents(spark, [(i, " ".join(rng.choices(OTHER["ru"], k=40)), "ru", "s", 1) for i in range(30)]))
+    rows = [(i, " ".join(rng.choices(OTHER[lang], k=30)), "ru", "s", 1) for i, lang in enumerate(["ar", "hi", "ja", "zh", "vi"])]
+    got = language_id.identify(documents(spark, rows), model, ["doc_id"]).collect()
+    assert {r.text_lang for r in got} == {"und"}
+
+
+def test_trigrams_of_letters():
+    def same(a, b):
+        return language_id.trigrams(a).tolist() == language_id.trigrams(b).tolist()
+
+    assert same("ÉCOLE", "e\u0301cole") and same("ΑΒΓ", "αβγ") and same("a--b", "a b")
+    assert not same("ạ", "ả") and not same("қ", "ҡ") and not same("ɓa", "ɗa") and not same("कि", "की")
+    assert [len(language_id.trigrams(t)) for t in ("", "12 34 \u0301", "ab", "人人", "☀\ufe0f")] == [0, 0, 2, 2, 0]
