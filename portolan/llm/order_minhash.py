@@ -7,6 +7,8 @@ many permutations, at a hundredth of the work); in each bin the two smallest
 are taken, put back into text order and hashed as a tuple. Since a tuple
 keeps the order, moved passages change it as insertions and deletions do: the
 share of equal tuples follows the edit distance, not just the set of words.
+In a short text most bins have fewer than two k-mers, and a tuple of one has
+no order: ``fill`` takes what is missing from the next bins round the ring.
 """
 
 from __future__ import annotations
@@ -16,15 +18,18 @@ from pyspark.sql import functions as F
 
 BINS = 64
 _BIN_BITS = 6
+_MOST = 2 * BINS  # k-mers that are kept of a text
 _HASH_BITS = 36  # of which the highest are the bin
 _POS_BITS = 27  # positions count modulo this many bits
 # Steps for the search of a run's start; they add up to more than any array's length.
 _STEPS = [1 << i for i in reversed(range(31))]
 
 
-def add_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
+def add_fingerprint(df: DataFrame, text: str, out: str, fill: bool = False) -> DataFrame:
     """Add ``out``, an ascending array of longs, one for each bin that has
-    k-mers: bin number and 32 bits of its tuple's hash.
+    k-mers: bin number and 32 bits of its tuple's hash. With ``fill`` every
+    bin has one, of the first two k-mers by hash from the bin's start on,
+    round the ring: an ordered pair wherever the text has two k-mers.
 
     Words are runs of other than white space; case counts. A null or empty
     text, and one of white space only, has the empty fingerprint. Equal texts
@@ -53,6 +58,11 @@ def add_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     def in_bin(x: Column) -> Column:
         return F.shiftright(x, _HASH_BITS + _POS_BITS - _BIN_BITS)
 
+    def in_order(x: Column, y: Column) -> Column:
+        pos = F.lit((1 << _POS_BITS) - 1)
+        a, b = F.shiftright(x, _POS_BITS), F.shiftright(y, _POS_BITS)
+        return F.when(x.bitwiseAND(pos) <= y.bitwiseAND(pos), F.xxhash64(a, b)).otherwise(F.xxhash64(b, a))
+
     w, s, t, m = (f"{out}_{c}" for c in "wstm")
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda x: x != "")
     step = df.withColumn(w, words)
@@ -62,12 +72,27 @@ def add_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     # The two smallest of each bin: no row or one row before it in the bin.
     step = step.withColumn(m, F.filter(t, lambda x, i: (i < 2) | (in_bin(F.get(F.col(t), i - 2)) != in_bin(x))))
 
+    if fill:
+        many = F.size(m)
+        halves = F.lit([1 << i for i in reversed(range(_MOST.bit_length() - 1))])
+
+        def start(b: Column) -> Column:
+            """How many k-mers lie in the bins before."""
+            return F.aggregate(halves, F.lit(0), lambda d, half: F.when(
+                in_bin(F.get(F.col(m), d + half - 1)) < b, d + half).otherwise(d))
+
+        def pair_of(d: Column, b: Column) -> Column:
+            x, y = F.get(F.col(m), d % many), F.get(F.col(m), (d + 1) % many)
+            joined = F.when(many == 1, F.xxhash64(F.shiftright(x, _POS_BITS))).otherwise(in_order(x, y))
+            return F.shiftleft(b.cast("long"), 32).bitwiseOR(joined.bitwiseAND(F.lit(0xFFFFFFFF)))
+
+        bins = F.filter(F.lit(list(range(BINS))), lambda b: many > 0)
+        return step.withColumn(out, F.transform(F.transform(bins, start), pair_of)).drop(w, s, t, m)
+
     def tuple_of(x: Column, i: Column) -> Column:
         after = F.get(F.col(m), i + 1)
-        pos = F.lit((1 << _POS_BITS) - 1)
-        a, b = F.shiftright(x, _POS_BITS), F.shiftright(after, _POS_BITS)
-        joined = (F.when(after.isNull() | (in_bin(after) != in_bin(x)), F.xxhash64(a))
-                  .when(x.bitwiseAND(pos) <= after.bitwiseAND(pos), F.xxhash64(a, b)).otherwise(F.xxhash64(b, a)))
+        alone = after.isNull() | (in_bin(after) != in_bin(x))
+        joined = F.when(alone, F.xxhash64(F.shiftright(x, _POS_BITS))).otherwise(in_order(x, after))
         first = (i == 0) | (in_bin(F.get(F.col(m), i - 1)) != in_bin(x))
         return F.when(first, F.shiftleft(in_bin(x), 32).bitwiseOR(joined.bitwiseAND(F.lit(0xFFFFFFFF))))
 

@@ -36,10 +36,10 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id"), text_or_empty().alias("text"))
     rows = neighbours.with_next(
         docs.withColumn("tie", F.xxhash64("text")), "doc_id", "tie", {"text": "next_text", "fp": "next_fp"},
-        prepare=lambda df: order_minhash.add_fingerprint(df, "text", "fp"))
+        prepare=lambda df: order_minhash.add_fingerprint(df, "text", "fp", fill=True))
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.expr(
         "concat(substring(text, 1, int(n_chars - n_chars DIV 2)), substring(next_text, 1, int(n_chars DIV 2)))"))
-    rows = order_minhash.add_fingerprint(rows, "edited", "edited_fp")
+    rows = order_minhash.add_fingerprint(rows, "edited", "edited_fp", fill=True)
     return rows.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         order_minhash.as_text("fp").alias("fingerprint"),

@@ -94,3 +94,33 @@ def test_null_and_repeated_ids(spark, tmp_path):
     rows = awkward_rows()
     documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     assert QUERIES["op2_order_minhash"](spark, str(tmp_path)).count() == len(rows)
+
+
+@pytest.mark.parametrize("n", [10, 20, 40, 100])
+def test_moved_halves_of_short_texts(spark, n):
+    rng = random.Random(n)
+    texts = [words(rng, n, 5000).split() for _ in range(40)]
+    df = spark.createDataFrame([(" ".join(w), " ".join(w[n // 2:] + w[:n // 2])) for w in texts], "a string, b string")
+    df = order_minhash.add_fingerprint(order_minhash.add_fingerprint(df, "a", "fa", fill=True), "b", "fb", fill=True)
+    got = df.select(order_minhash.likeness("fa", "fb").alias("x"), F.size("fa").alias("n")).collect()
+    assert {r.n for r in got} == {order_minhash.BINS}
+    # Independent permutations: both k-mers of a pair are common, and from the same half.
+    want = (n - 2) / (n + 2) * (n - 3) / (n + 1) * (n // 2 - 2) / (n - 3)
+    assert abs(sum(r.x for r in got) / len(got) - want) < 0.1
+
+
+def test_filled_bins(spark):
+    rng = random.Random(5)
+    texts = ["", None, "a", "b a", "a a a a a", words(rng, 30), words(rng, 100), words(rng, 3000)]
+    want = plain(spark, texts)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.fp for r in order_minhash.add_fingerprint(df, "t", "fp", fill=True).collect()}
+    assert [[x >> 32 for x in got[i]] for i in range(len(texts))] == [list(range(64)) if t else [] for t in texts]
+    # Full bins as without filling; a lone k-mer is the tuple of every bin, and one pair where a text has no other.
+    assert got[7] == want[texts[7]]
+    assert {x & 0xFFFFFFFF for x in got[2]} == {x & 0xFFFFFFFF for x in want["a"]}
+    assert len({x & 0xFFFFFFFF for x in got[3]}) == 1
+    # A bin that is empty without filling has the tuple of the next one round the ring.
+    used = {x >> 32 for x in want[texts[5]]}
+    tuples = [x & 0xFFFFFFFF for x in got[5]]
+    assert len(used) < 64 and all(tuples[b] == tuples[(b + 1) % 64] for b in range(64) if b not in used)
