@@ -83,3 +83,40 @@ def test_query(spark, tmp_path, extra):
 
 def test_empty_table(spark):
     assert secret_scan.scan(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("text,value", [
+    *[(f'password = {p}"h7!Gk2Lq9Zt4"', "h7!Gk2Lq9Zt4") for p in ("b", "f", "r", "u", "@", "rb", "$")],
+    ('password = """h7!Gk2Lq9Zt4"""', "h7!Gk2Lq9Zt4"),
+    ("secret = b\'\'\'\n  h7!Gk2Lq9Zt4\n\'\'\'\nx = 1", "h7!Gk2Lq9Zt4"),
+    ('password =\n    "h7!Gk2Lq9Zt4"', "h7!Gk2Lq9Zt4"),
+    ('password = \\\n    "h7!Gk2Lq9Zt4"', "h7!Gk2Lq9Zt4"),
+    ('password = (\r\n    "h7!Gk2Lq9Zt4")', "h7!Gk2Lq9Zt4"),
+    ("password: |\n  h7!Gk2Lq9Zt4\n", "h7!Gk2Lq9Zt4"),
+    ('db_password = os.getenv("PW", "h7!Gk2Lq9Zt4")', "h7!Gk2Lq9Zt4"),
+    ('db_password = decode(\n  strip("h7!Gk2Lq9Zt4"),\n)', "h7!Gk2Lq9Zt4"),
+    ('password = SecretString("h7!Gk2Lq9Zt4")', "h7!Gk2Lq9Zt4"),
+    ('x = get("PW", "h7!Gk2Lq9Zt4")\nclient.password = x', "h7!Gk2Lq9Zt4"),
+    *[(f"{name}=h7!Gk2Lq9Zt4", "h7!Gk2Lq9Zt4") for name in ("PGPASSWORD", "dbpassword", "authtoken", "clientsecret", "dbpwd")],
+    ('passphrase: "correct horse battery staple"', "correct horse battery staple"),
+    ('config = """\ndb:\n  passphrase: Tr0ub4dor&3xyz9\n"""', "Tr0ub4dor&3xyz9"),
+    ('secrets:\n  "password": "h7!Gk2Lq9Zt4"', "h7!Gk2Lq9Zt4"),
+])
+def test_more_lexed_literals(text, value):
+    assert value in [v for v, _ in found(text)]
+
+
+@pytest.mark.parametrize("text", [
+    'db_pwd = os.getenv("DATABASE_PWD")', 'pwd = getpass("Type the password: ")', 'tokenizer = "bert-base-uncased1"',
+    'bypass = "Zx81kQ2vB7pLm4wT"', 'title = "correct horse battery staple"', 'colour =\n  "Zx81kQ2vB7pLm4wT"'])
+def test_more_that_is_no_secret(text):
+    assert found(text) == []
+
+
+def test_time_grows_in_proportion():
+    import time
+
+    for part in ("a=b(", 'a = """', "a='", "a=b(c='x', ", "a:\n'x' ", "token=b\n"):
+        start = time.monotonic()
+        secret_scan.find(part * 20_000)
+        assert time.monotonic() - start < 5, part
