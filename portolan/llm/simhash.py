@@ -61,29 +61,34 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long). Null text counts as
-    empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text: str = "text",
+                 hashed: bool = False) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long), and ``text_hash`` if
+    ``hashed``. Null text counts as empty."""
+    more = [F.xxhash64(text_or_empty(text)).alias("text_hash")] if hashed else []
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(x, shingle) for x in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]],
+                                             names=["doc_id", "fp", "text_hash"][:batch.num_columns])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text")).mapInArrow(
-        work, "doc_id long, fp long")
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"), *more).mapInArrow(
+        work, "doc_id long, fp long" + ", text_hash long" * hashed)
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_column: str = "doc_id",
-                text: str = "text", group: int = GROUP) -> DataFrame:
+                text: str = "text", group: int = GROUP, hashed: bool = False) -> DataFrame:
     """``doc_id, fp, component_id``, a row for each row of ``docs``: the
-    smallest id that is reachable over links of at most ``distance`` bits.
+    smallest id that is reachable over links of at most ``distance`` bits;
+    ``text_hash`` too if ``hashed``.
 
     Texts without words share the fingerprint zero and link like any other.
     Repeated rows come back repeated. A null id doesn't count for the
     smallest, so a component of null ids only has a null one. An empty table
     gives no rows. Other columns are not read.
     """
-    marked = cut(fingerprints(docs, shingle, id_column, text))
+    marked = cut(fingerprints(docs, shingle, id_column, text, hashed))
     each = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
     found = roots(links(each.select("fp"), distance, group))
     tree = each.join(found, each["fp"] == found["node"], "left").select(
@@ -92,17 +97,22 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     grouped = tree.where("root IS NOT NULL OR n > 1").join(tops, "top", "left").select(
         "fp", F.coalesce("component_id", "least").alias("component_id"), F.lit(True).alias("grouped"))
     return marked.join(grouped, "fp", "left").select(
-        "doc_id", "fp", F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", "fp", F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *["text_hash"] * hashed)
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_column: str = "doc_id",
              text: str = "text") -> DataFrame:
     """One document of each component, that with the smallest id, with its
-    columns; all rows with that id, and all with none where a component has
-    none."""
-    gone = fresh(docs, "gone_id")
-    going = near_groups(docs, shingle, distance, id_column, text).where("doc_id <> component_id")
-    return docs.join(going.select(F.col("doc_id").alias(gone)).distinct(), F.col(id_column) == F.col(gone), "left_anti")
+    columns; all of its rows with that id, and all with none where a component
+    has no id. Rows are told apart by id and text, so an id that stands for
+    two texts stays or goes with each one's component."""
+    names = [fresh(docs, c) for c in ("gone_id", "gone_hash", "own_hash")]
+    going = near_groups(docs, shingle, distance, id_column, text, hashed=True).where(
+        ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = going.select(F.col("doc_id").alias(names[0]), F.col("text_hash").alias(names[1])).distinct()
+    same = F.col(id_column).eqNullSafe(F.col(names[0])) & (F.col(names[2]) == F.col(names[1]))
+    return docs.withColumn(names[2], F.xxhash64(text_or_empty(text))).join(gone, same, "left_anti").drop(names[2])
 
 
 def links(fps: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> DataFrame:

@@ -120,3 +120,13 @@ def test_keep_one(spark):
 
 def test_empty_table(spark):
     assert simhash.near_groups(documents(spark, [])).collect() == []
+
+
+def test_keep_one_tells_texts_of_an_id_apart(spark):
+    rng = random.Random(21)
+    a, b, c, d = (words(rng, 80) for _ in range(4))
+    rows = [(1, a, "en", "s", 1), (5, a, "en", "s", 1), (5, b, "en", "s", 1), (7, b, "en", "s", 1),
+            (None, a, "en", "s", 1), (None, c, "en", "s", 1), (8, d, "en", "s", 1), (None, d, "en", "s", 1)]
+    kept = simhash.keep_one(documents(spark, rows, extra=True))
+    assert kept.columns == documents(spark, rows, extra=True).columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (5, b), (None, c), (8, d)], key=str)
