@@ -1,0 +1,120 @@
+import random
+import re
+from itertools import permutations
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from portolan.llm import filter_audit
+from portolan.llm.registry import ORACLE
+
+from .helpers import awkward_rows, documents
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def fails(rows):
+    """Per row, the letters of the rules that it fails."""
+    first = {}
+    for doc, text, *_ in rows:
+        if doc is not None:
+            first[text or ""] = min(doc, first.get(text or "", doc))
+    out = []
+    for doc, text, *_ in rows:
+        body = text or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", body)
+        bad = set()
+        if len(w) < 50:
+            bad.add("A")
+        if 100 * len(set(w)) < 65 * len(w):
+            bad.add("B")
+        if 100 * len(re.findall("[A-Z]", body)) > 5 * len(body):
+            bad.add("C")
+        if re.search("[#$%&*|]", body):
+            bad.add("D")
+        if body in first and doc != first[body]:
+            bad.add("E")
+        out.append(bad)
+    return out
+
+
+def plain(rows, labels):
+    """One document, order and step at a time."""
+    good = {d for d, q, t in labels if q == 1}
+    toxic = {d for d, q, t in labels if t == 1}
+    bad, out = fails(rows), []
+    for part in {r[3] or "" for r in rows}:
+        here = [(r[0], b) for r, b in zip(rows, bad) if (r[3] or "") == part]
+        shapley = dict.fromkeys("ABCDE", 0)
+        lines = []
+        for order in map("".join, permutations("ABCDE")):
+            left, gone = here, []
+            for step, x in enumerate(order, 1):
+                removed = [h for h in left if x in h[1]]
+                left = [h for h in left if x not in h[1]]
+                shapley[x] += len(removed)
+                lines.append([part, order, step, len(left), len(removed), sum(x in b for _, b in gone),
+                              sum(b == {x} for _, b in here), sum(d in good for d, _ in removed if d is not None),
+                              sum(d in toxic for d, _ in removed if d is not None), x])
+                gone = gone + removed
+        out += [(*line[:-1], shapley[line[-1]]) for line in lines]
+    return sorted(out)
+
+
+def table(seed=1):
+    rng = random.Random(seed)
+    rows = awkward_rows(seed)
+    bits = ["SHOUT OUT", "cash $ now", "tell me", "# head", "ok ok ok ok"]
+    for i in range(120):
+        text = " ".join(f"w{rng.randrange(60)}" for _ in range(rng.choice([10, 49, 50, 51, 90])))
+        rows.append((300 + i, text + "".join(" " + rng.choice(bits) for _ in range(rng.randrange(4))), "en", f"src{i % 4}", 1))
+    rows += [(500 + i, rows[60 + i][1], "en", "src9", 1) for i in range(10)]
+    labels = [(r[0], rng.randrange(2), rng.randrange(2)) for r in rows[::2] if r[0] is not None]
+    return rows, labels + [(None, 1, 1), (301, None, None), (301, 1, 0), (99_999, 1, 1)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_plain_version_and_sql(spark, seed):
+    rows, labels = table(seed)
+    docs, marks = documents(spark, rows, extra=True), spark.createDataFrame(labels, LABELS)
+    got = sorted(map(tuple, filter_audit.audit_rules(docs, marks).collect()))
+    assert got == plain(rows, labels)
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "source").toPandas().astype({"doc_id": "Int64"}))
+    con.register("labels", marks.toPandas().astype("Int64"))
+    assert sorted(con.sql(ORACLE["op13_filter_audit"]).fetchall()) == got
+
+
+def test_min_plus_steps():
+    positions, steps = filter_audit.removal_steps(3)
+    for order, places, at in zip(permutations(range(3)), positions, steps.T):
+        assert [order[p - 1] for p in places] == [0, 1, 2]
+        for mask in range(8):
+            assert at[mask] == min([order.index(f) + 1 for f in range(3) if mask >> f & 1], default=4)
+
+
+def test_counts_add_up():
+    counts = np.random.default_rng(1).integers(0, 50, (32, 3))
+    got = filter_audit.interactions(counts, 5)
+    lost = counts[1:, 0].sum()
+    assert (got["removed"].sum(axis=1) == lost).all() and (got["kept"][:, -1] == counts[0, 0]).all()
+    assert got["shapley"].sum() == 120 * lost
+    assert (got["lost"].sum(axis=1) == counts[1:, 1:].sum(axis=0)).all()
+
+
+def test_own_filters_null_flags_and_parts(spark):
+    rows = spark.createDataFrame([(None, [True, None], 2), ("p", [False, True], 1), ("p", None, 3), ("p", [True, True], None)],
+                                 "part string, fails array<boolean>, n long")
+    got = {(r.part, r.filter_order, r.step): r for r in filter_audit.audit(rows, "fails", "part", ["n", F.lit(1)], ["lost"], "XY").collect()}
+    assert len(got) == 8
+    assert tuple(got["p", "XY", 2])[3:] == (3, 1, 0, 1, 1, 2)
+    assert tuple(got[None, "YX", 1])[3:] == (2, 0, 0, 0, 0, 0)
+    with pytest.raises(ValueError, match="too many"):
+        filter_audit.audit(rows, "fails", "part", ["n"], [], "ABCDEFGH")
+
+
+def test_empty_table(spark):
+    assert filter_audit.audit_rules(documents(spark, []), spark.createDataFrame([], LABELS)).collect() == []
+    assert filter_audit.audit_rules(documents(spark, awkward_rows()), spark.createDataFrame([], LABELS)).count() == 4 * 600
