@@ -1,7 +1,7 @@
 """Benchmark decontamination by a prefix-filtered join, in SQL functions only.
 
 A benchmark item is cut into windows of ten words (a shorter item is one
-window), a window into its shingles of five. A document can hold a window
+window), a window into its shingles of three. A document can hold a window
 only if it holds each of the window's shingles, so one shingle of each will
 do for the join: the rarest in the documents, which are counted first. Where
 a document holds it, its place in the window gives the place of the whole
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from portolan.llm.common import cut, text_or_empty
 from portolan.operators.joins import maybe_broadcast
 
-WINDOW, SHINGLE = 10, 5
+WINDOW, SHINGLE = 10, 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LEAST_BITS, _MOST_BITS = 10, 22  # of a bitmap: 128 bytes to 512 KB
@@ -85,18 +85,23 @@ def _occurrences(docs: DataFrame, hashes: DataFrame, sizes: list[int], around: i
         slot = h.bitwiseAND(F.lit((1 << bits) - 1))
         return F.getbit(F.get(bitmap, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
+    # The hashes are a column of their own, used more than once, so that they
+    # aren't worked out anew in the lambdas that look at them.
+    def hashes_of(k: int) -> Column:
+        return F.transform("words", lambda _, i: _hash(F.col("words"), i, k)).alias(f"h{k}")
+
+    hashed = docs.select("id", "text_hash", "words", F.size("words").alias("n"), *map(hashes_of, sizes))
+
     def of_size(k: int) -> Column:
-        w = F.col("words")
-        each = F.transform(w, lambda _, i: F.struct(i.alias("pos"), F.lit(k).alias("size"), _hash(w, i, k).alias("h")))
-        return F.filter(each, lambda s: (s["pos"] + k <= F.size(w)) & set_in(s["h"]))
-
-    kept = docs.select("id", "text_hash", "words", F.size("words").alias("n"),
-                       F.concat(*[of_size(k) for k in sizes]).alias("kept"))
-    if around:
-        begin = lambda s: F.greatest(s["pos"] - (around - 1), F.lit(0))
-        kept = kept.withColumn("kept", F.transform("kept", lambda s: F.struct(
-            s["pos"].alias("pos"), s["size"].alias("size"), s["h"].alias("h"), begin(s).alias("near_from"),
-            F.slice("words", begin(s) + 1, 2 * around - 1).alias("near"))))
+        h = F.col(f"h{k}")
+        places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(h) - k, F.lit(0))),
+                          lambda i: (i + k <= F.size(h)) & set_in(F.get(h, i)))
+        begin = lambda i: F.greatest(i - (around - 1), F.lit(0))
+        near = lambda i: [begin(i).alias("near_from"),
+                          F.slice("words", begin(i) + 1, 2 * around - 1).alias("near")] if around else []
+        return F.transform(places, lambda i: F.struct(i.alias("pos"), F.lit(k).alias("size"), F.get(h, i).alias("h"), *near(i)))
+
+    kept = hashed.select("id", "text_hash", "n", F.concat(*[of_size(k) for k in sizes]).alias("kept"))
     # An inner explode would bring a filter on its array's size, which Catalyst
     # moves down to the scan and there works the whole array out once more,
     # the words anew for each of them.
@@ -124,8 +129,8 @@ def contaminated_words(docs: DataFrame, items: DataFrame, id_column: str = "doc_
     body = text_or_empty(text)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
     # The number of words needs no lower case.
-    every = rows.select("doc_id", "text_hash", F.regexp_count("body", F.lit(
-        r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long").alias("n_words"))
+    every = rows.select("doc_id", "text_hash", F.size(F.array_remove(F.split(
+        "body", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), "")).cast("long").alias("n_words"))
     none = [F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("item_ids")]
     if not sizes:
         return every.select("doc_id", "n_words", *none)

@@ -73,7 +73,7 @@ def test_against_plain_version_and_sql(spark, seed):
     assert sorted(con.sql(ORACLE["op12_decontamination"]).fetchall(), key=str) == digest
 
 
-@pytest.mark.parametrize("shingle, window", [(1, 10), (3, 4), (10, 10), (7, 5)])
+@pytest.mark.parametrize("shingle, window", [(1, 10), (5, 4), (10, 10)])
 def test_any_shingle_gives_the_same(spark, shingle, window):
     rows, items = mixed(4)
     docs, bench = documents(spark, rows), spark.createDataFrame(items, ITEMS)
