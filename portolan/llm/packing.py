@@ -25,7 +25,8 @@ from portolan.llm.tokens import byte_bpe
 
 CAPACITY = 1024
 END_ID = 2  # after each document
-WIDTH = 4  # fillings tried around the largest piece
+WIDTH = 12  # fillings tried around the largest piece at first
+TRIES = 4000  # lengths that are put into fillings at a step at first
 NODES = 1500  # steps of the search; the best packing found so far always holds
 
 Filling = tuple[tuple[int, int], ...]  # (length, how often), longest first
@@ -114,11 +115,13 @@ def complete_bins(counts: dict[int, int], capacity: int, width: int = WIDTH, nod
 
     Best fit decreasing gives the first incumbent. Then, depth first: the
     largest length left is completed by undominated fillings, those with the
-    least waste first, each applied to as many bins as it can fill; now and
-    then, best fit on the rest gives a new incumbent. A branch ends when its
-    waste so far, or that and the least waste of the rest, allow no fewer
-    bins than the incumbent. The search stops at the lower bound or after
-    ``nodes`` steps.
+    least waste first, each applied to as many bins as it can fill, and then
+    to one bin fewer; now and then, best fit on the rest gives a new
+    incumbent. A branch ends when its waste so far, or that and the least
+    waste of the rest, allow no fewer bins than the incumbent. If no branch
+    is left and fillings were left out, the search begins again with twice
+    the width and tries. It stops at the lower bound or after ``nodes``
+    steps.
     """
     counts = {length: n for length, n in counts.items() if n}
     if any(not 1 <= length <= capacity for length in counts):
@@ -132,10 +135,14 @@ def complete_bins(counts: dict[int, int], capacity: int, width: int = WIDTH, nod
     fewest = bins(best)
     goal = -(-(total + least_waste(counts, capacity)) // capacity)
     # What is left, the filling to apply to it, waste with it, patterns so far.
-    stack: list[tuple] = [(counts, None, 0, None)]
+    root = (counts, None, 0, None)
+    stack: list[tuple] = [root]
+    tries, left_out = TRIES, False
     for step in range(nodes):
-        if not stack or fewest <= goal:
+        if fewest <= goal or not (stack or left_out):
             break
+        if not stack:
+            stack, left_out, width, tries = [root], False, 2 * width, 2 * tries
         rest, branch, waste, done = stack.pop()
         if waste > (fewest - 1) * capacity - total:
             continue
@@ -147,18 +154,21 @@ def complete_bins(counts: dict[int, int], capacity: int, width: int = WIDTH, nod
                 if not rest[length]:
                     del rest[length]
             done = (done, branch)
-        if not rest or step % 64 == 63:
+        if not rest or step % 32 == 31:
             if waste + least_waste(rest, capacity) > (fewest - 1) * capacity - total:
                 continue
-            found, chain = best_fit(rest, capacity), done
+            filled, chain = best_fit(rest, capacity), done
             while chain is not None:
                 chain, one = chain
-                found.append(one)
-            if bins(found) < fewest:
-                best, fewest = found, bins(found)
+                filled.append(one)
+            if bins(filled) < fewest:
+                best, fewest = filled, bins(filled)
         if rest:
-            for filling in reversed(fillings(rest, capacity, width)):
-                copies = min(rest[length] // each for length, each in filling)
+            found, whole = _fillings(rest, capacity, width, tries)
+            left_out = left_out or not whole
+            most = [min(rest[length] // each for length, each in filling) for filling in found]
+            branches = [*zip(most, found, strict=True), *((n - 1, f) for n, f in zip(most, found, strict=True) if n > 1)]
+            for copies, filling in reversed(branches):
                 slack = copies * (capacity - sum(length * each for length, each in filling))
                 stack.append((rest, (copies, filling), waste + slack, done))
     return best
@@ -217,16 +227,21 @@ def least_waste(counts: dict[int, int], capacity: int) -> int:
     return waste
 
 
-def fillings(counts: dict[int, int], capacity: int, width: int, steps: int = 400) -> list[Filling]:
+def fillings(counts: dict[int, int], capacity: int, width: int, steps: int = TRIES) -> list[Filling]:
     """Up to ``width`` undominated ways to fill a bin around the largest
     length, least waste first. A filling is dominated if a length left over
     fits into its room, or could take the place of a smaller one or of two
     smaller ones in it. Fillings with the longest lengths are tried first,
-    ``steps`` of them at most."""
+    ``steps`` lengths of them at most."""
+    return _fillings(counts, capacity, width, steps)[0]
+
+
+def _fillings(counts: dict[int, int], capacity: int, width: int, steps: int) -> tuple[list[Filling], bool]:
+    """``fillings``, and whether these are all there are."""
     ascending = sorted(counts)
     top = ascending[-1]
     found: dict[Filling, int] = {}
-    tries = steps
+    tries, cut_short = steps, False
 
     def spare(length: int, inside: dict[int, int]) -> bool:
         return counts[length] > inside.get(length, 0)
@@ -249,7 +264,7 @@ def fillings(counts: dict[int, int], capacity: int, width: int, steps: int = 400
 
     def fill(below: int, room: int, inside: dict[int, int]) -> None:
         """Fill the room with lengths among the first ``below``."""
-        nonlocal tries
+        nonlocal tries, cut_short
         below = min(below, bisect_left(ascending, room + 1))
         if below == 0 or room == 0:
             key = tuple(sorted(inside.items(), reverse=True))
@@ -258,6 +273,7 @@ def fillings(counts: dict[int, int], capacity: int, width: int, steps: int = 400
             return
         for at in range(below - 1, -1, -1):
             if tries <= 0 or sum(not r for r in found.values()) >= width:
+                cut_short = True
                 return
             tries -= 1
             length = ascending[at]
@@ -275,4 +291,4 @@ def fillings(counts: dict[int, int], capacity: int, width: int, steps: int = 400
                 inside[length] = inside.get(length, 0) + each
                 room -= each * length
         found[tuple(sorted(inside.items(), reverse=True))] = room
-    return sorted(found, key=lambda f: found[f])[:width]
+    return sorted(found, key=lambda f: found[f])[:width], not cut_short and len(found) <= width

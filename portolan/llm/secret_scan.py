@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -182,7 +184,7 @@ def _bare(term: str, start: int, end: int) -> tuple[str, int, int]:
 def lexed_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
     """Literals that sensitive names reach, directly or through constants."""
     literals: dict[tuple[int, int], str] = {}
-    reach: dict[tuple[int, int], set[str]] = defaultdict(set)
+    reach: dict[tuple[int, int], str] = {}  # literal -> the strongest name that reaches it
     holds: dict[str | int, set[tuple[int, int]]] = defaultdict(set)  # name or call -> its literals
     uses: dict[str | int, set[str | int]] = defaultdict(set)  # name or call -> names and calls it was assigned
     direct = set()  # literals that are assigned, not just in a call
@@ -200,7 +202,7 @@ def lexed_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
                 uses[name].add(ref[1])
             literals[start, end] = term
             holds[name].add((start, end))
-    sensitive = [name for name in holds if name_score(name)]
+    scores = {name: name_score(name) for name in holds}
     for where, (found, inside) in calls.items():
         uses[where].update(inside)
         holds[where] = set()
@@ -209,22 +211,26 @@ def lexed_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
             if not (name_score(term) and _WORDS_ONLY.match(term)):  # a name that is looked up
                 literals[start, end] = term
                 holds[where].add((start, end))
-    for name in sensitive:
-        seen, todo = {name}, [name]
+    # The strongest names go first, and what one has reached isn't walked
+    # again: each name and call is visited once.
+    seen: set[str | int] = set()
+    for name in sorted((name for name, score in scores.items() if score), key=lambda name: (-scores[name], name)):
+        todo = [name] if name not in seen else []
+        seen.add(name)
         while todo:
-            for span in holds.get(now := todo.pop(), ()):
-                reach[span].add(name)
-            todo.extend(new for new in uses.get(now, ()) if new not in seen and new in holds)
-            seen.update(todo)
+            for span in holds[now := todo.pop()]:
+                reach.setdefault(span, name)
+            new = [to for to in uses.get(now, ()) if to not in seen and to in holds]
+            todo.extend(new)
+            seen.update(new)
     out = []
-    for (start, end), names in reach.items():
+    for (start, end), name in reach.items():
         value = literals[start, end]
         if value in holds:  # a name that was resolved instead
             continue
-        named = max(map(name_score, names))
-        score = named + literal_score(value, spaces=named >= 3 and (start, end) in direct)
+        score = scores[name] + literal_score(value, spaces=scores[name] >= 3 and (start, end) in direct)
         if score >= threshold:
-            out.append(Span("literal", start, end, tuple(sorted(names)), score))
+            out.append(Span("literal", start, end, (name,), score))
     return out
 
 
@@ -234,9 +240,12 @@ def find(text: str, threshold: float = THRESHOLD) -> list[Span]:
     base += [Span("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
     base += [Span("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
     taken = sorted((s.start, s.end) for s in base)
+    starts = [a for a, _ in taken]
+    ends = list(accumulate((b for _, b in taken), max))  # the furthest end so far
     added = []
     for span in lexed_spans(text, threshold):
-        if not any(a < span.end and span.start < b for a, b in taken):
+        before = bisect_left(starts, span.end)
+        if not before or ends[before - 1] <= span.start:
             added.append(span)
     return sorted(base + added, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
@@ -247,7 +256,8 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, spans`` for every row: spans is an array of ``kind, start,
-    end, names, score``, by start and then kind.
+    end, names, score``, by start and then kind; names holds the strongest
+    target name that reaches a literal.
 
     Whole texts are read in tasks; no row moves. Null text counts as empty
     and has no spans; null ids and repeated rows come back as they are; an

@@ -26,8 +26,9 @@ class _Settled(dict):
 
 
 class TextEncoder:
-    """``ids(text)``: little-endian 32-bit ids as bytes. Special tokens'
-    strings in a text are ordinary text.
+    """``ids(text)``: little-endian 32-bit ids as bytes, those that the JSON
+    tokenizer gives as loaded, with no special tokens added: where a text
+    holds an added token's string, that token's id.
 
     ``vocabulary`` is the JSON file of the tokenizer. ``ranks`` and
     ``pattern``, if given, are the same vocabulary as byte ranks: a faster
@@ -39,7 +40,8 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.fast, self.settled = None, _Settled()
         if ranks:
             import tiktoken
@@ -50,7 +52,8 @@ class TextEncoder:
 
     def _encode(self, text: str) -> list[int]:
         settled = text.isascii() or not _BEYOND_LATIN.search(text) or all(map(self.settled.__getitem__, set(text)))
-        if self.fast and settled and not (len(text) > 100_000 and _LONG_SPACE.search(text)):
+        plain = settled and not (self.added and self.added.search(text))
+        if self.fast and plain and not (len(text) > 100_000 and _LONG_SPACE.search(text)):
             return self.fast.encode_ordinary(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 

@@ -120,3 +120,75 @@ def test_time_grows_in_proportion():
         start = time.monotonic()
         secret_scan.find(part * 20_000)
         assert time.monotonic() - start < 5, part
+
+
+def test_time_grows_in_proportion_for_chains_and_neighbours():
+    import time
+
+    chain = "".join(f"password{i} = password{i - 1}\n" for i in range(1, 130_000))
+    beside = "".join(f'pwd_{i} = "h7!Gk2Lq9Z {i}"; x = {i:032x}\n' for i in range(60_000))
+    for text in (chain + 'password0 = "h7!Gk2Lq9Zt4"', beside):
+        assert len(text) > 3_500_000
+        start = time.monotonic()
+        spans = secret_scan.find(text)
+        assert time.monotonic() - start < 20
+        assert sum(s.kind == "literal" for s in spans) in (1, 60_000)
+
+
+def plain_literals(text):
+    """The slow way: for each literal every name that reaches it, by walking
+    the assignments from each name anew, and every base span beside it."""
+    calls, literals, holds, uses, direct = {}, {}, {}, {}, set()
+    for name, terms, called in secret_scan._lex(text, calls):
+        holds.setdefault(name, [])
+        if called is not None:
+            uses.setdefault(name, []).append(called)
+        for term, start, end in terms:
+            quoted = secret_scan._OPEN.match(term)
+            ref = None if quoted else secret_scan._IS_NAME.match(term)
+            if quoted:
+                term, start, end = secret_scan._bare(term, start, end)
+            direct.add((start, end))
+            if ref:
+                uses.setdefault(name, []).append(ref[1])
+            literals[start, end] = term
+            holds[name].append((start, end))
+    names = [*holds]
+    for where, (inner, inside) in calls.items():
+        uses.setdefault(where, []).extend(inside)
+        bare = [secret_scan._bare(*t) for t in inner]
+        bare = [(t, a, b) for t, a, b in bare if not (secret_scan.name_score(t) and secret_scan._WORDS_ONLY.match(t))]
+        literals.update({(a, b): t for t, a, b in bare})
+        holds[where] = [(a, b) for _, a, b in bare]
+
+    def reached(at, path):
+        if at not in holds or at in path:
+            return set()
+        return set(holds[at]).union(*(reached(to, path | {at}) for to in uses.get(at, [])))
+
+    best = {}
+    for name in names:
+        for span in reached(name, frozenset()) if secret_scan.name_score(name) else ():
+            best[span] = max(best.get(span, 0), secret_scan.name_score(name))
+    taken = [(s.start, s.end) for s in secret_scan.find(text) if s.kind != "literal"]
+    return sorted((a, b) for (a, b), score in best.items() if literals[a, b] not in holds
+                  and score + secret_scan.literal_score(literals[a, b], spaces=score >= 3 and (a, b) in direct) >= 4
+                  and not any(x < b and a < y for x, y in taken))
+
+
+def test_literals_against_a_slow_version():
+    rng = random.Random(8)
+    names = ["password", "db_pwd", "key", "api.key", "colour", "x", "y", "z", "signing_key", "authpass"]
+    values = ['"h7!Gk2Lq9Zt4"', "'Zx81kQ2vB7pLm4wT'", '"red"', "Tr0ub4dor&3xyz9", '"correct horse battery"', "deadbeef" * 4]
+    seen = 0
+    for _ in range(400):
+        lines = []
+        for _ in range(rng.randrange(1, 9)):
+            value = rng.choice([rng.choice(values), rng.choice(names), f"{rng.choice(names)} + {rng.choice(values)}",
+                                f'f({rng.choice(values)}, g({rng.choice(values)}))', "${" + rng.choice(names) + "}"])
+            lines.append(f"{rng.choice(names)}{rng.choice([' = ', ': ', '='])}{value}{rng.choice(['', ';', ' '])}")
+        text = "\n".join(lines)
+        got = sorted((s.start, s.end) for s in secret_scan.find(text) if s.kind == "literal")
+        assert got == plain_literals(text), text
+        seen += len(got)
+    assert seen > 100
