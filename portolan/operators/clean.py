@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,19 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def row_digest(cols: list[str]) -> list[Column]:
+    """256 bits of the columns' values as four longs, ``_digest0`` and so on.
+
+    Nulls are marked beside the values; floats are equal where a distinct
+    takes them as equal (0.0 and -0.0, NaN and NaN). Rows with equal digests
+    are the same row for any number of rows that can be stored.
+    """
+    named = [F.col(f"`{c}`") for c in cols]
+    marks = [reduce(Column.bitwiseOR, [F.when(c.isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+                                       for i, c in enumerate(named[at:at + 62])]) for at in range(0, len(named), 62)]
+    return [F.xxhash64(F.lit(seed), *named, *marks).alias(f"_digest{seed}") for seed in range(4)]
+
+
 def clean_cities(raw: DataFrame) -> DataFrame:
     """City rows with both a city name and a state code; Race/Count dropped."""
     return (raw.filter(F.col("`State Code`").isNotNull() & F.col("City").isNotNull())
@@ -56,11 +71,16 @@ def clean_temperatures(raw: DataFrame, country: str = "United States") -> DataFr
 def select_kept_arrivals(raw: DataFrame, carry: tuple[str, ...] = (), distinct: bool = True) -> DataFrame:
     """Full-row distinct over all raw columns, then the kept columns only.
 
-    The distinct must come first: two rows equal on the kept columns but
-    different elsewhere (e.g. ``admnum``) are both kept. ``distinct=False``
-    leaves copies in, for what ignores them (distinct dates, a highest age).
+    Two rows equal on the kept columns but different elsewhere (e.g.
+    ``admnum``) are both kept, so a digest of the whole row goes through the
+    distinct beside the kept columns; the others aren't shuffled.
+    ``distinct=False`` leaves copies in, for what ignores them (distinct
+    dates, a highest age).
     """
-    return (dedup_rows(raw) if distinct else raw).select(*ARRIVALS_KEPT, *carry)
+    if not distinct:
+        return raw.select(*ARRIVALS_KEPT, *carry)
+    named = raw.select(*ARRIVALS_KEPT, *carry, *row_digest(raw.columns))
+    return dedup_rows(named).select(*ARRIVALS_KEPT, *carry)
 
 
 def _beyond_int(c: str) -> Column:
@@ -79,6 +99,18 @@ def rejected_arrivals(raw: DataFrame) -> DataFrame:
             .groupBy("cause").agg(F.count(F.lit(1)).alias("rows")))
 
 
+def _int_codes(kept: DataFrame) -> DataFrame:
+    for c in ARRIVALS_INT_CODES:
+        kept = kept.filter(F.col(c).isNull() | ~_beyond_int(c))
+    return kept
+
+
+def accepted_arrivals(raw: DataFrame) -> DataFrame:
+    """Raw rows, copies included, that cleaning keeps: complete in the kept
+    columns and with codes that an int can hold."""
+    return _int_codes(drop_incomplete(raw, ARRIVALS_KEPT))
+
+
 def type_arrivals(kept: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rename and cast the kept arrival columns to the fact-table types.
 
@@ -86,8 +118,7 @@ def type_arrivals(kept: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     hold are refused (``rejected_arrivals`` counts them), so no key turns
     null on the way; the conditions are plain comparisons and reach the scan.
     """
-    for c in ARRIVALS_INT_CODES:
-        kept = kept.filter(F.col(c).isNull() | ~_beyond_int(c))
+    kept = _int_codes(kept)
     as_int = lambda c: F.col(c).try_cast("int")
     return kept.select(
         as_int("cicid").alias("immigration_id"),
@@ -106,7 +137,7 @@ def type_arrivals(kept: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
 
 def clean_arrivals(raw: DataFrame, carry: tuple[str, ...] = (), ports: DataFrame | None = None,
-                   distinct: bool = True) -> DataFrame:
+                   distinct: bool = True, without_port: bool = False) -> DataFrame:
     """Distinct, projected, complete and typed arrivals.
 
     The completeness filter only touches kept columns, so Catalyst moves it
@@ -115,8 +146,10 @@ def clean_arrivals(raw: DataFrame, carry: tuple[str, ...] = (), ports: DataFrame
     no port are left out below the distinct: whether a row has one depends
     on two of its own columns, so the result joined to ports is the same,
     and the one wide shuffle carries only rows that reach the fact.
+    ``without_port`` takes the other rows instead, those without one.
     """
     if ports is not None:
-        raw = semi_join(raw, ports, (F.col("i94addr") == F.col("iso_region")) & (F.col("i94port") == F.col("iata_code")))
+        match = (F.col("i94addr") == F.col("iso_region")) & (F.col("i94port") == F.col("iata_code"))
+        raw = raw.join(ports, match, "left_anti") if without_port else semi_join(raw, ports, match)
     kept = select_kept_arrivals(raw, carry, distinct)
     return type_arrivals(drop_incomplete(kept, ARRIVALS_KEPT), carry)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions.dates import month_key
-from portolan.operators.clean import clean_arrivals, drop_incomplete
+from portolan.operators.clean import accepted_arrivals, clean_arrivals, drop_incomplete, row_digest
 from portolan.operators.joins import BROADCAST_MAX_ROWS, maybe_broadcast
 
 FACT_COLUMNS = ["immigration_id", "origin", "landing_port", "arrival_date", "departure_date",
@@ -68,6 +68,33 @@ def match_rate_by_month(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
     )
 
 
+def match_rate_of_raw(raw: DataFrame, ports: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``match_rate_by_month`` straight from raw arrivals, in one pass: each
+    accepted row gets its number of ports and goes through the distinct as
+    month, that number and its digest."""
+    many = maybe_broadcast(ports.groupBy("iso_region", "iata_code").agg(F.count(F.lit(1)).alias("m")), max_rows)
+    match = (F.col("i94addr") == F.col("iso_region")) & (F.col("i94port") == F.col("iata_code"))
+    rows = accepted_arrivals(raw).join(many, match, "left").select(
+        month_key("arrdate").alias("month"), F.coalesce("m", F.lit(0)).alias("m"), *row_digest(raw.columns)).distinct()
+    return rows.groupBy("month").agg(F.count(F.lit(1)).alias("rows_in"), F.sum("m").alias("rows_matched"))
+
+
+def match_loss(raw: DataFrame, ports: DataFrame, written: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Per arrival month: fact rows, and cleaned arrivals that have no port.
+
+    For a load that has written its fact (``written``, with
+    ``arrival_date``): what matched is counted there, and only the rows
+    without a port, which the load left out below its distinct, are made
+    distinct here. So each raw row goes through one of the two distincts.
+    """
+    side = port_side(ports, max_rows).select("iso_region", "iata_code")
+    lost = clean_arrivals(raw, ports=side, without_port=True)
+    month = month_key("arrival_date").alias("month")
+    parts = written.select(month, F.lit(1).alias("matched"), F.lit(0).alias("lost")).unionByName(
+        lost.select(month, F.lit(0).alias("matched"), F.lit(1).alias("lost")))
+    return parts.groupBy("month").agg(F.sum("matched").alias("rows_matched"), F.sum("lost").alias("rows_lost"))
+
+
 def stack_months(*frames: DataFrame) -> DataFrame:
     """Union all of per-month frames, matched by column name.
 

@@ -59,3 +59,10 @@ def weekday_counts(fact: DataFrame, dim_time: DataFrame,
     return (j.groupBy(F.col("weekday").alias("arrival_day"))
             .agg(F.sum("n").alias("count"))
             .orderBy("arrival_day"))
+
+
+def city_populations(fact: DataFrame, cities: DataFrame) -> DataFrame:
+    """Arrivals per city beside its records' populations. On tables dealt by
+    city, counting and joining both happen within a bucket."""
+    counts = fact.groupBy("city").agg(F.count(F.lit(1)).alias("arrivals"))
+    return counts.join(cities, "city").select("city", "state", "total_pop", "arrivals")

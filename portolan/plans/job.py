@@ -10,10 +10,10 @@ only those folders are listed and read, all in one job. A path with
 ``{month}`` in it names one file or folder per month instead (the month
 list is then required). Cities are a
 ``;``-separated header CSV, ports and temperatures comma-separated; all
-are read with fixed schemas (no inference pass). The star is written beside
-the tables under ``--out``, checked as a whole, and then published there and
-as external tables of ``--database``; a load that fails a required check
-changes nothing. The session comes from the cluster (``spark-submit``
+are read with fixed schemas (no inference pass). The star is written into a
+folder of its own under ``--out``, checked as a whole, and then published
+there, all tables at once (``sources.published``), and as external tables of
+``--database``; a load that fails a required check changes nothing. The session comes from the cluster (``spark-submit``
 settings); nothing here picks a master or a local folder. Unless
 ``--no-autoscale`` is given, shuffle partitions, split and skew sizes are
 set from the bytes under the source paths (``session.apply_scale``);
@@ -24,25 +24,15 @@ from __future__ import annotations
 
 import argparse
 import sys
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from portolan.operators import clean, dims, fact, quality
+from portolan.functions.dates import month_key
+from portolan.operators import dims, fact, quality
 from portolan.plans.star import Sources, load_star_observed
-from portolan.schemas import (
-    ARRIVALS_RAW,
-    CITIES_RAW,
-    DIM_TIME,
-    FACT_IMMIGRATIONS,
-    PORTS_RAW,
-    STAR_TABLES,
-    TEMPERATURES_RAW,
-)
-from portolan.session import remove_path
-from portolan.sources import files, warehouse
+from portolan.schemas import ARRIVALS_RAW, CITIES_RAW, DIM_TIME, PORTS_RAW, TEMPERATURES_RAW
+from portolan.sources import files, published, warehouse
 
 
 def read_sources(spark: SparkSession, arrivals: str, cities: str, ports: str, temperatures: str,
@@ -78,60 +68,57 @@ REQUIRED = ("row_count", "null_key")
 
 
 def run(spark: SparkSession, src: Sources, out: str, database: str | None = None,
-        raise_on_failure: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Load the star: write it beside ``out``'s tables, check the tables as
-    they will be, and only then publish them under ``out`` (and as external
-    tables of ``database`` when given).
-
-    A month that this run loads replaces the month stored before; other
-    months stay, and count in the checks and in the time dimension. The
-    report has, per table, the rows this run wrote, row count, null keys and
-    repeated keys of the whole table, and the cleaned arrivals of this run
-    that have no port, by month. If a required check fails, the tables under
-    ``out`` stay as they were, what was written stays under
-    ``out/_staging`` to be looked at, and the run raises (or returns the
-    staged tables).
+        raise_on_failure: bool = True, months: list[str] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Load the star into a folder of its own below ``out``, check the tables
+    as they will be, and only then publish them, all at once, as the star at
+    ``out`` (``published.read``) and as external tables of ``database`` when
+    given.
+
+    The months that this run loads replace those stored before, also where
+    none of their rows reach the fact: they are the calendar months of the
+    raw arrivals, and those in ``months`` (as ``yyyy-mm``) whether they have
+    rows or not. Other months stay, and count in the checks and in the time
+    dimension. The report has, per table, the rows this run wrote, row count,
+    null keys and repeated keys of the whole table, and the cleaned arrivals
+    of this run that have no port, by month. If a required check fails, the
+    published star stays as it was, what was written stays in its folder
+    under ``out/versions`` to be looked at, and the run raises (or returns
+    the tables of that folder).
     """
-    stage = f"{out}/_staging/{uuid.uuid4().hex[:12]}"
-    tables, metrics = load_star_observed(spark, src, stage)
-    fact_path = f"{out}/fact_immigrations"
-    new = spark.read.parquet(f"{stage}/fact_immigrations") if metrics["fact_immigrations"]["row_count"] else None
-    if files.exists(spark, fact_path):
-        stored = spark.read.schema(T.StructType([*FACT_IMMIGRATIONS.fields, T.StructField("month", T.StringType())])
-                                   ).parquet(fact_path)
-        if new is not None:
-            stored = stored.join(new.select("month").distinct(), "month", "left_anti")
-        tables["fact_immigrations"] = tables["fact_immigrations"].unionByName(stored.select(*FACT_IMMIGRATIONS.fieldNames()))
-        files.write_table(dims.dim_time(tables["fact_immigrations"]), f"{stage}/dim_time")
-        tables["dim_time"] = spark.read.schema(DIM_TIME).parquet(f"{stage}/dim_time")
-    report = _report(spark, src, tables, metrics)
+    out = out.rstrip("/")
+    folder = published.new_folder(out)
+    tables, metrics = load_star_observed(spark, src, folder)
+    written = tables["fact_immigrations"]
+    # One row for each calendar month, from one column of the raw arrivals.
+    seen = src.arrivals.select(month_key("arrdate").alias("month")).distinct().collect()
+    loaded = {r["month"] for r in seen} | set(months or [])
+    fact_months = published.months_after(spark, out, folder, loaded)
+    if len(fact_months) > len(published.months_in(spark, f"{folder}/fact_immigrations")):
+        tables["fact_immigrations"] = published.read_fact_months(spark, fact_months)
+        files.write_table(dims.dim_time(tables["fact_immigrations"]), f"{folder}/dim_time")
+        tables["dim_time"] = spark.read.schema(DIM_TIME).parquet(f"{folder}/dim_time")
+    report = _report(spark, src, tables, metrics, written)
     failed = report.filter(F.col("check_name").isin(*REQUIRED) & ~F.col("passed"))
     if not failed.isEmpty():
         if raise_on_failure:
             quality.raise_on_failure(failed)
         return tables, report
-    for name in tables:
-        if name == "fact_immigrations":
-            files.publish(spark, f"{stage}/{name}", f"{out}/{name}", "month")
-        else:
-            files.publish(spark, f"{stage}/{name}", f"{out}/{name}")
-    remove_path(spark, stage)
+    published.publish(spark, out, folder, fact_months)
     if database:
-        warehouse.register_tables(spark, out, database)
-    published = {name: spark.read.schema(schema).parquet(f"{out}/{name}").select(*schema.fieldNames())
-                 for name, (schema, _) in STAR_TABLES.items()}
-    return published, report
+        warehouse.register_published(spark, out, database)
+    return published.read(spark, out), report
 
 
-def _report(spark: SparkSession, src: Sources, tables: dict[str, DataFrame], metrics: dict[str, dict]) -> DataFrame:
+def _report(spark: SparkSession, src: Sources, tables: dict[str, DataFrame], metrics: dict[str, dict],
+            written: DataFrame) -> DataFrame:
     """The checks of a load, worked out now: a few rows per table, and one
     for each calendar month."""
-    written = [(name, "rows_written", None, int(m["row_count"]), True) for name, m in metrics.items()]
+    rows = [(name, "rows_written", None, int(m["row_count"]), True) for name, m in metrics.items()]
     checks = [tuple(r) for r in quality.quality_report(tables).collect()]
-    loss = fact.match_rate_by_month(clean.clean_arrivals(src.arrivals), tables["dim_ports"])
-    lost = [("fact_immigrations", f"without_port {r['month']}", None, r["rows_in"] - r["rows_matched"], r["rows_matched"] > 0)
+    loss = fact.match_loss(src.arrivals, tables["dim_ports"], written)
+    lost = [("fact_immigrations", f"without_port {r['month']}", None, r["rows_lost"], r["rows_matched"] > 0)
             for r in loss.orderBy("month").collect()]
-    return spark.createDataFrame(written + checks + lost, quality.REPORT_SCHEMA)
+    return spark.createDataFrame(rows + checks + lost, quality.REPORT_SCHEMA)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -157,7 +144,7 @@ def main(argv: list[str] | None = None) -> int:
         arrivals = [p for p in arrivals if files.exists(spark, p)]
         apply_scale(spark, path_bytes(spark, [*arrivals, a.cities, a.ports, a.temperatures]))
     src = read_sources(spark, a.arrivals, a.cities, a.ports, a.temperatures, a.months, a.arrivals_format)
-    _, report = run(spark, src, a.out, a.database, raise_on_failure=False)
+    _, report = run(spark, src, a.out, a.database, raise_on_failure=False, months=a.months)
     rows = report.collect()  # one small row per table and check
     for r in rows:
         said = ("PASS" if r.passed else "FAIL") if r.check_name in REQUIRED else "info"

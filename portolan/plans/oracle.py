@@ -295,6 +295,16 @@ FROM (SELECT {_MONTH.format(c='arrival_date')} AS month, count(*) AS rows_in
       FROM arrivals_clean GROUP BY 1) i
 LEFT JOIN (SELECT {_MONTH.format(c='arrival_date')} AS month, count(*) AS rows_matched
            FROM fact GROUP BY 1) m ON i.month = m.month"""),
+    "match_loss_after_load": q(f"""
+SELECT month, CAST(sum(matched) AS BIGINT) AS rows_matched, CAST(sum(lost) AS BIGINT) AS rows_lost
+FROM (SELECT {_MONTH.format(c='arrival_date')} AS month, 1 AS matched, 0 AS lost FROM fact
+      UNION ALL
+      SELECT {_MONTH.format(c='arrival_date')}, 0, 1 FROM arrivals_clean a
+      WHERE NOT EXISTS (SELECT 1 FROM dim_ports p WHERE a.state = p.iso_region AND a.landing_port = p.iata_code)) x
+GROUP BY month"""),
+    "city_population_counts": q("""
+SELECT c.city, c.state, c.total_pop, f.arrivals
+FROM dim_cities c JOIN (SELECT city, count(*) AS arrivals FROM fact GROUP BY city) f ON c.city = f.city"""),
     "union_months_distinct": q("""
 SELECT count(*) AS n_rows FROM (SELECT DISTINCT * FROM fact) d
 WHERE immigration_id IS NOT NULL AND origin IS NOT NULL AND landing_port IS NOT NULL

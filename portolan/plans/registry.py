@@ -38,6 +38,8 @@ from portolan.streaming import read_fact, start_monthly_load
 
 # The database of the warehouse check, made anew by each call.
 CHECK_DATABASE = "portolan_warehouse_check"
+BUCKET_DATABASE = "portolan_bucket_check"  # and of the tables dealt by city
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -279,9 +281,17 @@ def q_dq_report(spark, sf_dir):
 
 def q_match_rate_by_month(spark, sf_dir):
     s = sources(spark, sf_dir)
-    c = clean_sources(s)
-    ports = dims.dim_ports(c["ports"], c["cities"])
-    return fact.match_rate_by_month(c["arrivals"], ports)
+    ports = dims.dim_ports(clean.clean_ports(s.ports), clean.clean_cities(s.cities))
+    return fact.match_rate_of_raw(s.arrivals, ports)
+
+
+def q_match_loss_after_load(spark, sf_dir):
+    """The star loaded; fact rows per month counted in the written fact, and
+    the arrivals that the load left out because they have no port."""
+    base = _scratch(spark, "match_loss", sf_dir)
+    src = sources(spark, sf_dir)
+    tables = load_star(spark, src, base)
+    return fact.match_loss(src.arrivals, tables["dim_ports"], tables["fact_immigrations"])
 
 
 # -- sources and sinks ---------------------------------------------------------------
@@ -427,6 +437,18 @@ def q_warehouse_checks(spark, sf_dir):
     return warehouse_sql.warehouse_checks(spark, warehouse.read_tables(spark, CHECK_DATABASE))
 
 
+def q_city_population_counts(spark, sf_dir):
+    """Fact and cities as warehouse tables dealt by city, joined and
+    counted per city. The database is made anew by each call."""
+    base = _scratch(spark, "warehouse_buckets", sf_dir)
+    spark.sql(f"DROP DATABASE IF EXISTS {BUCKET_DATABASE} CASCADE")
+    warehouse.create_tables(spark, BUCKET_DATABASE, base, buckets=BUCKETS)
+    frames = star(spark, sf_dir)
+    warehouse.load_tables({name: frames[name] for name in ("fact_immigrations", "dim_cities")}, BUCKET_DATABASE, BUCKETS)
+    tables = warehouse.read_tables(spark, BUCKET_DATABASE)
+    return analytics.city_populations(tables["fact_immigrations"], tables["dim_cities"])
+
+
 def q_month_files(spark, sf_dir):
     """Raw arrivals staged as one file per month, read back by a path template
     naming every month; rows per month."""
@@ -524,6 +546,8 @@ QUERIES: dict[str, Query] = {
     "dq_unique_keys": q_dq_unique_keys,
     "dq_report": q_dq_report,
     "match_rate_by_month": q_match_rate_by_month,
+    "match_loss_after_load": q_match_loss_after_load,
+    "city_population_counts": q_city_population_counts,
     "union_months_distinct": q_union_months_distinct,
     "ports_csv": q_ports_csv,
     "cities_csv": q_cities_csv,

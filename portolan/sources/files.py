@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -174,43 +174,33 @@ def read_month_files(spark: SparkSession, template: str, months: list[str],
                      column: str = "month", **options) -> DataFrame:
     """Read one file (or folder) per month whose path has the month in its
     name, e.g. ``.../i94_{month}16_sub.parquet`` with months
-    ``["jan", "feb", "mar"]``. Each month's scan gets its month as a
-    column; the scans are unioned into one plan, so all months are read in
-    one job and only the named files are listed."""
+    ``["jan", "feb", "mar"]``. All months are one scan, their month a column
+    taken from the file's path; only the named files are listed, and a month
+    without one has no rows."""
     if not months:
         raise ValueError("name at least one month for a templated path")
-    def one(path: str) -> DataFrame:
-        if fmt == "csv":
-            return read_csv(spark, path, schema, **options)
+    paths = [p for p in (template.format(month=m) for m in months) if exists(spark, p)]
+    if not paths:
+        if schema is None:
+            raise ValueError(f"{template} has none of the months named")
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(column, T.StringType())]))
+    if fmt == "csv":
+        raw = read_csv(spark, paths, schema, **options)
+    else:
         reader = spark.read.format(fmt).options(**options)
-        return (reader.schema(schema) if schema is not None else reader).load(path)
-
-    frames = [one(template.format(month=m)).withColumn(column, F.lit(m)) for m in months]
-    return reduce(DataFrame.unionByName, frames)
-
-
-def publish(spark: SparkSession, staged: str, target: str, partition_by: str | None = None) -> None:
-    """Move a written table to where it is read from, by renames of the file
-    system: the whole folder, or with ``partition_by`` each partition folder
-    in place of the one of that name, others staying. No row is copied."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = path(target).getFileSystem(conf)
-
-    def move(a: str, b: str) -> None:
-        fs.delete(path(b), True)
-        if not fs.rename(path(a), path(b)):
-            raise OSError(f"{a} could not be moved to {b}")
-
-    if partition_by is None:
-        fs.mkdirs(path(target).getParent())
-        move(staged, target)
-        return
-    fs.mkdirs(path(target))
-    for status in fs.listStatus(path(staged)):
-        name = status.getPath().getName()
-        if name.startswith(f"{partition_by}="):
-            move(f"{staged}/{name}", f"{target}/{name}")
+        raw = (reader.schema(schema) if schema is not None else reader).load(paths)
+    # The scan is one; a file's path says its month.
+    return raw.withColumn(column, F.regexp_extract(F.col("_metadata.file_path"), _month_pattern(spark, template), 1))
+
+
+def _month_pattern(spark: SparkSession, template: str) -> str:
+    """A pattern that takes the month out of a file's path; the file system
+    in front of the path may be spelled in any way."""
+    mark = "portolan0month"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(template.format(month=mark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before, after = path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri().getRawPath().split(mark, 1)
+    return f"^(?:[^:/]+:(?://[^/]*)?)?{re.escape(before)}([^/]*?){re.escape(after).replace(mark, chr(92) + '1')}(?:/.*)?$"
 
 
 def stage_monthly(df: DataFrame, base: str, month_col: F.Column, column: str = "month") -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 from portolan.functions.dates import month_key
 from portolan.plans import job
 from portolan.plans.registry import sources, star
-from portolan.sources import files
+from portolan.sources import files, published, warehouse
 
 
 SCALED = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes",
@@ -39,7 +39,7 @@ def test_cli_writes_a_checked_star(spark, staged, tmp_path, capsys):
     assert job.main(_args(staged, out, "--no-autoscale")) == 0
     printed = capsys.readouterr().out
     assert printed.count("PASS") == 10 and "FAIL" not in printed
-    fact = spark.read.parquet(f"{out}/fact_immigrations").drop("month")
+    fact = published.read(spark, out)["fact_immigrations"]
     expected = star(spark, SF_SMALL)["fact_immigrations"]
     assert sorted(fact.collect()) == sorted(expected.collect())
 
@@ -94,8 +94,8 @@ def test_failing_load_changes_nothing_and_a_new_month_joins_the_old(spark, stage
     empty.ports = empty.ports.limit(0)
     with pytest.raises(AssertionError, match="dim_ports.row_count"):
         job.run(spark, empty, out)
-    now = spark.read.parquet(f"{out}/fact_immigrations").select(*first["fact_immigrations"].columns)
-    assert sorted(now.collect()) == stored and spark.read.parquet(f"{out}/dim_ports").count() > 0
+    now = published.read(spark, out)
+    assert sorted(now["fact_immigrations"].collect()) == stored and now["dim_ports"].count() > 0
     both, report = job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *paths, ["1996-07"]), out, "portolan_job_t")
     rep = {(r.table_name, r.check_name): r.observed for r in report.collect()}
     n = both["fact_immigrations"].count()
@@ -160,3 +160,109 @@ def test_templated_csv_month_files(spark, staged):
     parquet = job.read_sources(spark, f"{staged}/arrivals", *paths, months).arrivals
     assert csv.count() > 0
     assert csv.exceptAll(parquet).count() == 0 and parquet.exceptAll(csv).count() == 0
+
+
+def _paths(base):
+    return f"{base}/cities", f"{base}/ports", f"{base}/temperatures"
+
+
+def test_a_crash_while_publishing_leaves_the_old_star_whole(spark, staged, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    first, _ = job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *_paths(staged), ["1995-03"]), out)
+    stored = {name: sorted(df.collect(), key=str) for name, df in first.items()}
+
+    def crash(*_):
+        raise OSError("the driver is gone")
+
+    for step in ("_write_once", "publish"):
+        with monkeypatch.context() as m:
+            m.setattr(published, step, crash)
+            with pytest.raises(OSError, match="is gone"):
+                job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *_paths(staged), ["1996-07"]), out)
+        assert {name: sorted(df.collect(), key=str) for name, df in published.read(spark, out).items()} == stored
+    both, _ = job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *_paths(staged), ["1996-07"]), out)
+    assert both["fact_immigrations"].count() > len(stored["fact_immigrations"])
+
+
+def test_readers_of_the_last_version_are_not_disturbed_and_older_ones_go(spark, staged, tmp_path):
+    out = str(tmp_path / "out")
+    read = []
+    for month in ("1995-03", "1996-07", "1995-03", "1995-03"):
+        job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *_paths(staged), [month]), out)
+        read.append(published.read(spark, out))
+        for star_then in read[-published.KEEP:]:  # frames of the version before still run
+            assert all(df.count() > 0 for df in star_then.values())
+    assert len(published.names_in(spark, f"{out}/_published")) == published.KEEP
+    named = {p.split("/")[1] for p in (m for f in [published.current(spark, out)] for m in f["months"].values())}
+    assert named <= set(published.names_in(spark, f"{out}/versions")) and len(published.names_in(spark, f"{out}/versions")) == 3
+
+
+def test_a_version_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "_published" / "000000000001.json")
+    published._write_once(spark, path, "{}")
+    with pytest.raises(FileExistsError):
+        published._write_once(spark, path, "{}")
+    assert open(path).read() == "{}"
+    with pytest.raises(FileNotFoundError):
+        published.read(spark, str(tmp_path / "nothing"))
+
+
+def test_a_reloaded_month_without_matches_is_replaced_by_nothing(spark, staged, tmp_path):
+    out, db = str(tmp_path / "out"), "portolan_job_gone"
+    months = ["1995-03", "1996-07"]
+    src = job.read_sources(spark, f"{staged}/arrivals", *_paths(staged), months)
+    first, _ = job.run(spark, src, out, db)
+    by_month = lambda t: {r[0]: r[1] for r in t["fact_immigrations"].groupBy(month_key("arrival_date")).count().collect()}
+    before = by_month(first)
+    assert set(before) == set(months)
+    # The month's arrivals come again, all at ports that nobody knows.
+    lost = job.read_sources(spark, f"{staged}/arrivals", *_paths(staged), ["1996-07"])
+    lost.arrivals = lost.arrivals.withColumn("i94port", month_key("arrdate"))
+    second, report = job.run(spark, lost, out, db)
+    assert by_month(second) == {"1995-03": before["1995-03"]}
+    assert spark.table(f"{db}.fact_immigrations").where("month = '1996-07'").count() == 0
+    assert spark.table(f"{db}.fact_immigrations").count() == before["1995-03"]
+    days = {r[0] for r in second["dim_time"].select("sas_timestamp").collect()}
+    held = second["fact_immigrations"]
+    assert days == {r[0] for c in ("arrival_date", "departure_date") for r in held.select(c).collect()}
+    said = {r.check_name: (r.observed, r.passed) for r in report.collect() if r.check_name.startswith("without_port")}
+    assert said.keys() == {"without_port 1996-07"} and said["without_port 1996-07"][0] > 0 and not said["without_port 1996-07"][1]
+    # It comes back, and then its folder is empty: only the list of months says that it was loaded.
+    third, _ = job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *_paths(staged), ["1996-07"]), out, db)
+    assert by_month(third) == before and spark.table(f"{db}.fact_immigrations").count() == sum(before.values())
+    gone = job.read_sources(spark, f"{staged}/arrivals", *_paths(staged), ["1996-07"])
+    gone.arrivals = gone.arrivals.limit(0)
+    fourth, _ = job.run(spark, gone, out, db, raise_on_failure=False, months=["1996-07"])
+    assert by_month(fourth) == {"1995-03": before["1995-03"]}
+
+
+def test_a_table_of_another_folder_is_not_kept(spark, staged, tmp_path):
+    db = "portolan_job_moved"
+    for month in ("1995-03", "1996-07"):
+        out = str(tmp_path / month)
+        tables, _ = job.run(spark, job.read_sources(spark, f"{staged}/arrivals", *_paths(staged), [month]), out, db)
+        assert spark.table(f"{db}.fact_immigrations").count() == tables["fact_immigrations"].count()
+        read = warehouse.read_tables(spark, db)
+        assert sorted(read["dim_time"].collect()) == sorted(tables["dim_time"].collect())
+
+
+def test_templated_months_are_one_scan(spark, staged):
+    months = ["1995-03", "1900-01", "1996-07"]
+    for folder, fmt in (("arrivals", "parquet"), ("arrivals_csv", "csv")):
+        df = files.read_month_files(spark, f"{staged}/{folder}/month={{month}}", months, job.ARRIVALS_RAW, fmt=fmt)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Union" not in plan
+        got = {r["month"]: r["count"] for r in df.groupBy("month").count().collect()}
+        assert got.keys() == {"1995-03", "1996-07"}  # the month without a file has no rows
+        assert all(df.where(f"month = '{m}'").count() == n == spark.read.parquet(f"{staged}/arrivals/month={m}").count()
+                   for m, n in got.items())
+    assert files.read_month_files(spark, f"{staged}/nothing/{{month}}", ["x"], job.ARRIVALS_RAW).count() == 0
+    with pytest.raises(ValueError, match="none of the months"):
+        files.read_month_files(spark, f"{staged}/nothing/{{month}}", ["x"])
+
+
+def test_month_is_taken_from_odd_paths(spark, tmp_path):
+    for month in ("jan", "feb"):
+        spark.range(3).coalesce(1).write.parquet(f"{tmp_path}/in dir.{month}+/i94 {month}16_sub.parquet")
+    df = files.read_month_files(spark, f"{tmp_path}/in dir.{{month}}+/i94 {{month}}16_sub.parquet", ["jan", "feb"])
+    assert {r["month"]: r["count"] for r in df.groupBy("month").count().collect()} == {"jan": 3, "feb": 3}
