@@ -187,3 +187,40 @@ def test_unknown_columns_do_not_pass(spark):
     extra = ports(spark, [{}]).withColumn("surprise", F.lit(1))
     assert "surprise" not in clean.clean_ports(extra).columns
     assert "surprise" not in clean.clean_cities(cities(spark, [{}]).withColumn("surprise", F.lit(1))).columns
+
+
+def test_distinct_by_digest_is_the_full_row_distinct(spark):
+    nan = float("nan")
+    rows = [{}, {}, {"admnum": 2.0}, {"admnum": None}, {"admnum": None}, {"admnum": 0.0}, {"admnum": -0.0}, {"admnum": nan},
+            {"admnum": nan}, {"airline": None}, {"airline": ""}, {"airline": "X", "fltno": "Y"}, {"airline": "XY", "fltno": ""},
+            {"airline": None, "fltno": "XY"}, {"airline": "XY", "fltno": None}, {"cicid": None}, {"gender": None}]
+    raw = arrivals(spark, rows)
+    kept = clean.select_kept_arrivals(raw)
+    want = raw.dropDuplicates().select(*kept.columns)
+    assert kept.count() == want.count() == 13
+    assert sorted(map(str, kept.collect())) == sorted(map(str, want.collect()))
+
+
+def test_distinct_shuffles_only_kept_columns_and_the_digest(spark):
+    import re
+
+    plan = clean.clean_arrivals(arrivals(spark, [{}]))._jdf.queryExecution().optimizedPlan().toString()
+    grouped = re.search(r"Aggregate \[([^\]]*)\]", plan)[1]
+    assert "_digest3" in grouped and "i94port" in grouped
+    assert not any(c in grouped for c in ("admnum", "fltno", "airline", "occup"))
+
+
+def test_match_rates_of_raw_and_after_a_load_agree(spark):
+    from conftest import cities, ports
+
+    rows = [{"cicid": float(i), "arrdate": 20454.0 + 20 * (i % 4), "depdate": 20700.0, "i94port": ["ORL", "MIA", "XXX"][i % 3]}
+            for i in range(24)]
+    rows += rows[:9] + [{"cicid": 1e12}, {"gender": None}]
+    raw = arrivals(spark, rows)
+    p = dims.dim_ports(clean.clean_ports(ports(spark, [{}, {"ident": "KMIA", "iata_code": "MIA"}])), clean.clean_cities(cities(spark, [{}])))
+    rates = sorted(map(tuple, fact.match_rate_of_raw(raw, p).collect()))
+    assert rates == sorted(map(tuple, fact.match_rate_by_month(clean.clean_arrivals(raw), p).collect()))
+    loss = {r.month: (r.rows_matched, r.rows_lost) for r in fact.match_loss(raw, p, fact.fact_from_raw(raw, p)).collect()}
+    assert loss == {m: (matched, n - matched) for m, n, matched in rates} and sum(b for _, b in loss.values()) == 8
+    shuffled = fact.match_rate_of_raw(raw, p, max_rows=0)
+    assert sorted(map(tuple, shuffled.collect())) == rates
