@@ -94,8 +94,8 @@ def _occurrences(docs: DataFrame, hashes: DataFrame, sizes: list[int], around: i
 
     def of_size(k: int) -> Column:
         h = F.col(f"h{k}")
-        places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(h) - k, F.lit(0))),
-                          lambda i: (i + k <= F.size(h)) & set_in(F.get(h, i)))
+        every = F.sequence(F.lit(0), F.greatest(F.size(h) - k, F.lit(0)))
+        places = F.when(F.size(h) >= k, F.filter(every, lambda i: set_in(F.get(h, i)))).otherwise(F.array().cast("array<int>"))
         begin = lambda i: F.greatest(i - (around - 1), F.lit(0))
         near = lambda i: [begin(i).alias("near_from"),
                           F.slice("words", begin(i) + 1, 2 * around - 1).alias("near")] if around else []
