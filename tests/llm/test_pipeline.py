@@ -143,5 +143,5 @@ def test_empty_table_and_all_nulls(spark, tmp_path, rows):
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and "pipeline" not in __spark_entry__.oracle_sql()
-    assert sorted({int(n[2:].split("_")[0]) for n in names if n.startswith("op")}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in names if n.startswith("op")}) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "mixing", "packing"]
