@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from portolan.llm.common import cut, id_bucket, id_cuts, shuffle_partitions
+from portolan.llm.common import cut, fresh, shuffle_partitions, with_ranges
 
 
 def with_next(rows: DataFrame, id_column: str, tie: str, carried: dict[str, str],
@@ -23,22 +23,24 @@ def with_next(rows: DataFrame, id_column: str, tie: str, carried: dict[str, str]
     successor's value is added. ``tie`` is a long that orders rows with equal
     ids; null ids come last. A table of one row follows itself. ``prepare``
     adds columns to the dealt rows before their successors are looked up.
+    Other columns of ``rows`` stay, whatever their names.
     """
-    cuts = id_cuts(rows, id_column, 2 * shuffle_partitions(rows.sparkSession))
-    dealt = rows.withColumn("_range", id_bucket(F.col(id_column), cuts))
+    range_, copy, head, of, head_id, head_tie, to = (fresh(rows, c) for c in (
+        "_range", "_copy", "_head", "_of", "_head_id", "_head_tie", "_to"))
+    dealt = with_ranges(rows, id_column, range_, 2 * shuffle_partitions(rows.sparkSession))
     key = F.struct(F.coalesce(id_column, F.lit(-(1 << 63))).alias("id"), F.col(tie).alias("tie"))
-    # One first row for each range, len(cuts) + 1 at most; its own range comes
-    # before it in descending order, so it is copied to the next used one.
-    heads = cut(dealt.groupBy("_range").agg(F.max(key).alias("_head")))
-    whole = Window.orderBy("_range")
+    # One first row for each range, at most 1,000,000 of 32 bytes; its own range
+    # comes before it in descending order, so it is copied to the next used one.
+    heads = cut(dealt.groupBy(range_).agg(F.max(key).alias(head)))
+    whole = Window.orderBy(range_)
     heads = heads.select(
-        F.col("_range").alias("_of"), F.col("_head.id").alias("_head_id"), F.col("_head.tie").alias("_head_tie"),
-        F.coalesce(F.lead("_range").over(whole), F.min("_range").over(Window.partitionBy())).alias("_to"))
-    same = ((F.col("_range") == F.col("_of")) & (F.col("_head_tie") == F.col(tie))
-            & (F.coalesce(id_column, F.lit(-(1 << 63))) == F.col("_head_id")))
-    copies = (dealt.join(F.broadcast(heads), same).dropDuplicates(["_of"])
-              .select(*rows.columns, F.col("_to").alias("_range"), F.lit(True).alias("_copy")))
-    order = Window.partitionBy("_range").orderBy("_copy", F.col(id_column).desc_nulls_last(), F.col(tie).desc())
-    both = prepare(dealt.withColumn("_copy", F.lit(False)).unionByName(copies))
+        F.col(range_).alias(of), F.col(head)["id"].alias(head_id), F.col(head)["tie"].alias(head_tie),
+        F.coalesce(F.lead(range_).over(whole), F.min(range_).over(Window.partitionBy())).alias(to))
+    same = ((F.col(range_) == F.col(of)) & (F.col(head_tie) == F.col(tie))
+            & (F.coalesce(id_column, F.lit(-(1 << 63))) == F.col(head_id)))
+    copies = (dealt.join(F.broadcast(heads), same).dropDuplicates([of])
+              .select(*rows.columns, F.col(to).alias(range_), F.lit(True).alias(copy)))
+    order = Window.partitionBy(range_).orderBy(copy, F.col(id_column).desc_nulls_last(), F.col(tie).desc())
+    both = prepare(dealt.withColumn(copy, F.lit(False)).unionByName(copies))
     return (both.withColumns({new: F.lead(c).over(order) for c, new in carried.items()})
-            .where("NOT _copy").drop("_range", "_copy"))
+            .where(~F.col(copy)).drop(range_, copy))

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portolan.llm.common import fresh
+
 BINS = 64
 _BIN_BITS = 6
 _MOST = 2 * BINS  # k-mers that are kept of a text
@@ -34,7 +36,7 @@ def add_fingerprint(df: DataFrame, text: str, out: str, fill: bool = False) -> D
     Words are runs of other than white space; case counts. A null or empty
     text, and one of white space only, has the empty fingerprint. Equal texts
     have equal fingerprints. Each array is bounded by its own text, and no
-    row moves.
+    row moves. A column named ``out`` is replaced, the others stay.
     """
     low = (1 << _HASH_BITS) - 1
 
@@ -63,7 +65,7 @@ def add_fingerprint(df: DataFrame, text: str, out: str, fill: bool = False) -> D
         a, b = F.shiftright(x, _POS_BITS), F.shiftright(y, _POS_BITS)
         return F.when(x.bitwiseAND(pos) <= y.bitwiseAND(pos), F.xxhash64(a, b)).otherwise(F.xxhash64(b, a))
 
-    w, s, t, m = (f"{out}_{c}" for c in "wstm")
+    w, s, t, m = (fresh(df, f"{out}_{c}") for c in "wstm")
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda x: x != "")
     step = df.withColumn(w, words)
     step = step.withColumn(s, F.sort_array(F.transform(

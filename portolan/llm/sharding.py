@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from portolan.llm.common import cut, fresh, id_bucket, id_cuts, shuffle_partitions, text_or_empty
+from portolan.llm.common import cut, fresh, shuffle_partitions, text_or_empty, with_ranges
 
 ROW_BYTES = 16
 
@@ -37,15 +37,14 @@ def byte_shards(docs: DataFrame, shards: int, id_column: str = "doc_id", text: s
         F.col(id_column).alias("doc_id"),
         (F.octet_length(body).cast("long") + row_bytes).alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"))
-    cuts = id_cuts(rows, "doc_id", 2 * shuffle_partitions(spark))
-    rows = rows.withColumn("range", id_bucket(F.col("doc_id"), cuts))
+    rows = with_ranges(rows, "doc_id", "range", 2 * shuffle_partitions(spark))
     before = (Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
     running = cut(rows.select(
         "*", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("bytes_before"),
         F.count(F.lit(1)).over(before).alias("rows_before")))
-    # One row for each range, len(cuts) + 1 at most: safe to sum up in one
-    # task and to broadcast.
+    # One row for each range, at most 1,000,000 of four numbers: safe to sum up
+    # in one task and to broadcast.
     totals = running.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     places = totals.select(
@@ -66,21 +65,23 @@ def byte_shards(docs: DataFrame, shards: int, id_column: str = "doc_id", text: s
 def write_shards(docs: DataFrame, shards: int, path: str, id_column: str = "doc_id", text: str = "text") -> None:
     """Write the rows as Parquet folders ``shard=<n>``, each shard's rows in
     slot order in one file. Rows with the same id and text are written as
-    often as they occur."""
+    often as they occur; a null id is none of the others."""
     placed = byte_shards(docs, shards, id_column, text)
-    names = {c: fresh(docs, c) for c in ("doc_id_", "size", "text_crc32", "nth", "slot", "shard")}
-    key = [names["doc_id_"], names["size"], names["text_crc32"], names["nth"]]
+    names = {c: fresh(docs, c) for c in ("doc_id_", "no_id", "size", "text_crc32", "nth", "slot", "shard")}
+    key = [names[c] for c in ("doc_id_", "no_id", "size", "text_crc32", "nth")]
     body = text_or_empty(text)
     # Rows equal in id, size and checksum are told apart by a running number.
     given = docs.withColumns({names["doc_id_"]: F.coalesce(F.col(id_column), F.lit(-1)),
+                              names["no_id"]: F.col(id_column).isNull(),
                               names["size"]: F.octet_length(body).cast("long") + ROW_BYTES,
                               names["text_crc32"]: F.crc32(body.cast("binary"))})
-    given = given.withColumn(key[3], F.row_number().over(Window.partitionBy(*key[:3]).orderBy(F.lit(0))))
-    placed = placed.select(F.coalesce("doc_id", F.lit(-1)).alias(key[0]), F.col("size").alias(key[1]),
-                           F.col("text_crc32").alias(key[2]), F.col("shard").alias(names["shard"]),
+    given = given.withColumn(key[4], F.row_number().over(Window.partitionBy(*key[:4]).orderBy(F.lit(0))))
+    placed = placed.select(F.coalesce("doc_id", F.lit(-1)).alias(key[0]), F.col("doc_id").isNull().alias(key[1]),
+                           F.col("size").alias(key[2]), F.col("text_crc32").alias(key[3]),
+                           F.col("shard").alias(names["shard"]),
                            F.col("slot").alias(names["slot"]))
-    placed = placed.withColumn(key[3], F.row_number().over(
-        Window.partitionBy(*key[:3]).orderBy(names["shard"], names["slot"])))
+    placed = placed.withColumn(key[4], F.row_number().over(
+        Window.partitionBy(*key[:4]).orderBy(names["shard"], names["slot"])))
     (given.join(placed, key).drop(*key)
      .repartitionByRange(shards, names["shard"]).sortWithinPartitions(names["shard"], names["slot"])
      .drop(names["slot"]).write.partitionBy(names["shard"]).parquet(path))

@@ -12,7 +12,10 @@ SCHEMA = T.StructType([
 
 # Extra columns whose names the operators use themselves.
 CLASHES = ("size", "shard", "slot", "row", "range", "fp", "text_sha256", "text_hash", "lines", "gone", "own_hash",
-           "copies", "block", "reading", "gone_id", "rejected_id", "id", "key", "n_lines")
+           "copies", "block", "reading", "gone_id", "rejected_id", "id", "key", "n_lines", "n_removed", "own", "own_from",
+           "own_to", "fp_w", "fp_s", "fp_t", "fp_m", "_range", "_copy", "_head", "_of", "_to", "_head_id", "_head_tie",
+           "range_of", "range_bounds", "go_id", "go_sha256", "stays", "n", "no_id", "nth", "mixed_id", "mixed_copies",
+           "rejected_hash", "gone_hash", "ll", "best", "body", "source_", "count")
 
 
 def words(rng: random.Random, n: int, vocabulary: int = 300) -> str:

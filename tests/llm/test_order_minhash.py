@@ -4,7 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from portolan.llm import order_minhash
+from portolan.llm import common, order_minhash
+from portolan.llm.neighbours import with_next
 from portolan.llm.registry import QUERIES
 
 from .helpers import awkward_rows, documents, words
@@ -124,3 +125,42 @@ def test_filled_bins(spark):
     used = {x >> 32 for x in want[texts[5]]}
     tuples = [x & 0xFFFFFFFF for x in got[5]]
     assert len(used) < 64 and all(tuples[b] == tuples[(b + 1) % 64] for b in range(64) if b not in used)
+
+
+@pytest.mark.parametrize("fill", [True, False])
+def test_columns_named_as_the_working_ones_stay(spark, fill):
+    docs = documents(spark, awkward_rows()).withColumns({f"fp_{c}": F.lit(c) for c in "wstm"})
+    got = order_minhash.add_fingerprint(docs, "text", "fp", fill=fill)
+    assert got.columns == [*docs.columns, "fp"]
+    assert {(r.fp_w, r.fp_s, r.fp_t, r.fp_m) for r in got.collect()} == {("w", "s", "t", "m")}
+
+
+def test_successors_keep_every_column(spark):
+    rows = [r for r in awkward_rows() if r[0] is not None][:-2]
+    docs = documents(spark, rows, extra=True).withColumn("tie_break", F.lit(0).cast("long"))
+    got = with_next(docs, "doc_id", "tie_break", {"text": "after"})
+    assert got.columns == [*docs.columns, "after"]
+    order = sorted((r[0] for r in rows), reverse=True)
+    by = {r[0]: r[1] for r in rows}
+    found = {r.doc_id: r for r in got.collect()}
+    for i, doc in enumerate(order):
+        assert found[doc].after == by[order[(i + 1) % len(order)]] and found[doc]._range == "extra _range"
+
+
+def test_ranges_are_bounded_however_many_are_asked_for(spark, monkeypatch):
+    ids = [(i * 37 % 5000 if i % 9 else None,) for i in range(6000)] + [(7,)] * 500
+    df = spark.createDataFrame(ids, "id long").repartition(5)
+    for coarse, fine, ranges in [(1000, 1000, 50), (1000, 1000, 800_000), (10, 8, 60), (10, 8, 10**9)]:
+        monkeypatch.setattr(common, "COARSE", coarse)
+        monkeypatch.setattr(common, "FINE", fine)
+        got = common.with_ranges(df, "id", "range", ranges).groupBy("range").agg(
+            F.min("id"), F.max("id"), F.count("*"), F.max(F.col("id").isNull())).orderBy("range").collect()
+        assert sum(r[3] for r in got) == len(ids) and len(got) <= min(ranges, coarse * fine)
+        assert all(a[2] < b[1] for a, b in zip(got, got[1:]) if a[2] is not None)  # ascending and disjoint
+        assert [r[0] for r in got if r[4]] == [0]  # nulls
+        if ranges == 50:
+            assert 40 < len(got) <= 50  # the id that repeats fills some
+        if ranges == 800_000:
+            assert len(got) > 2000
+        if coarse == 10:
+            assert 40 <= len(got) <= 81

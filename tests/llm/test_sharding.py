@@ -53,3 +53,19 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(map(str, back.drop("shard").collect())) == sorted(map(str, docs.collect()))
     assert len(list((tmp_path / "out").glob("shard=*/*.parquet"))) == back.select("shard").distinct().count()
+
+
+def test_the_number_of_partitions_does_not_change_the_shards(spark, monkeypatch):
+    docs = documents(spark, awkward_rows())
+    want = sorted(map(str, sharding.byte_shards(docs, 7).collect()))
+    # Ranges as with 400,000 shuffle partitions, without that many tasks.
+    monkeypatch.setattr(sharding, "shuffle_partitions", lambda spark: 400_000)
+    assert sorted(map(str, sharding.byte_shards(docs, 7).collect())) == want
+
+
+def test_null_and_minus_one_are_two_ids(spark, tmp_path):
+    rows = [(None, "same", "en", "null", 1), (-1, "same", "en", "minus", 1), (0, "z", "en", "s", 1)]
+    sharding.write_shards(documents(spark, rows), 3, f"{tmp_path}/out")
+    back = {r.source: r.shard for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    want = {r.doc_id: r.shard for r in sharding.byte_shards(documents(spark, rows), 3).collect()}
+    assert (back["null"], back["minus"], back["s"]) == (want[None], want[-1], want[0]) and back["null"] != back["minus"]
