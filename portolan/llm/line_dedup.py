@@ -54,17 +54,18 @@ def drop_repeated(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     columns to add exist already, the new ones end in an underscore.
     """
     gone = later_lines(docs, id_column, text, size)
-    names = {c: fresh(docs, c) for c in ("text_hash", "lines", "gone", "own", "n_lines", "n_removed")}
-    h, lines, lost, own = (names[c] for c in ("text_hash", "lines", "gone", "own"))
+    names = {c: fresh(docs, c) for c in ("text_hash", "own_hash", "lines", "gone", "own", "own_from", "own_to",
+                                           "n_lines", "n_removed")}
+    h, own_h, lines, lost, own, from_, to = list(names.values())[:7]
     body = text_or_empty(text)
     right = gone.select(F.col("doc_id").alias(own), F.col("text_hash").alias(h), F.col("gone").alias(lost))
-    left = docs.withColumn(h + "_", F.xxhash64(body))
-    same = F.col(id_column).eqNullSafe(F.col(own)) & (F.col(h + "_") == F.col(h))
+    left = docs.withColumn(own_h, F.xxhash64(body))
+    same = F.col(id_column).eqNullSafe(F.col(own)) & (F.col(own_h) == F.col(h))
     both = left.join(right, same, "left").withColumn(lines, F.split(body, "\n", -1))
     p, n = F.col(lost), F.size(F.col(lines))
-    both = (both.withColumn(own + "_from", F.filter(p, lambda x, i: (i == 0) | (F.get(p, i - 1) != x - 1)))
-            .withColumn(own + "_to", F.filter(p, lambda x, i: (i == F.size(p) - 1) | (F.get(p, i + 1) != x + 1))))
-    starts, ends = F.col(own + "_from"), F.col(own + "_to")
+    both = (both.withColumn(from_, F.filter(p, lambda x, i: (i == 0) | (F.get(p, i - 1) != x - 1)))
+            .withColumn(to, F.filter(p, lambda x, i: (i == F.size(p) - 1) | (F.get(p, i + 1) != x + 1))))
+    starts, ends = F.col(from_), F.col(to)
 
     def between(j: Column) -> Column:
         """The lines before the j-th removed stretch and after the one before."""
@@ -76,4 +77,4 @@ def drop_repeated(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         text: F.when(p.isNull(), F.col(text)).otherwise(rebuilt),
         names["n_lines"]: F.when(F.col(text).isNull(), F.lit(0)).otherwise(n),
         names["n_removed"]: F.coalesce(F.size(p), F.lit(0)),
-    }).drop(h, h + "_", lines, lost, own, own + "_from", own + "_to")
+    }).drop(h, own_h, lines, lost, own, from_, to)

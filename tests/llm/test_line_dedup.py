@@ -62,3 +62,9 @@ def test_clashing_columns_repeated_rows_and_empty(spark):
     assert got.columns[:len(docs.columns)] == docs.columns and got.count() == len(rows)
     assert {r.lines for r in got.collect()} == {"extra lines"}
     assert line_dedup.drop_repeated(documents(spark, [])).collect() == []
+
+
+def test_columns_named_as_the_working_ones_stay(spark):
+    docs = documents(spark, lines_rows(2), extra=True)
+    for r in line_dedup.drop_repeated(docs).collect():
+        assert all(r[c] == f"extra {c}" for c in docs.columns[5:])
