@@ -56,3 +56,28 @@ def test_keep_one(spark):
 
 def test_empty_table(spark):
     assert exact_dedup.exact_groups(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["words", "letters", "hex", "ideographs", "lines"])
+def test_cuts_follow_content_without_sentence_ends(spark, kind):
+    rng = random.Random(8)
+    base = {"words": words(rng, 6000, 5000),
+            "letters": "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(40000)),
+            "hex": "".join(rng.choice("0123456789abcdef") for _ in range(40000)),
+            "ideographs": "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(40000)),
+            "lines": "\n".join(words(rng, 4) for _ in range(2000))}[kind]
+    df = spark.createDataFrame([(0, base), (1, "x y" + base), (2, base[:9000] + "inserted" + base[9000:])], "i int, t string")
+    got = {r.i: r.c for r in df.select("i", exact_dedup.chunks(F.col("t")).alias("c")).collect()}
+    assert all("".join(got[r.i]) == r.t for r in df.collect())
+    assert len(got[0]) > 30
+    for i in (1, 2):
+        assert len(set(got[0]) & set(got[i])) > 0.6 * len(got[0])
+
+
+def test_texts_that_stay_do_not_move(spark):
+    base = [(i, f"text {i}. " * 50, "en", "s", 1) for i in range(50)]
+    docs = documents(spark, base + [(100 + i, r[1], *r[2:]) for i, r in enumerate(base[:9])])
+    kept = exact_dedup.keep_one(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted([*range(9, 50), *range(100, 109)])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
