@@ -11,8 +11,9 @@ than storing them.
 
 A shard is a file of records of one length, so a reader finds any slot by
 multiplication, and resumes where it stopped. A record is ``length`` ids as
-little-endian 16-bit numbers (32-bit ones for larger vocabularies) and a
-line feed.
+little-endian 16-bit numbers (32-bit ones for larger vocabularies) and as many
+line feeds as a number has bytes, so a shard maps as an array of ``length + 1``
+aligned numbers a row, of which the last is no id.
 """
 
 from __future__ import annotations
@@ -132,12 +133,12 @@ def write_sequences(docs: DataFrame, path: str, key: int = 1, length: int = LENG
     shards = max(1, -(-total // shard_records))
     rows = docs.select(text_or_empty(text).alias("text")).mapInArrow(work, "slot long, record binary")
     rows = rows.withColumn("shard", F.expr(f"slot DIV {shard_records}"))
-    # A shard is a range of slots known beforehand, so rows go to their shard's
-    # task by its number; sampling for ranges would read the texts once more.
-    # Spark's text writer puts a string's bytes out as they are, and then the line feed.
-    (rows.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+    # A shard is a range of slots known beforehand, so its number is its task's,
+    # one task a shard; sampling for ranges would read the texts once more.
+    # Spark's text writer puts a string's bytes out as they are, and then the separator.
+    (rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
      .select("shard", F.col("record").cast("string").alias("value"))
-     .write.partitionBy("shard").mode("overwrite").text(path))
+     .write.partitionBy("shard").mode("overwrite").text(path, lineSep="\n" * id_bytes))
     return total
 
 
@@ -146,7 +147,7 @@ def read_sequences(spark: SparkSession, path: str, total: int, key: int = 1, len
     """``shard, slot, sequence, byte_offset, record`` of what
     ``write_sequences`` wrote, from a slot on: only shards from its own on
     are opened. ``sequence`` is the number before the permutation."""
-    stride = length * id_bytes + 1
+    stride = (length + 1) * id_bytes
     names = "shard long, slot long, sequence long, byte_offset long, record binary"
     if not total:
         return spark.createDataFrame([], names)
@@ -160,7 +161,7 @@ def read_sequences(spark: SparkSession, path: str, total: int, key: int = 1, len
                 for at in range(0, len(data) // stride, 1024):
                     n = np.arange(at, min(at + 1024, len(data) // stride))
                     slots = shard * shard_records + n
-                    records = [bytes(data[i * stride:(i + 1) * stride - 1]) for i in n.tolist()]
+                    records = [bytes(data[i * stride:(i + 1) * stride - id_bytes]) for i in n.tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(n), shard)), pa.array(slots),
                          pa.array(permute(slots, total, key, back=True)), pa.array(n * stride), pa.array(records, pa.binary())],

@@ -37,7 +37,7 @@ def test_round_trip(spark, tmp_path, id_bytes):
                 want += byte_bpe().tokenizer.encode(r.text or "", add_special_tokens=False).ids + [50256]
         want += [50256] * (-len(want) % 32)
     assert stream == want
-    stride = 32 * id_bytes + 1
+    stride = 33 * id_bytes
     for shard in (tmp_path / "shards").glob("shard=*"):
         (file,) = shard.glob("part-*")  # one file, whole records
         data = file.read_bytes()
@@ -46,7 +46,10 @@ def test_round_trip(spark, tmp_path, id_bytes):
         for r in got.values():
             if r.shard == n:
                 assert r.byte_offset == (r.slot - 50 * n) * stride
-                assert data[r.byte_offset:r.byte_offset + stride - 1] == bytes(r.record)
+                assert data[r.byte_offset:r.byte_offset + stride - id_bytes] == bytes(r.record)
+        table = np.frombuffer(data, f"<u{id_bytes}").reshape(-1, 33)[:, :32]  # aligned: a shard maps as it is
+        assert [x.tobytes() for x in table] == [bytes(r.record) for r in sorted(
+            (r for r in got.values() if r.shard == n), key=lambda r: r.slot)]
     rest = token_shards.read_sequences(spark, path, total, key=3, length=32, shard_records=50, id_bytes=id_bytes, from_slot=total - 7)
     assert sorted(r.slot for r in rest.collect()) == list(range(total - 7, total))
 
