@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portolan.llm.common import cut, fresh, text_or_empty
+from portolan.operators.joins import maybe_broadcast
 
 REPEATS = 4.0
 BLOCK_ROWS = 4096  # rows of a block, about
+TOKEN_BYTES = 4  # UTF-8 bytes of a token, about
 _CUTS = 15  # exponents tried in one pass; each pass keeps a sixteenth of the range
 _PASSES = 8
 
@@ -76,8 +78,10 @@ def mix(docs: DataFrame, repeats: float | None = REPEATS, entropy: float | None
     """How often each document is read: ``doc_id, text_hash, source,
     n_tokens, weight, block, copies``, a row for each row of ``docs``.
 
-    Tokens are words plus one for the document's end, so an empty or null
-    text has one. A null source is a source of its own. Blocks are hashes of
+    Tokens are counted without a tokenizer as one for every ``TOKEN_BYTES``
+    UTF-8 bytes begun, plus one for the document's end, so scripts without
+    spaces count too and an empty or null text has one. A null source is a
+    source of its own. Blocks are hashes of
     the row's id and text dealt within its source, so a source that holds
     most rows has most blocks, and no task gets a whole source. A partial
     reading takes whole blocks in the order of a keyed hash and the rows of
@@ -86,7 +90,7 @@ def mix(docs: DataFrame, repeats: float | None = REPEATS, entropy: float | None
     """
     body = text_or_empty(text)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(body).alias("text_hash"), F.col(source).alias("source"),
-                       (F.regexp_count(body, F.lit(r"\S+")) + 1).cast("long").alias("n_tokens"))
+                       (F.ceil(F.octet_length(body) / TOKEN_BYTES) + 1).cast("long").alias("n_tokens"))
     rows = cut(rows)
     shares = source_shares(rows)
     exponent = fit_exponent(shares, repeats, entropy)
@@ -99,7 +103,7 @@ def mix(docs: DataFrame, repeats: float | None = REPEATS, entropy: float | None
         F.greatest(F.lit(1), F.expr(f"rows DIV {block_rows}")).alias("blocks")).select(
         "*", F.floor("readings").alias("whole"),
         ((F.col("readings") - F.floor("readings")) * F.col("tokens")).cast("long").alias("due"))
-    dealt = rows.join(plan, rows["source"].eqNullSafe(plan["of"])).withColumn(
+    dealt = rows.join(maybe_broadcast(plan), rows["source"].eqNullSafe(plan["of"])).withColumn(
         "turn", F.xxhash64(F.lit(seed), "doc_id", "text_hash")).withColumn("block", F.pmod("turn", "blocks"))
     # Tokens of the blocks that come before, in the permuted order.
     order = Window.partitionBy("of").orderBy(F.xxhash64(F.lit(seed), "block"), "block").rowsBetween(
@@ -129,13 +133,13 @@ def repeat_rows(docs: DataFrame, repeats: float | None = REPEATS, entropy: float
     Rows that repeat both id and text within a source are read alike."""
     names = [fresh(docs, c) for c in ("mixed_id", "mixed_hash", "mixed_source", "mixed_copies", "own_hash")]
     own = names[4]
-    more = (mix(docs, repeats, entropy, seed, id_column, text, source).where("copies > 1")
-            .groupBy("doc_id", "text_hash", "source").agg(F.min("copies").alias("copies"))
-            .toDF(*names[:4]))
+    more = cut(mix(docs, repeats, entropy, seed, id_column, text, source).where("copies > 1")
+               .groupBy("doc_id", "text_hash", "source").agg(F.min("copies").alias("copies"))
+               .toDF(*names[:4]))
     left = docs.withColumn(own, F.xxhash64(text_or_empty(text)))
     same = (F.col(id_column).eqNullSafe(F.col(names[0])) & (F.col(own) == F.col(names[1]))
             & F.col(source).eqNullSafe(F.col(names[2])))
-    both = left.join(more, same, "left")
+    both = left.join(maybe_broadcast(more), same, "left")
     extra = fresh(both, "reading")
     times = F.sequence(F.lit(1), F.coalesce(F.col(names[3]), F.lit(1)))
     return both.withColumn(extra, F.explode(times)).drop(*names, extra)

@@ -17,7 +17,7 @@ def corpus(seed=1):
 
 
 def tokens(row):
-    return len((row[1] or "").split()) + 1
+    return -(-len((row[1] or "").encode()) // mixing.TOKEN_BYTES) + 1
 
 
 def weights(rows, exponent):
@@ -102,3 +102,9 @@ def test_repeat_rows(spark, extra):
 def test_empty_and_single_source(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
     assert {r.copies for r in mixing.mix(documents(spark, [(1, "a b", "en", None, 1), (2, "c", "en", None, 1)])).collect()} == {1}
+
+
+def test_texts_without_spaces_count_by_their_length(spark):
+    rows = [(1, "日本語の文章です" * 30, "ja", "a", 1), (2, "plain words " * 60, "en", "b", 1)]
+    got = {r.source: r.n_tokens for r in mixing.mix(documents(spark, rows)).collect()}
+    assert got == {"a": 181, "b": 181}
