@@ -23,8 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portolan.llm.common import cut, fresh, text_or_empty
+from portolan.operators.joins import maybe_broadcast
 
 SAMPLE_ROWS = 8_000  # rows of each label that the trigram model is fitted on, about; all of a rarer one's
+MOST_CLASSES = 400  # labels of a model, at most
 UNSEEN = 0.02  # share of a language's likelihood that is spread evenly over all trigrams, whatever its sample
 EFFECTIVE = 300.0  # trigrams of evidence a text counts for, at most
 LEAN = 8.0  # rows that a group's parent counts for in its prior
@@ -118,12 +120,20 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", labe
     them, if there are no more), chosen by a hash of id and text at a rate
     worked out from the label's own number of rows; the row that is first by
     hash is always in, so every label whose texts have letters is a class at
-    any size of input. Counts are combined in Spark; the driver gets one row
-    for each trigram of the sample and language. Without labelled rows the
-    model knows no language."""
-    rows = labelled.where(F.col(label).isNotNull() & (F.length(text) > 0)).select(
-        F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), id_column, text).alias("turn"))
-    there = rows.groupBy("label").agg(F.count(F.lit(1)).alias("there"), F.min("turn").alias("first"))
+    any size of input. Labels count by their language: lower-case, without a
+    region or script after ``-`` or ``_``; blank ones are none. Counts are
+    combined in Spark; the driver gets one row for each trigram of the sample
+    and language. More than ``MOST_CLASSES`` labels are an error that names
+    some of them, as the driver's memory follows their number. Without
+    labelled rows the model knows no language."""
+    named = F.split(F.lower(F.trim(F.col(label))), "[-_]")[0]
+    rows = labelled.where((named != "") & (F.length(text) > 0)).select(
+        named.alias("label"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), id_column, text).alias("turn"))
+    there = cut(rows.groupBy("label").agg(F.count(F.lit(1)).alias("there"), F.min("turn").alias("first")))
+    classes = there.count()
+    if classes > MOST_CLASSES:
+        rare = [r["label"] for r in there.orderBy("there", "label").limit(10).collect()]
+        raise ValueError(f"{classes} labels, of which a model takes at most {MOST_CLASSES}; rare ones: {rare}")
     # The whole hash as a fraction from 0 to 1 against the label's rate.
     drawn = F.col("turn").cast("double") / F.lit(2.0 ** 64) + F.lit(0.5) < F.lit(float(sample_rows)) / F.col("there")
     rows = rows.join(F.broadcast(there), "label").where(
@@ -132,8 +142,12 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", labe
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, part in frame.groupby("label"):
-                ids, n = np.unique(np.concatenate([trigrams(x) for x in part["text"]]), return_counts=True)
-                yield pd.DataFrame({"label": name, "id": ids.astype(np.int64), "n": n.astype(np.int64)})
+                total = np.zeros(1 << _BITS, np.int64)
+                for x in part["text"]:
+                    ids, n = np.unique(trigrams(x), return_counts=True)
+                    total[ids] += n
+                ids = np.flatnonzero(total)
+                yield pd.DataFrame({"label": name, "id": ids.astype(np.int64), "n": total[ids]})
 
     got = (rows.mapInPandas(count, "label string, id long, n long").groupBy("label", "id").agg(F.sum("n").alias("n"))
            .toPandas())
@@ -265,6 +279,7 @@ def keep_known(docs: DataFrame, model: Model, id_column: str = "doc_id", text: s
     judged = identify(marked.select(F.col(id_column).alias("id"), F.col(names[2]).alias("hash"), F.col(text).alias("text"),
                                     F.col(declared).alias("said"), F.col(host).alias("place")),
                       model, ["id", "hash"], "text", declared=F.col("said"), **host_parts(F.col("place")))
-    gone = judged.where(F.col("lang") == UNKNOWN).select(F.col("id").alias(names[0]), F.col("hash").alias(names[1])).distinct()
+    gone = cut(judged.where(F.col("lang") == UNKNOWN).select(
+        F.col("id").alias(names[0]), F.col("hash").alias(names[1])).distinct())
     same = F.col(id_column).eqNullSafe(F.col(names[0])) & (F.col(names[2]) == F.col(names[1]))
-    return marked.join(gone, same, "left_anti").drop(names[2])
+    return marked.join(maybe_broadcast(gone), same, "left_anti").drop(names[2])

@@ -180,3 +180,17 @@ def test_trigrams_of_letters():
     assert same("ÉCOLE", "e\u0301cole") and same("ΑΒΓ", "αβγ") and same("a--b", "a b")
     assert not same("ạ", "ả") and not same("қ", "ҡ") and not same("ɓa", "ɗa") and not same("कि", "की")
     assert [len(language_id.trigrams(t)) for t in ("", "12 34 \u0301", "ab", "人人", "☀\ufe0f")] == [0, 0, 2, 2, 0]
+
+
+def test_labels_count_by_their_language(spark):
+    texts = {"en": "the cat and the dog went over the hill", "fr": "le chat et le chien sur la colline"}
+    rows = [(i, texts[x], tag, "s", 1) for x, tags in (("en", ["en", "EN", " en-US", "en_GB"]), ("fr", ["fr", "FR-ca", "fr", "Fr"]))
+            for i, tag in enumerate(tags)]
+    rows += [(90, texts["en"], " ", "s", 1), (91, texts["en"], None, "s", 1)]
+    assert language_id.fit(documents(spark, rows)).languages == ["en", "fr"]
+
+
+def test_too_many_labels_are_an_error(spark):
+    rows = [(i, f"some words {i}", f"l{i}", "s", 1) for i in range(language_id.MOST_CLASSES + 1)]
+    with pytest.raises(ValueError, match="401 labels"):
+        language_id.fit(documents(spark, rows))
