@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from portolan.llm.common import cut, fresh, text_or_empty
 from portolan.llm.components import roots
+from portolan.operators.joins import maybe_broadcast
 
 SHINGLE, DISTANCE = 3, 3
 SEED = 42
@@ -110,9 +111,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
     names = [fresh(docs, c) for c in ("gone_id", "gone_hash", "own_hash")]
     going = near_groups(docs, shingle, distance, id_column, text, hashed=True).where(
         ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = going.select(F.col("doc_id").alias(names[0]), F.col("text_hash").alias(names[1])).distinct()
+    gone = cut(going.select(F.col("doc_id").alias(names[0]), F.col("text_hash").alias(names[1])).distinct())
     same = F.col(id_column).eqNullSafe(F.col(names[0])) & (F.col(names[2]) == F.col(names[1]))
-    return docs.withColumn(names[2], F.xxhash64(text_or_empty(text))).join(gone, same, "left_anti").drop(names[2])
+    return docs.withColumn(names[2], F.xxhash64(text_or_empty(text))).join(
+        maybe_broadcast(gone), same, "left_anti").drop(names[2])
 
 
 def links(fps: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> DataFrame:
