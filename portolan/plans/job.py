@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from portolan.functions.dates import month_key
 from portolan.operators import dims, fact, quality
+from portolan.plans import monthly_counts
 from portolan.plans.star import Sources, load_star_observed
 from portolan.schemas import ARRIVALS_RAW, CITIES_RAW, DIM_TIME, PORTS_RAW, TEMPERATURES_RAW
 from portolan.sources import files, published, warehouse
@@ -80,7 +81,8 @@ def run(spark: SparkSession, src: Sources, out: str, database: str | None = None
     rows or not. Other months stay, and count in the checks and in the time
     dimension. The report has, per table, the rows this run wrote, row count,
     null keys and repeated keys of the whole table, and the cleaned arrivals
-    of this run that have no port, by month. If a required check fails, the
+    of this run that have no port, by month. The months that the run wrote are
+    counted for the analytic queries (``monthly_counts``). If a required check fails, the
     published star stays as it was, what was written stays in its folder
     under ``out/versions`` to be looked at, and the run raises (or returns
     the tables of that folder).
@@ -89,6 +91,7 @@ def run(spark: SparkSession, src: Sources, out: str, database: str | None = None
     folder = published.new_folder(out)
     tables, metrics = load_star_observed(spark, src, folder)
     written = tables["fact_immigrations"]
+    monthly_counts.write(spark, written, folder)
     # One row for each calendar month, from one column of the raw arrivals.
     seen = src.arrivals.select(month_key("arrdate").alias("month")).distinct().collect()
     loaded = {r["month"] for r in seen} | set(months or [])

@@ -305,6 +305,22 @@ GROUP BY month"""),
     "city_population_counts": q("""
 SELECT c.city, c.state, c.total_pop, f.arrivals
 FROM dim_cities c JOIN (SELECT city, count(*) AS arrivals FROM fact GROUP BY city) f ON c.city = f.city"""),
+    "monthly_counts": q(f"""
+SELECT 'weekday' AS question, CAST(t.weekday AS VARCHAR) AS value, count(*) AS n
+FROM fact f JOIN dim_time t ON f.arrival_date = t.sas_timestamp GROUP BY t.weekday
+UNION ALL SELECT 'port_type', p.type, count(*)
+FROM fact f JOIN dim_ports p ON f.city = p.city AND f.landing_port = p.iata_code GROUP BY p.type
+UNION ALL SELECT 'top_city', city, n FROM
+  (SELECT city, count(*) AS n FROM fact GROUP BY city ORDER BY n DESC, city LIMIT 5)
+UNION ALL SELECT 'month', {_MONTH.format(c='arrival_date')}, count(*) FROM fact GROUP BY 2
+UNION ALL SELECT 'oldest', 'age', CAST(max(age) AS BIGINT) FROM fact HAVING count(*) > 0
+""" + "\n".join(f"UNION ALL SELECT '{c}', CAST({c} AS VARCHAR), count(*) FROM fact GROUP BY {c}"
+                for c in ("visa", "visatype", "arrival_mode", "gender"))),
+    "heavy_hitters": q("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS count, "
+        f"(SELECT count(*) FROM arrivals_raw) AS n_rows FROM arrivals_raw GROUP BY {c} "
+        "HAVING count(*) >= (SELECT count(*) FROM arrivals_raw) * 0.02"
+        for c in ("i94port", "i94addr", "i94cit", "arrdate", "visatype", "gender"))),
     "union_months_distinct": q("""
 SELECT count(*) AS n_rows FROM (SELECT DISTINCT * FROM fact) d
 WHERE immigration_id IS NOT NULL AND origin IS NOT NULL AND landing_port IS NOT NULL

@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 from portolan.functions.dates import month_key, sas_to_date_text
 from portolan.functions.text import region_suffix
-from portolan.operators import clean, dims, fact, lookups, profile, quality
-from portolan.plans import analytics, job, warehouse_sql
+from portolan.operators import clean, dims, fact, lookups, profile, quality, skew
+from portolan.plans import analytics, job, monthly_counts, warehouse_sql
 from portolan.plans.star import (
     LazyTables,
     Sources,
@@ -33,7 +33,7 @@ from portolan.plans.star import (
 )
 from portolan.schemas import ARRIVALS_KEPT, ARRIVALS_RAW, CITIES_RAW, PORTS_RAW
 from portolan.session import remove_path, scratch_path
-from portolan.sources import code_lists, files, testdata, warehouse
+from portolan.sources import code_lists, files, published, testdata, warehouse
 from portolan.streaming import read_fact, start_monthly_load
 
 # The database of the warehouse check, made anew by each call.
@@ -50,6 +50,7 @@ YOUNG_MAX_AGE = 5
 TOP_K = 5
 ARRIVAL_PROFILE_COLUMNS = ["visa", "visatype", "arrival_mode", "state", "age", "origin"]
 TIME_PROFILE_COLUMNS = ["year", "month", "day"]
+SKEW_COLUMNS = ["i94port", "i94addr", "i94cit", "arrdate", "visatype", "gender"]
 
 
 class _LazySources(Sources):
@@ -263,6 +264,15 @@ def q_profile_long(spark, sf_dir):
                            ["visa", "visatype", "arrival_mode", "age"])
 
 
+def q_heavy_hitters(spark, sf_dir):
+    """Values that hold a share of all raw arrivals, of six wide columns: each
+    month's sketches are written, read back and merged; then exact counts."""
+    raw = sources(spark, sf_dir).arrivals
+    path = _scratch(spark, "skew", sf_dir)
+    sketches = files.write_table(skew.sketch_months(raw, month_key("arrdate"), SKEW_COLUMNS), path)
+    return skew.heavy_hitters(raw, sketches, SKEW_COLUMNS)
+
+
 def q_dq_row_counts(spark, sf_dir):
     return quality.row_count_check(star(spark, sf_dir))
 
@@ -426,6 +436,33 @@ def q_etl_from_files(spark, sf_dir):
     return tables["fact_immigrations"]
 
 
+def q_monthly_counts(spark, sf_dir):
+    """The star loaded by the batch job, its last year's months loaded anew,
+    and the counts of weekdays, port types, top cities, the highest age, values
+    and months summed from the published counts per month."""
+    base = _scratch(spark, "monthly_counts", sf_dir)
+    src = sources(spark, sf_dir)
+    staged = files.stage_monthly(src.arrivals, f"{base}/in", month_key("arrdate"))
+    months = [r["month"] for r in staged.select("month").distinct().collect()]  # calendar months
+    last = [m for m in months if m[:4] == max(months)[:4]] if months else []
+    for loaded in (months, last):
+        raw = files.read_months(spark, f"{base}/in", loaded, ARRIVALS_RAW).select(*ARRIVALS_RAW.fieldNames())
+        job.run(spark, Sources(raw, src.cities, src.ports, src.temperatures), f"{base}/out", months=loaded)
+    tables = published.read(spark, f"{base}/out")
+    counts = monthly_counts.read(spark, f"{base}/out")
+    answers = {
+        "weekday": monthly_counts.weekday_counts(counts, tables["dim_time"]),
+        "port_type": monthly_counts.port_types(counts, tables["dim_ports"]),
+        "top_city": monthly_counts.top_cities(counts, TOP_K),
+        "month": monthly_counts.rows_by_month(counts),
+        "oldest": monthly_counts.oldest(counts).select(F.lit("age"), F.col("age").cast("long")),
+    }
+    named = [df.toDF("value", "n").select(F.lit(name).alias("question"), F.col("value").cast("string"), "n")
+             for name, df in answers.items()]
+    named.append(monthly_counts.profile(counts, ["visa", "visatype", "arrival_mode", "gender"]).toDF("question", "value", "n"))
+    return fact.stack_months(*named)
+
+
 def q_warehouse_checks(spark, sf_dir):
     """The star written as Parquet folders, registered as external tables,
     and the row-count and null-key checks run as SQL text over those tables.
@@ -548,6 +585,8 @@ QUERIES: dict[str, Query] = {
     "match_rate_by_month": q_match_rate_by_month,
     "match_loss_after_load": q_match_loss_after_load,
     "city_population_counts": q_city_population_counts,
+    "monthly_counts": q_monthly_counts,
+    "heavy_hitters": q_heavy_hitters,
     "union_months_distinct": q_union_months_distinct,
     "ports_csv": q_ports_csv,
     "cities_csv": q_cities_csv,

@@ -6,7 +6,8 @@ names the folder of each table and, for the monthly fact, of each month; the
 file with the highest number is the star. It is written last and by one
 rename, so readers see all tables of the old version or all of the new one,
 whatever fails in between, and no row is copied: months that a load doesn't
-touch stay where an earlier load wrote them.
+touch stay where an earlier load wrote them. The counts of a month
+(``plans.monthly_counts``) lie beside its rows and come and go with them.
 
 The last ``KEEP`` versions stay readable for readers under way; what only
 older ones name is removed. One load at a time may publish to a path: a
@@ -26,6 +27,7 @@ from portolan.session import remove_path
 
 KEEP = 2
 FACT = "fact_immigrations"
+COUNTS = "fact_counts"  # of each month of the fact, beside it
 _MANIFESTS = "_published"
 
 
@@ -115,8 +117,15 @@ def _write_once(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(f"{path}: another load published this version")
 
 
+def counts_folder(month_folder: str) -> str:
+    """Where the counts of a fact's month lie, if its load wrote any."""
+    load, _, month = month_folder.rpartition(f"/{FACT}/")
+    return f"{load}/{COUNTS}/{month}"
+
+
 def _folders(manifest: dict) -> set[str]:
-    return {*manifest["tables"].values(), *manifest["months"].values()}
+    months = manifest["months"].values()
+    return {*manifest["tables"].values(), *months, *map(counts_folder, months)}
 
 
 def _remove_old(spark: SparkSession, out: str) -> None:
