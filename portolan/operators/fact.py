@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from portolan.functions.dates import month_key
 from portolan.operators.clean import accepted_arrivals, clean_arrivals, drop_incomplete, row_digest
-from portolan.operators.joins import BROADCAST_MAX_ROWS, maybe_broadcast
+from portolan.operators.joins import BROADCAST_MAX_ROWS, has_at_most, maybe_broadcast
 
 FACT_COLUMNS = ["immigration_id", "origin", "landing_port", "arrival_date", "departure_date",
                 "arrival_mode", "city", "age", "visa", "visatype", "gender"]
@@ -21,8 +21,17 @@ def _port_match(arrivals: DataFrame, ports: DataFrame):
 def port_side(ports: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """The port columns the fact join needs, broadcast-hinted when the size
     check passes. Check once and reuse it when the same ports meet many
-    arrival frames (micro-batches)."""
-    return maybe_broadcast(ports.select("iso_region", "iata_code", "city"), max_rows)
+    arrival frames (micro-batches).
+
+    Beyond the check the joins shuffle, and arrivals without a port should
+    not: Spark then tests them at the scan against a Bloom filter of the port
+    codes. It makes one only of a side that a comparison filters, so the side
+    gets one that holds for every code (a null code has no match).
+    """
+    side = ports.select("iso_region", "iata_code", "city")
+    if has_at_most(side, max_rows):
+        return F.broadcast(side)
+    return side.filter(F.col("iata_code") >= "")
 
 
 def fact_arrivals(arrivals: DataFrame, ports: DataFrame, carry: tuple[str, ...] = (),

@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Bloom filters for joins that shuffle: of port dimensions too large to
+    # broadcast (Spark's bound is 10 MB); a filter has at most 8 MB itself.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4g",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

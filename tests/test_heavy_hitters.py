@@ -1,0 +1,64 @@
+"""Values that hold a share of the rows: exact, whatever else there is."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from portolan.operators import skew
+
+SCHEMA = "month string, a string, b int"
+
+
+def _exact(rows, share):
+    out = set()
+    for name, at in (("a", 1), ("b", 2)):
+        for value, n in Counter(r[at] for r in rows).items():
+            if n / len(rows) >= share:
+                out.add((name, None if value is None else str(value), n, len(rows)))
+    return out
+
+
+def _found(df, sketches, share):
+    return {tuple(r) for r in skew.heavy_hitters(df, sketches, ["a", "b"], share).collect()}
+
+
+@pytest.mark.parametrize("share", [0.5, 0.05, 0.01])
+def test_equals_exact_counts(spark, share):
+    rng = random.Random(int(share * 100))
+    rows = [(f"m{i % 5}", None if i % 4 == 0 else rng.choice(["hot", f"v{rng.randrange(4000)}", f"w{int(rng.paretovariate(1))}"]),
+             i % 3 if i % 2 else rng.randrange(100000)) for i in range(20000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    sketches = skew.sketch_months(df, F.col("month"), ["a", "b"], share)
+    assert _found(df, sketches, share) == _exact(rows, share)
+
+
+def test_stored_sketches_merge_and_a_month_is_replaced(spark, tmp_path):
+    old = [("jan", "x", 1)] * 60 + [("feb", f"y{i}", i) for i in range(40)]
+    new = [("feb", "y", 2)] * 90
+    for name, rows in (("jan", old[:60]), ("feb", old[60:]), ("feb", new)):
+        part = spark.createDataFrame(rows, SCHEMA)
+        skew.sketch_months(part, F.col("month"), ["a", "b"], 0.1).write.mode("overwrite").parquet(f"{tmp_path}/{name}")
+    sketches = spark.read.parquet(f"{tmp_path}/jan", f"{tmp_path}/feb")
+    rows = old[:60] + new
+    assert _found(spark.createDataFrame(rows, SCHEMA), sketches, 0.1) == _exact(rows, 0.1)
+
+
+def test_ties_at_the_share_nulls_and_nothing(spark):
+    rows = [("m", f"v{i % 50}", None) for i in range(5000)]  # each value has exactly a fiftieth
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = _found(df, skew.sketch_months(df, F.col("month"), ["a", "b"]), skew.SHARE)
+    assert got == _exact(rows, 0.02) and len(got) == 51
+    none = df.limit(0)
+    assert _found(none, skew.sketch_months(none, F.col("month"), ["a", "b"]), skew.SHARE) == set()
+    with pytest.raises(ValueError, match="share"):
+        skew.sketch_months(df, F.col("month"), ["a"], 0)
+
+
+def test_only_named_values_are_shuffled(spark):
+    df = spark.createDataFrame([("m", f"v{i}", i) for i in range(500)], SCHEMA)
+    out = skew.heavy_hitters(df, skew.sketch_months(df, F.col("month"), ["a", "b"]), ["a", "b"])
+    assert out.collect() == []
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "ArrowEval" not in plan and "BatchEval" not in plan

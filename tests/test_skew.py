@@ -3,6 +3,7 @@ broadcast bound: the join falls back to a shuffle join and AQE splits the
 hot partition. Thresholds are lowered so that small test data counts as skewed."""
 
 from conftest import arrivals, cities, ports
+from pyspark.sql import functions as F
 
 from portolan.operators import clean, dims, fact
 
@@ -45,3 +46,45 @@ def test_hot_port_is_split_and_rows_are_whole(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+BLOOM_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+}
+
+
+def test_arrivals_without_a_port_meet_a_bloom_filter_below_the_shuffle(spark, tmp_path):
+    saved = {k: spark.conf.get(k, None) for k in BLOOM_CONF}
+    for k, v in BLOOM_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        rows = [{"cicid": float(i), "i94port": "ORL" if i % 10 == 0 else f"X{i}", "i94addr": "FL"} for i in range(2000)]
+        arrivals(spark, rows).write.parquet(f"{tmp_path}/raw")
+        p = dims.dim_ports(clean.clean_ports(ports(spark, [{}, {"ident": "KTPA", "iata_code": "TPA"}])),
+                           clean.clean_cities(cities(spark, [{}])))
+        p.write.parquet(f"{tmp_path}/ports")
+        raw, p = spark.read.parquet(f"{tmp_path}/raw"), spark.read.parquet(f"{tmp_path}/ports")
+        f = fact.fact_from_raw(raw, p, max_rows=0)
+        out = f.collect()
+        assert sorted(r.immigration_id for r in out) == list(range(0, 2000, 10))
+        plan = f._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==", 1)[0]
+        lines = plan.splitlines()
+        assert sum("Exchange hashpartitioning(i94addr" in ln for ln in lines) == 1
+        tested = [i for i, ln in enumerate(lines) if "might_contain" in ln and "i94port" in ln]
+        assert tested, plan
+        # The test stands right below the first exchange, so only arrivals that pass it are shuffled.
+        assert "Exchange hashpartitioning(i94addr" in lines[tested[0] - 1], plan
+        # Ports that can't match don't change the result: null and empty codes.
+        odd = p.unionByName(p.limit(1).withColumn("iata_code", F.lit(None).cast("string"))).unionByName(
+            p.limit(1).withColumn("iata_code", F.lit("")))
+        blank = raw.unionByName(raw.limit(1).withColumn("i94port", F.lit("")))
+        for side in (0, 1000):
+            assert fact.fact_from_raw(blank, odd, max_rows=side).count() == 201
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
