@@ -16,7 +16,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from portolan.llm import exact_dedup, language_id, mixing, packing, simhash
-from portolan.session import scratch_path
+from portolan.session import remove_path, scratch_path
+from portolan.sources.files import exists
 
 SHINGLE, DISTANCE = 3, 3  # of the near-duplicate stage
 REPEATS = 4.0  # readings of a source's documents, at most
@@ -62,12 +63,21 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over ``documents``. A stage's rows are removed once the next
+    stage's are written. A run that is given the ``folder`` of one that failed
+    goes on behind its last finished stage; without one it takes a new folder
+    below the shared one."""
+    folder = folder or scratch_path(spark, "corpus-pipeline", uuid.uuid4().hex)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = scratch_path(spark, "corpus-pipeline", uuid.uuid4().hex)
-    for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(f"{folder}/{name}")
-        docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
+    paths = [f"{folder}/{name}" for name, _ in STAGES]
+    done = max((i for i, path in enumerate(paths) if exists(spark, f"{path}/_SUCCESS")), default=-1)
+    if done >= 0:
+        docs = spark.read.parquet(paths[done])
+    for i in range(done + 1, len(STAGES)):
+        out = STAGES[i][1](spark, docs, sf_dir)
+        out.write.mode("overwrite").parquet(paths[i])
+        docs = spark.read.schema(out.schema).parquet(paths[i])
+        if i:
+            remove_path(spark, paths[i - 1])
     return docs
