@@ -140,6 +140,31 @@ def test_empty_table_and_all_nulls(spark, tmp_path, rows):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_a_failed_run_goes_on_from_its_folder(spark, tmp_path, monkeypatch):
+    import os
+
+    documents(spark, [(i, f"text {i}", "en", "s", 1) for i in range(5)]).write.parquet(f"{tmp_path}/documents.parquet")
+    folder, calls, lost = f"{tmp_path}/run", [], ["second"]
+
+    def stage(name, keep):
+        def work(spark, docs, sf_dir):
+            calls.append(name)
+            if name in lost:
+                raise OSError("the driver is gone")
+            return docs.where(keep)
+        return name, work
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [stage("first", "doc_id > 0"), stage("second", "doc_id < 4"), stage("third", "doc_id <> 2")])
+    with pytest.raises(OSError, match="is gone"):
+        corpus_pipeline.run(spark, str(tmp_path), folder)
+    lost.clear()
+    for _ in range(2):  # the second time everything is there
+        got = corpus_pipeline.run(spark, str(tmp_path), folder)
+        assert sorted(r.doc_id for r in got.collect()) == [1, 3]
+    assert calls == ["first", "second", "second", "third"]
+    assert [n for n in sorted(os.listdir(folder)) if not n.startswith(".")] == ["third"]
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and "pipeline" not in __spark_entry__.oracle_sql()
