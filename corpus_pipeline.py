@@ -5,6 +5,9 @@ result is written as Parquet in the shared folder and read again, so a lost
 executor costs no more than a part of one stage. All but the last return the
 columns of ``documents``.
 
+Stages that work on texts in Python send them in batches of bounded bytes;
+they do so in jobs that have run when the stage returns its rows.
+
 Every stage takes nulls in any column, empty and very long texts, repeated
 rows, empty tables and extra columns, as its operator's docstring says.
 """
@@ -16,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from portolan.llm import exact_dedup, language_id, mixing, packing, simhash
+from portolan.llm.common import small_batches
 from portolan.session import remove_path, scratch_path
 from portolan.sources.files import exists
 
@@ -27,7 +31,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Drops documents that are in no known language: texts without letters
     (empty and null ones too) and those less likely in each language than at
     random. ``lang`` is the declared language and ``source`` the host."""
-    return language_id.keep_known(docs, language_id.fit(docs))
+    with small_batches(spark):
+        return language_id.keep_known(docs, language_id.fit(docs))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +42,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each component."""
-    return simhash.keep_one(docs, SHINGLE, DISTANCE)
+    with small_batches(spark):
+        return simhash.keep_one(docs, SHINGLE, DISTANCE)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +53,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs every document; a row for each piece, with its sequence."""
-    return packing.pack(packing.pieces(docs))
+    with small_batches(spark):
+        return packing.pack(packing.pieces(docs))
 
 
 STAGES = [

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from portolan.session import scratch_dir
 
 COARSE, FINE = 1000, 1000  # ranges of a column, and of each of them, at most
 ACCURACY = 20 * COARSE  # of a quantile sketch
+BATCH_BYTES = 2 << 20  # of rows that go to Python at a time, about
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +34,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> Iterator[None]:
+    """For jobs that run inside: rows go to Python in Arrow batches of about
+    ``most`` bytes (one row more at most), whatever the length of their texts.
+
+    Spark's own bound is 10,000 rows, and a task holds its batch several
+    times beside the heap: as vectors, as the written stream, and in Python.
+    A bound given at launch wins. Frames that run later have Spark's again."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().contains(key):
+        yield
+        return
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which the cluster sizes
     to the input."""

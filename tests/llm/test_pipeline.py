@@ -4,11 +4,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__
 import corpus_pipeline
 from portolan.llm import language_id
+from portolan.llm.common import BATCH_BYTES
 from portolan.llm.tokens import byte_bpe
 
 from .helpers import SCHEMA, awkward_rows, documents
@@ -170,3 +172,29 @@ def test_registered():
     assert "pipeline" in names and "pipeline" not in __spark_entry__.oracle_sql()
     assert sorted({int(n[2:].split("_")[0]) for n in names if n.startswith("op")}) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "mixing", "packing"]
+
+
+@pytest.mark.parametrize("stage, module, operator", [
+    ("language_id", "language_id", "keep_known"), ("near_dedup", "simhash", "keep_one"), ("packing", "packing", "pack")])
+def test_texts_go_to_python_in_batches_of_bounded_bytes(spark, monkeypatch, stage, module, operator):
+    rows = [(i, f"{i} of the pages " * 2000, "en", "src0", 1) for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    seen = []
+
+    def operate(*_):
+        seen.extend(docs.mapInArrow(sizes, "n long, bytes long").collect())
+        return docs
+
+    monkeypatch.setattr(getattr(corpus_pipeline, module), operator, operate)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    dict(corpus_pipeline.STAGES)[stage](spark, docs, "")
+    longest = max(len(r[1]) for r in rows)
+    assert sum(r["n"] for r in seen) == len(rows)
+    assert max(r["bytes"] for r in seen) <= BATCH_BYTES + 2 * longest
+    assert len(seen) > 1 and spark.conf.get(key) == before
