@@ -6,8 +6,9 @@ sequence has a global number; a keyed Feistel network, walked along its
 cycles until the value is in range, turns numbers into slots, a permutation
 of exactly that range. The second pass makes the sequences and sends each
 to its shard, a range of slots, where they are written in slot order. Tokens
-are moved once and never kept anywhere between; counting twice costs less
-than storing them.
+are moved once and never kept anywhere between: beside the shuffle and the
+shards they would take too much disk. Both passes work out each distinct word
+of a batch of texts once, the batches being of bounded bytes.
 
 A shard is a file of records of one length, so a reader finds any slot by
 multiplication, and resumes where it stopped. A record is ``length`` ids as
@@ -26,12 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portolan.llm.common import text_or_empty
+from portolan.llm.common import small_batches, text_or_empty
 from portolan.llm.tokens import byte_bpe
 
 LENGTH = 1024
 END_ID = 50256  # after each document, and after the last one of a partition up to the sequence's end
 SHARD_RECORDS = 16_384
+BATCH_BYTES = 4 << 20  # of texts in a batch, about: larger ones repeat more of their words, but tasks hold them
 _ROUNDS = 6
 
 
@@ -67,18 +69,16 @@ def permute(numbers: np.ndarray, size: int, key: int, back: bool = False) -> np.
 def _streams(length: int, end_id: int, vocabulary: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """Ids of a partition as arrays of whole sequences, the last one padded."""
     encoder = byte_bpe(vocabulary)
-    end = end_id.to_bytes(4, "little")
-    rest = b""
+    rest = np.empty(0, "u4")
     for batch in batches:
-        texts = batch.column(0).to_pylist()
-        for at in range(0, len(texts), 256):
-            rest += b"".join([part for x in texts[at:at + 256] for part in (encoder.ids(x), end)])
-            whole = len(rest) // (4 * length) * 4 * length
+        for ids in encoder.stream(batch.column(0).to_pylist(), end_id):
+            rest = np.concatenate([rest, ids])
+            whole = len(rest) // length * length
             if whole:
-                yield np.frombuffer(rest[:whole], "<u4").reshape(-1, length)
+                yield rest[:whole].reshape(-1, length)
                 rest = rest[whole:]
-    if rest:
-        yield np.frombuffer(rest + end * (length - len(rest) // 4), "<u4").reshape(-1, length)
+    if len(rest):
+        yield np.pad(rest, (0, length - len(rest)), constant_values=end_id).reshape(-1, length)
 
 
 def count_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None,
@@ -88,7 +88,7 @@ def count_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str | Non
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, ids = byte_bpe(vocabulary), 0
         for batch in batches:
-            ids += sum(encoder.count(x) + 1 for x in batch.column(0).to_pylist())
+            ids += encoder.stream_length(batch.column(0).to_pylist())
         n = -(-ids // length)
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([n])], names=["part", "n"])
 
@@ -109,7 +109,8 @@ def write_sequences(docs: DataFrame, path: str, key: int = 1, length: int = LENG
     repeated rows are written as often as they occur. An empty table writes
     no shard. Folders that exist already are overwritten.
     """
-    counts = count_sequences(docs, length, vocabulary, text)
+    with small_batches(docs.sparkSession, BATCH_BYTES):
+        counts = count_sequences(docs, length, vocabulary, text)
     starts, total = {}, 0
     for part in sorted(counts):
         starts[part] = total
@@ -136,9 +137,10 @@ def write_sequences(docs: DataFrame, path: str, key: int = 1, length: int = LENG
     # A shard is a range of slots known beforehand, so its number is its task's,
     # one task a shard; sampling for ranges would read the texts once more.
     # Spark's text writer puts a string's bytes out as they are, and then the separator.
-    (rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
-     .select("shard", F.col("record").cast("string").alias("value"))
-     .write.partitionBy("shard").mode("overwrite").text(path, lineSep="\n" * id_bytes))
+    with small_batches(docs.sparkSession, BATCH_BYTES):
+        (rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
+         .select("shard", F.col("record").cast("string").alias("value"))
+         .write.partitionBy("shard").mode("overwrite").text(path, lineSep="\n" * id_bytes))
     return total
 
 

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 from portolan.llm import token_shards
 from portolan.llm.tokens import byte_bpe
 
-from .helpers import awkward_rows, documents
+from .helpers import awkward_rows, documents, words
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 17, 1000, 4097])
@@ -63,3 +65,61 @@ def test_empty_table(spark, tmp_path):
 def test_ids_too_large_for_a_record(spark, tmp_path):
     with pytest.raises(Exception, match="more bytes"):
         token_shards.write_sequences(documents(spark, [(1, "hello world again", "en", "s", 1)]), f"{tmp_path}/x", id_bytes=1)
+
+
+def stream(encoder, texts, end_id=50256):
+    parts = list(encoder.stream(texts, end_id))
+    ids = np.concatenate(parts).tolist() if parts else []
+    assert encoder.stream_length(texts) == len(ids)
+    return ids
+
+
+def as_loaded(texts, end_id=50256):
+    return [i for x in texts for i in [*byte_bpe().tokenizer.encode(x, add_special_tokens=False).ids, end_id]]
+
+
+def test_a_repeated_word_is_worked_out_once(monkeypatch):
+    encoder, sent = byte_bpe(), []
+
+    class Counting:
+        def encode_ordinary(self, text, fast=encoder.fast):
+            sent.append(len(text))
+            return fast.encode_ordinary(text)
+
+    monkeypatch.setattr(encoder, "fast", Counting())
+    rng = random.Random(3)
+    texts = [words(rng, 400, vocabulary=10) for _ in range(50)]
+    ids = stream(encoder, texts)
+    assert sum(sent) < sum(map(len, texts)) / 10
+    assert ids == as_loaded(texts)
+
+
+def test_streams_of_random_texts():
+    rng = random.Random(8)
+    alphabet = ["a", "b", "the", "cé", " ", " ", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\r", "\xa0", "\u2003", "\u3000",
+                ".", "'s", "19", "日", "ß", "\u0301", "\0", "🎉", "<|endoftext|>"]
+    for _ in range(300):
+        texts = ["".join(rng.choices(alphabet, k=rng.randrange(30))) for _ in range(rng.randrange(20))]
+        assert stream(byte_bpe(), texts) == as_loaded(texts), texts
+
+
+@pytest.mark.parametrize("texts", [
+    [], [""], ["", ""], [" "], [" a"], ["a "], ["a", "a b", " b", "b"], ["a\n b", "a \nb", "a\n\n b c"], ["it 's 's we'll"],
+    ["x" * 5000 + " y", "y " * 3000 + "y"], [" " * 150_000 + "a b", "\n" * 150_000 + " a"]])
+def test_streams_of_spaces(texts):
+    assert stream(byte_bpe(), texts) == as_loaded(texts)
+
+
+def test_streams_are_put_together_in_steps(monkeypatch):
+    monkeypatch.setattr("portolan.llm.tokens.STEP", 7)
+    texts = [words(random.Random(i), 20) for i in range(9)]
+    assert stream(byte_bpe(), texts) == as_loaded(texts)
+
+
+def test_streams_by_a_vocabulary_without_ranks():
+    import public_tokenizers
+
+    from portolan.llm.tokens import TextEncoder
+
+    texts = ["one two two", "", " a  b ", "<|endoftext|> x"]
+    assert stream(TextEncoder(public_tokenizers.path("byte_bpe_50k.json")), texts) == as_loaded(texts)
